@@ -25,13 +25,20 @@ def daily_balance_range(df: DataFrame, key="id", date="dt", balance="balance") -
     )
 
 
-def _peak_over(month: Window, date: str, high: str = "high") -> Column:
-    """Highest balance of the month and minus the number of its earliest day."""
-    return F.max(F.struct(F.col(high).alias("balance"), (-day_number(F.col(date))).alias("minus_day"))).over(month)
+def _with_peak(daily: DataFrame, key: str, date: str) -> DataFrame:
+    """Add the month's highest balance and the earliest day it was held.
 
-
-def _peak_date(peak: Column) -> Column:
-    return F.date_from_unix_date(-peak["minus_day"])
+    Undated days and days without a balance sort last, so they are a peak only
+    in a month that has nothing else.
+    """
+    dated_high = F.when(F.col(date).isNotNull(), F.col("high"))
+    ranked = Window.partitionBy(key, "year_month").orderBy(F.desc_nulls_last(dated_high), F.asc(date))
+    return daily.withColumns(
+        {
+            "peak_balance": F.first(dated_high).over(ranked),
+            "peak_date": F.first(F.when(dated_high.isNotNull(), F.col(date))).over(ranked),
+        }
+    )
 
 
 def monthly_peak(df: DataFrame, key="id", date="dt", balance="balance") -> DataFrame:
@@ -44,7 +51,7 @@ def monthly_peak(df: DataFrame, key="id", date="dt", balance="balance") -> DataF
         .select(
             key,
             "year_month",
-            _peak_date(F.col("peak")).alias("peak_date"),
+            F.date_from_unix_date(-F.col("peak.minus_day")).alias("peak_date"),
             F.col("peak.balance").alias("peak_balance"),
         )
     )
@@ -58,14 +65,11 @@ def monthly_drawdown(df: DataFrame, key="id", date="dt", balance="balance") -> D
     part, so imputed balances should be nulled by the caller if they must not
     count (see ``observed_balance``).
     """
-    month = Window.partitionBy(key, "year_month")
     lowest = F.min(F.struct(F.col("low").alias("balance"), F.col(date).alias("at")))
     return (
-        daily_balance_range(df, key, date, balance)
-        .withColumn("peak", _peak_over(month, date))
-        .withColumn("peak_date", _peak_date(F.col("peak")))
+        _with_peak(daily_balance_range(df, key, date, balance), key, date)
         .where(F.col(date) >= F.col("peak_date"))
-        .groupBy(key, "year_month", "peak_date", F.col("peak.balance").alias("peak_balance"))
+        .groupBy(key, "year_month", "peak_date", "peak_balance")
         .agg(lowest.alias("trough"))
         .select(
             key,
@@ -165,15 +169,14 @@ def activity_profile(
         )
         .withColumn("year_month", year_month(F.col(date)))
     )
+    # one placement and one sort serve both windows and the monthly aggregate
     customer = Window.partitionBy(key)
-    month = Window.partitionBy(key, "year_month")
-    weighted = F.col("known") * F.col("mean")
-    placed = daily.withColumn(
-        "centre", F.sum(weighted).over(customer) / F.nullif(F.sum("known").over(customer), F.lit(0))
-    ).withColumn("peak", F.max(F.when(F.col("high").isNotNull() & F.col(date).isNotNull(), F.struct(
-        F.col("high").alias("balance"), (-day_number(F.col(date))).alias("minus_day")))).over(month))
-
-    after_peak = F.col("low").isNotNull() & (F.col(date) >= _peak_date(F.col("peak")))
+    centre = F.sum(F.col("known") * F.col("mean")).over(customer) / F.nullif(
+        F.sum("known").over(customer), F.lit(0)
+    )
+    placed = _with_peak(daily.repartition(key), key, date).withColumn("centre", centre)
+
+    after_peak = F.col("low").isNotNull() & (F.col(date) >= F.col("peak_date"))
     lowest = F.min(F.when(after_peak, F.struct(F.col("low").alias("balance"), F.col(date).alias("at"))))
     monthly = placed.groupBy(key, "year_month").agg(
         F.sum("rows").alias("rows"),
@@ -182,11 +185,12 @@ def activity_profile(
         F.sum("known").alias("known"),
         F.first("centre").alias("centre"),
         F.sum(F.col("known") * (F.col("spread") + F.pow(F.col("mean") - F.col("centre"), 2))).alias("squares"),
-        F.first("peak").alias("peak"),
+        F.first("peak_balance").alias("peak_balance"),
+        F.first("peak_date").alias("peak_date"),
         lowest.alias("trough"),
     )
-    days = F.datediff(F.col("trough.at"), _peak_date(F.col("peak")))
-    fall = F.when(days > 0, (F.col("peak.balance") - F.col("trough.balance")) / days)
+    days = F.datediff(F.col("trough.at"), F.col("peak_date"))
+    fall = F.when(days > 0, (F.col("peak_balance") - F.col("trough.balance")) / days)
     known = F.sum("known")
     return (
         monthly.withColumn("fall", fall)
@@ -203,38 +207,26 @@ def activity_profile(
 
 
 def serving_profile(df: DataFrame, key="id", date="dt", amount="amount", balance="balance") -> DataFrame:
-    """Counts and totals by direction, balance statistics, rows per active month."""
+    """Counts and totals by direction, balance statistics, rows per active month.
+
+    The distinct month makes Spark combine per (customer, month) first, so one
+    customer's rows are spread over its months before they meet.
+    """
     flow = F.col(amount)
-    monthly = df.groupBy(key, year_month(F.col(date)).alias("year_month")).agg(
-        F.count("*").alias("rows"),
-        F.count_if(flow > 0).alias("in_rows"),
-        F.count_if(flow < 0).alias("out_rows"),
-        F.sum(F.when(flow > 0, flow)).alias("inflow"),
-        F.sum(F.when(flow < 0, -flow)).alias("outflow"),
-        F.count(balance).alias("known"),
-        F.avg(balance).alias("mean"),
-        F.var_pop(balance).alias("spread"),
-        F.min(balance).alias("low"),
-    )
-    customer = Window.partitionBy(key)
-    centre = F.sum(F.col("known") * F.col("mean")).over(customer) / F.nullif(
-        F.sum("known").over(customer), F.lit(0)
-    )
-    known = F.sum("known")
-    squares = F.sum(F.col("known") * (F.col("spread") + F.pow(F.col("mean") - F.col("centre"), 2)))
     return (
-        monthly.withColumn("centre", centre)
-        .groupBy(key)
+        df.groupBy(key)
         .agg(
-            F.sum("rows").alias("txn_count"),
-            F.sum("in_rows").alias("inflow_count"),
-            F.sum("out_rows").alias("outflow_count"),
-            F.coalesce(F.sum("inflow"), F.lit(0.0)).alias("total_inflow"),
-            F.coalesce(F.sum("outflow"), F.lit(0.0)).alias("total_outflow"),
-            F.first("centre").alias("avg_balance"),
-            F.min("low").alias("min_balance"),
-            F.when(known > 1, F.sqrt(squares / (known - 1))).alias("std_balance"),
-            (F.sum("rows") / F.count("*")).alias("txn_per_month"),
+            F.count("*").alias("txn_count"),
+            F.count_if(flow > 0).alias("inflow_count"),
+            F.count_if(flow < 0).alias("outflow_count"),
+            F.coalesce(F.sum(F.when(flow > 0, flow)), F.lit(0.0)).alias("total_inflow"),
+            F.coalesce(F.sum(F.when(flow < 0, -flow)), F.lit(0.0)).alias("total_outflow"),
+            F.avg(balance).alias("avg_balance"),
+            F.min(balance).alias("min_balance"),
+            F.stddev_samp(balance).alias("std_balance"),
+            F.count_distinct(year_month(F.col(date))).alias("months"),
         )
+        .withColumn("txn_per_month", F.try_divide(F.col("txn_count"), F.col("months")))
         .withColumn("net_cashflow", F.col("total_inflow") - F.col("total_outflow"))
+        .drop("months")
     )

@@ -1,13 +1,14 @@
 """Quantiles of numeric columns.
 
-``exact_quantiles`` never sorts or shuffles the column.  It takes count, minimum
-and maximum, then counts rows in equal-width cells (a map-side combined
-aggregate that returns at most a few thousand rows), and looks again only inside
-the cells that hold the wanted ranks.  Cells remember the smallest and largest
-value they hold, so a hot value is a finished cell however many rows repeat it.
-Once the cells of interest hold few enough rows, their ranks are read off a
-running count.  Nulls and NaN are skipped.  The result is the smallest value
-whose cumulative share reaches the level, as ``percentile_disc`` defines it.
+``exact_quantiles`` never sorts or shuffles the column.  A first pass counts rows
+in cells of equal width on a signed logarithmic scale, which needs no knowledge
+of the range: a map-side combined aggregate whose result is a few thousand rows.
+Later passes look only inside the cells that hold the wanted ranks and cut them
+evenly.  Cells remember the smallest and largest value they hold, so a hot value
+is a finished cell however many rows repeat it.  Once the cells of interest hold
+few enough rows, their values are counted one by one.  Nulls and NaN are skipped.
+The result is the smallest value whose cumulative share reaches the level, as
+``percentile_disc`` defines it.
 """
 
 from __future__ import annotations
@@ -17,15 +18,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import literal_frame, small_rows
+from ..session import literal_frame
 
 CELLS = 4096
 #: Most cell counts one pass may return.
 CELL_ROWS = 250_000
-FEW_ROWS = 1_000_000
+#: Cells per doubling of the magnitude in the first pass.
+CELLS_PER_OCTAVE = 128
+#: Rows in the cells of interest below which their values are counted singly.
+FEW_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -69,6 +73,19 @@ def _cell(x: Column, span: Span, cells: int) -> Column:
     ).cast("int")
 
 
+def _log_cell(x: Column) -> Column:
+    """Cell on a signed logarithmic scale; never decreases as ``x`` grows."""
+    size = F.least(F.log2(F.abs(x) + 1), F.lit(1025.0))
+    return F.floor(F.signum(x) * size * CELLS_PER_OCTAVE).cast("int")
+
+
+def _stacked(data: DataFrame, tags: Sequence[Column]) -> DataFrame:
+    """One row per non-null tag."""
+    if len(tags) == 1:
+        return data.select(tags[0].alias("t")).where("t is not null").select("t.*")
+    return data.select(F.explode(F.array_compact(F.array(*tags))).alias("t")).select("t.*")
+
+
 def _tagged(data: DataFrame, names: Sequence[str], spans: Sequence[Span], cells: int) -> DataFrame:
     """Rows (span, cell, x) for every value that lies in one of the spans."""
     per_column = []
@@ -85,58 +102,61 @@ def _tagged(data: DataFrame, names: Sequence[str], spans: Sequence[Span], cells:
             chosen = F.when(hit, tag) if chosen is None else chosen.when(hit, tag)
         if chosen is not None:
             per_column.append(chosen)
-    if len(per_column) == 1:
-        return data.select(per_column[0].alias("t")).where("t is not null").select("t.*")
-    return data.select(F.explode(F.array_compact(F.array(*per_column))).alias("t")).select("t.*")
+    return _stacked(data, per_column)
+
+
+def _counted(tagged: DataFrame) -> dict[int, list]:
+    rows = (
+        tagged.groupBy("span", "cell")
+        .agg(F.count("*").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .collect()
+    )
+    ordered: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: (r["span"], r["cell"])):
+        ordered.setdefault(r["span"], []).append(r)
+    return ordered
+
+
+def _chained(column: int, below: int, rows: Sequence) -> list[Span]:
+    found = []
+    for r in rows:
+        found.append(Span(column, r["low"], r["high"], below, r["rows"]))
+        below += r["rows"]
+    return found
+
+
+def first_cells(data: DataFrame, names: Sequence[str]) -> list[list[Span]]:
+    """Non-empty logarithmic cells of every column, in value order."""
+    tags = [
+        F.when(
+            F.col(n).isNotNull() & ~F.isnan(n),
+            F.struct(F.lit(i).alias("span"), _log_cell(F.col(n)).alias("cell"), F.col(n).alias("x")),
+        )
+        for i, n in enumerate(names)
+    ]
+    counted = _counted(_stacked(data, tags))
+    return [_chained(i, 0, counted.get(i, [])) for i in range(len(names))]
 
 
 def count_cells(
     data: DataFrame, names: Sequence[str], spans: Sequence[Span], cells: int
 ) -> dict[int, list[Span]]:
-    """Split every span into its non-empty cells, in value order."""
+    """Cut every span evenly into cells; the non-empty ones, in value order."""
     cells = max(16, min(cells, CELL_ROWS // len(spans)))
-    counted = (
-        _tagged(data, names, spans, cells)
-        .groupBy("span", "cell")
-        .agg(F.count("*").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
-    )
-    found: dict[int, list[Span]] = {number: [] for number in range(len(spans))}
-    for r in sorted(small_rows(counted, "cell counts"), key=lambda r: (r["span"], r["cell"])):
-        parent, done = spans[r["span"]], found[r["span"]]
-        below = done[-1].below + done[-1].rows if done else parent.below
-        done.append(Span(parent.column, r["low"], r["high"], below, r["rows"]))
-    return found
+    counted = _counted(_tagged(data, names, spans, cells))
+    return {
+        number: _chained(span.column, span.below, counted.get(number, []))
+        for number, span in enumerate(spans)
+    }
 
 
 def _rank(level: float, rows: int) -> int:
     return max(1, math.ceil(Fraction(str(level)) * rows))
 
 
-def _read_off(
-    data: DataFrame, names: Sequence[str], spans: Sequence[Span], wanted: Sequence[tuple[int, int]]
-) -> dict[tuple[int, int], float]:
-    """Values at (span, rank) once all spans together hold few rows."""
-    running = Window.partitionBy("span").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    counted = (
-        _tagged(data, names, spans, 1)
-        .groupBy("span", "x")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("upto", F.sum("rows").over(running))
-    )
-    # rank inside the span, as an array per span: a handful of wanted ranks
-    hits = []
-    for number, span in enumerate(spans):
-        ranks = sorted({rank - span.below for s, rank in wanted if s == number})
-        here = [
-            F.when((F.col("upto") >= r) & (F.col("upto") - F.col("rows") < r), F.lit(r))
-            for r in ranks
-        ]
-        hits.append(F.when(F.col("span") == number, F.array_compact(F.array(*here))))
-    picked = counted.select("span", "x", F.explode(F.coalesce(*hits)).alias("rank"))
-    return {
-        (r["span"], r["rank"] + spans[r["span"]].below): r["x"]
-        for r in small_rows(picked, "quantile values")
-    }
+def _holding(spans: Sequence[Span], rank: int) -> Span:
+    """The span that holds the row of this rank."""
+    return next(s for s in spans if s.below + s.rows >= rank)
 
 
 def exact_quantiles(
@@ -152,46 +172,32 @@ def exact_quantiles(
     columns = list(levels)
     names = [f"x{i}" for i in range(len(columns))]
     data = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)])
-    facts = column_facts(data, names)
 
-    answers: dict[tuple[int, float], float | None] = {}
+    ranks: dict[tuple[int, float], int] = {}
     place: dict[tuple[int, int], Span] = {}
-    rank_of: dict[tuple[int, float], int] = {}
-    for i, column in enumerate(columns):
-        f = facts[names[i]]
-        whole = Span(i, f["low"], f["high"], f["low_end"], f["rows"])
-        n = f["low_end"] + f["rows"] + f["high_end"]
-        for level in levels[column]:
-            if n == 0:
-                answers[i, level] = None
-                continue
-            rank = _rank(level, n)
-            if rank <= f["low_end"]:
-                answers[i, level] = -math.inf
-            elif rank > f["low_end"] + f["rows"]:
-                answers[i, level] = math.inf
-            else:
-                rank_of[i, level] = rank
-                place[i, rank] = whole
-
-    while True:
-        spans = list(dict.fromkeys(s for s in place.values() if s.low < s.high))
-        if not spans:
-            break
+    for i, found in enumerate(first_cells(data, names)):
+        total = found[-1].below + found[-1].rows if found else 0
+        for level in levels[columns[i]] if total else ():
+            rank = ranks[i, level] = _rank(level, total)
+            place[i, rank] = _holding(found, rank)
+
+    while spans := list(dict.fromkeys(s for s in place.values() if s.low < s.high)):
         if sum(s.rows for s in spans) <= few_rows:
-            wanted = [(spans.index(s), rank) for (_, rank), s in place.items() if s.low < s.high]
-            for (number, rank), x in _read_off(data, names, spans, wanted).items():
-                place[spans[number].column, rank] = Span(spans[number].column, x, x, 0, 0)
-            break
-        split = count_cells(data, names, spans, cells)
+            # at most ``few_rows`` distinct values are left
+            values = _tagged(data, names, spans, 1).withColumn("cell", F.col("x"))
+            counted = _counted(values)
+            split = {n: _chained(s.column, s.below, counted[n]) for n, s in enumerate(spans)}
+        else:
+            split = count_cells(data, names, spans, cells)
         inner = {spans[number]: found for number, found in split.items()}
-        for (i, rank), span in place.items():
-            if span.low < span.high:
-                place[i, rank] = next(s for s in inner[span] if s.below + s.rows >= rank)
+        place.update(
+            {(i, rank): _holding(inner[s], rank) for (i, rank), s in place.items() if s.low < s.high}
+        )
 
-    for (i, level), rank in rank_of.items():
-        answers[i, level] = place[i, rank].low
-    return {c: [answers[i, p] for p in levels[c]] for i, c in enumerate(columns)}
+    return {
+        c: [place[i, ranks[i, p]].low if (i, p) in ranks else None for p in levels[c]]
+        for i, c in enumerate(columns)
+    }
 
 
 def quantile_table(df: DataFrame, levels: Mapping[str, Sequence[float]], **options) -> DataFrame:

@@ -54,13 +54,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+    """Write ``df`` as a table in the shared folder and continue from there.
 
     Used for tables that several jobs read: lineage is cut at reliable storage,
-    so a lost executor costs a re-read and not a re-computation.
+    so a lost executor costs a re-read and not a re-computation, and later jobs
+    read only the columns they need.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_rows(df: DataFrame, what: str, at_most: int = DRIVER_ROW_LIMIT) -> list[Row]:
