@@ -167,5 +167,10 @@ def day_number(day: Column) -> Column:
     return F.coalesce(F.datediff(day, F.lit("1970-01-01").cast("date")), F.lit(-10_000_000))
 
 
+def month_of(day: Column) -> Column:
+    """First day of the month: a cheap grouping key."""
+    return F.trunc(day, "month")
+
+
 def year_month(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")

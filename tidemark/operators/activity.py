@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import day_number, year_month
+from ..functions.columns import day_number, month_of, year_month
 
 
 def daily_balance_range(df: DataFrame, key="id", date="dt", balance="balance") -> DataFrame:
@@ -21,7 +21,7 @@ def daily_balance_range(df: DataFrame, key="id", date="dt", balance="balance") -
         df.where(F.col(balance).isNotNull() & F.col(date).isNotNull())
         .groupBy(key, date)
         .agg(F.max(balance).alias("high"), F.min(balance).alias("low"))
-        .withColumn("year_month", year_month(F.col(date)))
+        .withColumn("month", month_of(F.col(date)))
     )
 
 
@@ -32,7 +32,7 @@ def _with_peak(daily: DataFrame, key: str, date: str) -> DataFrame:
     in a month that has nothing else.
     """
     dated_high = F.when(F.col(date).isNotNull(), F.col("high"))
-    ranked = Window.partitionBy(key, "year_month").orderBy(F.desc_nulls_last(dated_high), F.asc(date))
+    ranked = Window.partitionBy(key, "month").orderBy(F.desc_nulls_last(dated_high), F.asc(date))
     return daily.withColumns(
         {
             "peak_balance": F.first(dated_high).over(ranked),
@@ -46,11 +46,11 @@ def monthly_peak(df: DataFrame, key="id", date="dt", balance="balance") -> DataF
     best = F.max(F.struct(F.col(balance).alias("balance"), (-day_number(F.col(date))).alias("minus_day")))
     return (
         df.where(F.col(balance).isNotNull() & F.col(date).isNotNull())
-        .groupBy(key, year_month(F.col(date)).alias("year_month"))
+        .groupBy(key, month_of(F.col(date)).alias("month"))
         .agg(best.alias("peak"))
         .select(
             key,
-            "year_month",
+            year_month(F.col("month")).alias("year_month"),
             F.date_from_unix_date(-F.col("peak.minus_day")).alias("peak_date"),
             F.col("peak.balance").alias("peak_balance"),
         )
@@ -69,11 +69,11 @@ def monthly_drawdown(df: DataFrame, key="id", date="dt", balance="balance") -> D
     return (
         _with_peak(daily_balance_range(df, key, date, balance), key, date)
         .where(F.col(date) >= F.col("peak_date"))
-        .groupBy(key, "year_month", "peak_date", "peak_balance")
+        .groupBy(key, "month", "peak_date", "peak_balance")
         .agg(lowest.alias("trough"))
         .select(
             key,
-            "year_month",
+            year_month(F.col("month")).alias("year_month"),
             "peak_date",
             "peak_balance",
             F.col("trough.at").alias("trough_date"),
@@ -124,7 +124,7 @@ def balance_profile(df: DataFrame, key="id", balance="balance") -> DataFrame:
 def monthly_net_flow(df: DataFrame, key="id", date="dt", amount="amount") -> DataFrame:
     """Mean over the months with rows of each customer's net amount per month."""
     return (
-        df.groupBy(key, year_month(F.col(date)).alias("year_month"))
+        df.groupBy(key, month_of(F.col(date)).alias("month"))
         .agg(F.sum(amount).alias("net"))
         .groupBy(key)
         .agg(F.avg("net").alias("net_cash_flow"))
@@ -167,7 +167,7 @@ def activity_profile(
             F.max("_held").alias("high"),
             F.min("_held").alias("low"),
         )
-        .withColumn("year_month", year_month(F.col(date)))
+        .withColumn("month", month_of(F.col(date)))
     )
     # one placement and one sort serve both windows and the monthly aggregate
     customer = Window.partitionBy(key)
@@ -178,7 +178,7 @@ def activity_profile(
 
     after_peak = F.col("low").isNotNull() & (F.col(date) >= F.col("peak_date"))
     lowest = F.min(F.when(after_peak, F.struct(F.col("low").alias("balance"), F.col(date).alias("at"))))
-    monthly = placed.groupBy(key, "year_month").agg(
+    monthly = placed.groupBy(key, "month").agg(
         F.sum("rows").alias("rows"),
         F.sum("net").alias("net"),
         F.sum("low_rows").alias("low_rows"),
@@ -224,7 +224,7 @@ def serving_profile(df: DataFrame, key="id", date="dt", amount="amount", balance
             F.avg(balance).alias("avg_balance"),
             F.min(balance).alias("min_balance"),
             F.stddev_samp(balance).alias("std_balance"),
-            F.count_distinct(year_month(F.col(date))).alias("months"),
+            F.count_distinct(month_of(F.col(date))).alias("months"),
         )
         .withColumn("txn_per_month", F.try_divide(F.col("txn_count"), F.col("months")))
         .withColumn("net_cashflow", F.col("total_inflow") - F.col("total_outflow"))

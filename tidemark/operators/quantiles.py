@@ -68,9 +68,9 @@ def column_facts(data: DataFrame, names: Sequence[str], extra: Mapping[str, Colu
 def _cell(x: Column, span: Span, cells: int) -> Column:
     # halves keep the differences finite for any pair of doubles
     width = max(span.high / 2 - span.low / 2, 5e-324)
-    return F.least(
-        F.floor((x / 2 - F.lit(span.low / 2)) / F.lit(width) * cells), F.lit(cells - 1)
-    ).cast("int")
+    place = F.floor((x / 2 - F.lit(span.low / 2)) / F.lit(width) * cells)
+    # the largest value has a cell of its own, so every pass gets further
+    return F.when(x >= F.lit(span.high), F.lit(cells)).otherwise(F.least(place, F.lit(cells - 1))).cast("int")
 
 
 def _log_cell(x: Column) -> Column:
