@@ -102,20 +102,20 @@ def grouped_histogram(
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     """Row count, range, quartiles and mean per group; quartiles are interpolated."""
-    quartiles = grouped_quantiles(
-        df, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, interpolate=True
-    )
-    x = F.col(value).cast("double")
-    usable = F.when(~F.isnan(x), x)
-    rest = df.groupBy(F.col(by).alias("_group")).agg(
-        F.count(usable).alias("n"),
-        F.min(usable).alias("min_value"),
-        F.max(usable).alias("max_value"),
-        F.avg(usable).alias("mean"),
-    )
-    return quartiles.join(rest, F.col(by).eqNullSafe(F.col("_group"))).select(
-        by, "n", "min_value", "q1", "median", "q3", "max_value", "mean"
-    )
+    x, n = F.col(value), F.col("n")
+    return grouped_quantiles(
+        df,
+        [by],
+        value,
+        {"q1": 0.25, "median": 0.5, "q3": 0.75},
+        interpolate=True,
+        extra={
+            "rows": F.sum(n),
+            "min_value": F.min(x),
+            "max_value": F.max(x),
+            "mean": F.sum(n * x) / F.sum(n),
+        },
+    ).select(by, F.col("rows").alias("n"), "min_value", "q1", "median", "q3", "max_value", "mean")
 
 
 def top_n(df: DataFrame, measure: str, key: str, n: int = fixed.TOP_ROWS) -> DataFrame:

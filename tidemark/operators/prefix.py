@@ -84,10 +84,11 @@ def running_sums(
     inside = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     within = placed.select("*", *[F.sum(n).over(inside).alias(f"upto_{n}") for n in names])
 
-    if not cuts and not by:
-        totals = {n: facts[f"_{n}"] or 0 for n in names}
-        frame = within.select("*", *[F.lit(totals[n]).alias(f"all_{n}") for n in names])
-        return frame.drop("_bucket"), totals
+    if not cuts:
+        # one bucket: a table of at most ``rows_per_bucket`` rows
+        group = Window.partitionBy(*(by or ["_bucket"]))
+        frame = within.withColumns({f"all_{n}": F.sum(n).over(group) for n in names})
+        return frame.drop("_bucket"), {n: facts[f"_{n}"] or 0 for n in names}
 
     # at most buckets x groups rows: bucket totals, cumulated
     ahead = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -124,13 +125,15 @@ def grouped_quantiles(
     value: str,
     levels: Mapping[str, float],
     interpolate: bool = False,
+    extra: Mapping[str, Column] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Exact quantiles per group, one column per named level.
 
     With ``interpolate`` the two neighbouring order statistics are mixed
     linearly; otherwise the smallest value whose share reaches the level is
-    taken.
+    taken.  ``extra`` aggregates are taken over the group's distinct values, each
+    with its row count ``n``.
     """
     frame, _ = running_sums(df, value, {"n": F.lit(1)}, by, rows_per_bucket)
     n, upto, x = F.col("all_n"), F.col("upto_n"), F.col(value)
@@ -153,4 +156,9 @@ def grouped_quantiles(
         else:
             picks.append(at(F.greatest(F.ceil(n * exact), F.lit(1))).alias(name))
             finish.append(F.col(name))
-    return frame.groupBy(*by).agg(*picks).select(*by, *finish)
+    more = extra or {}
+    return (
+        frame.groupBy(*by)
+        .agg(*picks, *[e.alias(name) for name, e in more.items()])
+        .select(*by, *finish, *more)
+    )

@@ -81,9 +81,8 @@ def _log_cell(x: Column) -> Column:
 
 def _stacked(data: DataFrame, tags: Sequence[Column]) -> DataFrame:
     """One row per non-null tag."""
-    if len(tags) == 1:
-        return data.select(tags[0].alias("t")).where("t is not null").select("t.*")
-    return data.select(F.explode(F.array_compact(F.array(*tags))).alias("t")).select("t.*")
+    one = tags[0] if len(tags) == 1 else F.explode(F.array(*tags))
+    return data.select(one.alias("t")).where("t is not null").select("t.*")
 
 
 def _tagged(data: DataFrame, names: Sequence[str], spans: Sequence[Span], cells: int) -> DataFrame:

@@ -50,9 +50,7 @@ def prepare(customers: DataFrame, applications: DataFrame, transactions: DataFra
     asked = cleaning.clean_applications(applications)
     moves = cleaning.clean_transactions(transactions)
     thresholds = quality.empirical_thresholds(moves, people)
-    table = durable(
-        customer_features(people, asked, moves, thresholds, settings.as_of, cap_kpis=settings.cap_kpis)
-    )
+    table = customer_features(people, asked, moves, thresholds, settings.as_of, cap_kpis=settings.cap_kpis)
     rows = durable(
         modeling.encode_gender(application_features(asked, table, settings.strict_history))
     )

@@ -9,7 +9,7 @@ from tidemark.operators.quantiles import approx_quantile_table, exact_quantiles,
 from tidemark.plans import customer as plans
 
 from .registry import query, r, rounded
-from .views import AS_OF, raw_applications, raw_customers, raw_transactions, table, using
+from .views import AS_OF, raw_applications, raw_customers, raw_transactions, staged_transactions, table, using
 
 
 @query(
@@ -58,7 +58,7 @@ def monthly_net_flow(spark, folder):
     ),
 )
 def low_balance_count(spark, folder):
-    moves = cleaning.clean_transactions(raw_transactions(spark, folder))
+    moves = cleaning.clean_transactions(staged_transactions(spark, folder))
     positive = moves.select(F.when(F.col("balance") > 0, F.col("balance")).alias("x"))
     threshold = exact_quantiles(positive, {"x": [0.1]})["x"][0]
     return activity.low_balance_count(moves, threshold)
@@ -172,7 +172,7 @@ def prepared_tables(spark, folder):
     """Cleaned customers, applications and transactions, thresholds, customer table."""
     people = cleaning.clean_customers(raw_customers(spark, folder))
     asked = cleaning.clean_applications(raw_applications(spark, folder))
-    moves = cleaning.clean_transactions(raw_transactions(spark, folder))
+    moves = cleaning.clean_transactions(staged_transactions(spark, folder))
     thresholds = quality.empirical_thresholds(moves, people)
     features = plans.customer_features(people, asked, moves, thresholds, AS_OF)
     return people, asked, moves, features

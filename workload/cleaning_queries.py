@@ -14,7 +14,7 @@ from tidemark.session import scratch_path
 from tidemark.sources import tables
 
 from .registry import query, r, rounded
-from .views import AS_OF, raw_applications, raw_customers, raw_transactions, table, using
+from .views import AS_OF, raw_applications, raw_customers, staged_transactions, table, using
 
 
 @query(
@@ -78,7 +78,7 @@ def impute_median(spark, folder):
     ),
 )
 def missing_flag(spark, folder):
-    cleaned = cleaning.clean_transactions(raw_transactions(spark, folder))
+    cleaned = cleaning.clean_transactions(staged_transactions(spark, folder))
     return cleaned.select("l_orderkey", "l_linenumber", "balance_missing", "balance")
 
 

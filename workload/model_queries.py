@@ -12,7 +12,7 @@ from tidemark.sources import tables
 from tidemark.streaming import runtime
 
 from .registry import query, r, rounded
-from .views import AS_OF, raw_applications, raw_customers, raw_transactions, table, using
+from .views import AS_OF, raw_applications, raw_customers, staged_transactions, table, using
 
 
 @query(
@@ -205,7 +205,7 @@ SETTINGS = training.Settings(as_of=AS_OF)
 
 def _trained(spark, folder):
     prepared = training.prepare(
-        raw_customers(spark, folder), raw_applications(spark, folder), raw_transactions(spark, folder), SETTINGS
+        raw_customers(spark, folder), raw_applications(spark, folder), staged_transactions(spark, folder), SETTINGS
     )
     features = training.select_features(prepared, SETTINGS)
     return prepared, features, training.fit(prepared, features, SETTINGS)

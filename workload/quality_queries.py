@@ -11,7 +11,7 @@ from tidemark.plans import report
 
 from .activity_queries import prepared_tables
 from .registry import query, r, rounded
-from .views import raw_applications, raw_customers, raw_requests, raw_transactions, table, using
+from .views import raw_applications, raw_customers, raw_requests, raw_transactions, staged_transactions, table, using
 
 
 @query(
@@ -98,7 +98,7 @@ def thin_history(spark, folder):
 )
 def empirical_thresholds(spark, folder):
     people = cleaning.clean_customers(raw_customers(spark, folder))
-    moves = cleaning.clean_transactions(raw_transactions(spark, folder))
+    moves = cleaning.clean_transactions(staged_transactions(spark, folder))
     return report.thresholds_frame(moves, people)
 
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import durable
+
 AS_OF = "2002-01-01"
 REQUESTS_AS_OF = "2024-02-01 00:00:00"
 
@@ -61,6 +63,15 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return lines.join(owners, lines.l_orderkey == owners.o_orderkey).selectExpr(*TRANSACTION_COLUMNS)
 
 
+def staged_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions as a table of their own.
+
+    Cleaning and thresholds read single columns of them several times; joining
+    line items to orders for each of those reads would cost a shuffle each.
+    """
+    return durable(raw_transactions(spark, folder))
+
+
 def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(*REQUEST_COLUMNS)
 
