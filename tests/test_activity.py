@@ -127,6 +127,9 @@ def test_customer_work_is_placed_by_customer_once(frame):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("Sort [") == 1
+    drawdown = activity.monthly_drawdown(frame(made_up(), SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert drawdown.count("Exchange hashpartitioning") == 2 and "Join" not in drawdown
+    assert drawdown.count("Sort [") == 1
 
 
 def test_imputed_balances_can_be_left_out(frame):

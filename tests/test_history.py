@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -67,16 +68,31 @@ def test_attributes_ride_along(frame):
     assert all(r["score"] == {"hot": 7, "c1": 8}.get(r["id"]) for r in got)
 
 
-def test_application_rows_are_not_shuffled_by_customer_alone(frame):
+def placements(df):
+    """Columns of every shuffle in the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    return sorted(", ".join(re.findall(r"([a-z_]+)#", f)) for f in found)
+
+
+def test_application_rows_move_once_and_never_by_customer_alone(spark, frame):
     people = frame([("hot", 7)], "id string, score int")
-    plan = (
-        history.application_history(frame(made_up(50), SCHEMA), attributes=people)
-        ._jdf.queryExecution().executedPlan().toString()
-    )
-    for line in plan.splitlines():
-        if "Exchange hashpartitioning(id" in line and "_block" not in line:
-            assert "id" in line  # block totals and attributes only
-    assert "_block" in plan
+    df = history.application_history(frame(made_up(50), SCHEMA), attributes=people)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # applications, block totals twice; then block totals and attributes by customer
+        assert placements(df) == ["id", "id"] + ["id, _day, _block"] * 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_application_without_a_customer_has_no_history(frame):
+    day = date(2024, 5, 1)
+    df = frame([(None, 1, day, 5.0, "TakeUp"), (None, 2, day, 6.0, "TakeUp"), (None, 3, date(2024, 6, 1), 6.0, None)], SCHEMA)
+    for strict in (False, True):
+        for r in history.application_history(df, strict=strict).collect():
+            assert (r["prior_applications"], r["prior_successes"], r["prior_max_amount"]) == (0, 0, 0.0)
 
 
 def test_profile(frame):

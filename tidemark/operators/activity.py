@@ -69,8 +69,12 @@ def monthly_drawdown(df: DataFrame, key="id", date="dt", balance="balance") -> D
     return (
         _with_peak(daily_balance_range(df, key, date, balance), key, date)
         .where(F.col(date) >= F.col("peak_date"))
-        .groupBy(key, "month", "peak_date", "peak_balance")
-        .agg(lowest.alias("trough"))
+        .groupBy(key, "month")
+        .agg(
+            F.first("peak_date").alias("peak_date"),
+            F.first("peak_balance").alias("peak_balance"),
+            lowest.alias("trough"),
+        )
         .select(
             key,
             year_month(F.col("month")).alias("year_month"),

@@ -38,16 +38,6 @@ def application_profile(
     )
 
 
-def _joined_to_offsets(rows: DataFrame, offsets: DataFrame, key: str) -> DataFrame:
-    right = offsets.withColumnsRenamed({key: "_key", "_day": "_on_day", "_block": "_in_block"})
-    on = (
-        F.col(key).eqNullSafe(F.col("_key"))
-        & (F.col("_day") == F.col("_on_day"))
-        & (F.col("_block") == F.col("_in_block"))
-    )
-    return rows.join(right, on, "left")
-
-
 def application_history(
     df: DataFrame,
     key="id",
@@ -65,7 +55,8 @@ def application_history(
     ``strict=False`` orders by date and then by the unique integer ``tiebreak``,
     so an application sees those of the same day with a smaller number;
     ``strict=True`` sees earlier days only.  Pending applications count as
-    applications, not as acceptances.
+    applications, not as acceptances.  An application without a customer has no
+    history.
 
     ``attributes`` holds one row per key.  Its columns reach the applications
     together with the offsets: they are joined to the few blocks of a customer,
@@ -101,17 +92,20 @@ def application_history(
     if attributes is not None:
         carried = [c for c in attributes.columns if c != key]
         offsets = offsets.join(attributes, key, "left")
-    placed = _joined_to_offsets(rows, offsets, key)
-    n, hits, won = F.col("_before_n"), F.col("_before_hits"), F.col("_before_won")
+    placed = rows.join(offsets, [key, "_day", "_block"], "left")
+    n = F.coalesce("_before_n", F.lit(0))
+    hits = F.coalesce("_before_hits", F.lit(0))
+    won = F.col("_before_won")
     if not strict:
         inside = (
             Window.partitionBy(key, "_day", "_block")
             .orderBy(tiebreak)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        n = n + F.count(F.lit(1)).over(inside)
-        hits = hits + F.coalesce(F.sum("_hit").over(inside), F.lit(0))
-        won = F.greatest(won, F.max("_won").over(inside))
+        known = F.when(F.col(key).isNotNull(), 1)
+        n = n + F.count(known).over(inside)
+        hits = hits + F.coalesce(F.sum(known * F.col("_hit")).over(inside), F.lit(0))
+        won = F.greatest(won, F.max(known * F.col("_won")).over(inside))
     history = placed.select(
         *df.columns,
         n.alias("prior_applications"),
@@ -157,8 +151,8 @@ def asof_balance_features(
     known = F.sum("known").over(before)
     seen = (
         timeline.select(
-            F.col(key).alias("_key"),
-            F.col("_day").alias("_on_day"),
+            key,
+            "_day",
             "asked",
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("asof_transactions"),
             F.coalesce(F.sum("net").over(before), F.lit(0.0)).alias("asof_net_flow"),
@@ -168,8 +162,5 @@ def asof_balance_features(
         .where("asked")
         .drop("asked")
     )
-    return (
-        applications.withColumn("_day", day_number(F.col(date)))
-        .join(seen, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_day") == F.col("_on_day")), "left")
-        .drop("_key", "_on_day", "_day")
-    )
+    asking = applications.withColumn("_day", day_number(F.col(date)))
+    return asking.join(seen, [key, "_day"], "left").drop("_day")

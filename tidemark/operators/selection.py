@@ -12,7 +12,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
@@ -42,12 +42,16 @@ def keep_varying(df: DataFrame, features: Sequence[str], threshold: float = fixe
     return [c for c in features if c not in dropped], [c for c in features if c in dropped]
 
 
-def complete_cases(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows in which every feature is a number."""
+def is_complete(features: Sequence[str]) -> Column:
+    """Whether every feature of a row is a number."""
     usable = F.lit(True)
     for c in features:
         usable = usable & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    return df.where(usable)
+    return usable
+
+
+def complete_cases(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return df.where(is_complete(features))
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:

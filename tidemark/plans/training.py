@@ -81,10 +81,14 @@ def training_metrics(
     """Metrics of a fit as report rows: AUC, sizes, features, confusion, fairness, ablation."""
     spark = prepared.train.sparkSession
     scored = scored_test(prepared, model, features)
+    kept = F.count_if(selection.is_complete(features))
+    n_train, n_train_complete = prepared.train.agg(F.count("*"), kept).first()
+    n_test, n_test_complete = prepared.test.agg(F.count("*"), kept).first()
     counts = {
-        "n_train": prepared.train.count(),
-        "n_test": prepared.test.count(),
-        "n_train_complete": selection.complete_cases(prepared.train, features).count(),
+        "n_train": n_train,
+        "n_test": n_test,
+        "n_train_complete": n_train_complete,
+        "n_test_complete": n_test_complete,
         "n_unlabelled": prepared.applications.where("outcome is null").count(),
     }
     size_rows = literal_frame(
@@ -97,7 +101,7 @@ def training_metrics(
         F.lit("fairness").alias("section"), "metric", "label", "value"
     )
     ablation = modeling.feature_ablation(
-        prepared.train, selection.complete_cases(prepared.test, features), features, LABEL,
+        prepared.train, selection.complete_cases(prepared.test, features), features, LABEL, full_model=model,
         reg_param=settings.reg_param, elastic_net=settings.elastic_net,
     )
     parts = [

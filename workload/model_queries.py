@@ -220,9 +220,9 @@ def train_classifier(spark, folder):
 
 @query("feature_ablation")
 def feature_ablation(spark, folder):
-    prepared, features, _ = _trained(spark, folder)
+    prepared, features, model = _trained(spark, folder)
     test = selection.complete_cases(prepared.test, features)
-    return modeling.feature_ablation(prepared.train, test, features, training.LABEL)
+    return modeling.feature_ablation(prepared.train, test, features, training.LABEL, full_model=model)
 
 
 @query("top_coefficients")

@@ -24,6 +24,7 @@ from .views import (
 LATENCY_BOUNDS = (0.1, 0.25, 0.5, 1.0, 2.5)
 SCORE_BOUNDS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 AGE_BOUNDS = (20, 30, 40, 50, 60, 70)
+RATIO_BOUNDS = (0.5, 1.0, 10.0, 50.0, 100.0)
 FLOW_BOUNDS = (0.0, 10000.0, 50000.0, 100000.0, 500000.0)
 PROFILE_FEATURES = (
     "inflow_count", "outflow_count", "avg_balance", "min_balance", "std_balance",
@@ -42,10 +43,6 @@ def _ranges(length: int, slide: int, columns: str = "*", source: str = "raw_requ
     )
 
 
-def _plain_times(df):
-    return df
-
-
 @query(
     "request_rate",
     using(
@@ -272,6 +269,21 @@ def cash_flow_buckets(spark, folder):
     return rounded(found, ["per_second"])
 
 
+@query(
+    "balance_ratio_buckets",
+    using(
+        _PROFILE_VIEWS,
+        _PROFILE_CTES + ", " + _ranges(60, 60, source="profiled")
+        + _feature_bucket_sql("balance_to_income_ratio", RATIO_BOUNDS),
+    ),
+)
+def balance_ratio_buckets(spark, folder):
+    found = telemetry.feature_buckets(
+        _keyed_requests(spark, folder), _profiles(spark, folder), "id", "balance_to_income_ratio", RATIO_BOUNDS
+    )
+    return rounded(found, ["per_second"])
+
+
 @query(
     "feature_sum_rate",
     using(
