@@ -31,6 +31,17 @@ def test_split_is_disjoint_complete_and_independent_of_partitions(frame):
     assert b != {r["app_id"] for r in other.collect()}
 
 
+def test_exact_shares(frame):
+    df = applications(frame)
+    got = modeling.stratified_split_exact(df, "target", "app_id").groupBy("target").agg(
+        F.count("*").alias("n"), F.count_if("is_test").alias("test")
+    )
+    for r in got.collect():
+        assert r["test"] == -(-r["n"] // 5)
+    empty = modeling.stratified_split_exact(df.where("target is null"), "target", "app_id")
+    assert empty.count() == 0
+
+
 def test_recorded_class_weights(spark):
     df = spark.range(3203).select((F.col("id") < 458).cast("int").alias("y"))
     got = {r["y"]: r["class_weight"] for r in modeling.class_weights(df, "y").distinct().collect()}

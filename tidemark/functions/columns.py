@@ -157,6 +157,12 @@ def hash_share(key: Column, seed: int) -> Column:
     return F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, 4)
 
 
+def hash_number(key: Column, seed: int) -> Column:
+    """The same hash as a 52-bit number, fine enough to order keys by it."""
+    digits = F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, 13)
+    return F.conv(digits, 16, 10).cast("double")
+
+
 def share_cutoff(share: float) -> str:
     """Hex text below which a ``share`` of :func:`hash_share` values lie."""
     return "g" if share >= 1 else f"{int(share * 0x10000):04x}"

@@ -29,6 +29,22 @@ def stratified_split(spark, folder):
     return modeling.stratified_split(rows, "target", "app_id")
 
 
+@query(
+    "stratified_split_exact",
+    using(
+        "raw_applications",
+        """SELECT app_id, CAST(outcome = 'TakeUp' AS INTEGER) AS target,
+                  row_number() OVER (PARTITION BY outcome
+                                     ORDER BY substr(md5(CAST(app_id AS VARCHAR) || ':42'), 1, 13))
+                  <= ceil(count(*) OVER (PARTITION BY outcome) * 0.2) AS is_test
+           FROM raw_applications WHERE outcome IS NOT NULL""",
+    ),
+)
+def stratified_split_exact(spark, folder):
+    rows = raw_applications(spark, folder).select("app_id", history.accepted_flag().alias("target"))
+    return modeling.stratified_split_exact(rows, "target", "app_id")
+
+
 # A fixed rule stands for a model where SQL has to give the same scores.
 _RULE_SQL = """, scored AS (
         SELECT a.app_id, CAST(a.outcome = 'TakeUp' AS INTEGER) AS target, floor(a.amount / 1000) / 500 AS score,
