@@ -113,6 +113,7 @@ def test_asof_features_against_brute_force(frame):
          None if rng.random() < 0.2 else float(rng.randrange(50)))
         for _ in range(300)
     ]
+    moves.append(("a", None, 100.0, 1.0))
     asked = [(rng.choice("abc"), n, start + timedelta(days=rng.randrange(30)), 1.0, None) for n in range(60)]
     df = history.asof_balance_features(
         frame(asked, SCHEMA), frame(moves, "id string, dt date, amount double, balance double")
@@ -120,7 +121,7 @@ def test_asof_features_against_brute_force(frame):
     rows = df.collect()
     assert len(rows) == len(asked)
     for r in rows:
-        before = [m for m in moves if m[0] == r["id"] and m[1] < r["dt"]]
+        before = [m for m in moves if m[0] == r["id"] and m[1] and m[1] < r["dt"]]
         held = [m[3] for m in before if m[3] is not None]
         assert r["asof_transactions"] == len(before)
         assert r["asof_net_flow"] == pytest.approx(sum(m[2] for m in before))

@@ -130,13 +130,14 @@ def asof_balance_features(
     amount="amount",
     balance="balance",
 ) -> DataFrame:
-    """Each application with the customer's transactions strictly before its date.
+    """Each application with the customer's transactions dated strictly before it.
 
     Transactions are combined per customer and day and laid on one timeline with
     the days on which the customer applied.  The running window walks days, not
     rows, and its result is joined back by customer and day.
     """
-    daily = transactions.groupBy(key, day_number(F.col(tx_date)).alias("_day")).agg(
+    dated = transactions.where(F.col(tx_date).isNotNull())
+    daily = dated.groupBy(key, day_number(F.col(tx_date)).alias("_day")).agg(
         F.count("*").alias("n"),
         F.sum(amount).alias("net"),
         F.count(balance).alias("known"),
