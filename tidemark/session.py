@@ -32,37 +32,67 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
+#: Folders made for sessions that name none, and the scratch tables of this process.
+_LOCAL_ROOTS: dict[str, str] = {}
+_WRITTEN: list[str] = []
+
+#: Makes Spark delete the shuffle files of a query when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (unit tests, a laptop) is a temporary
-    folder made, once, and recorded in the session.
+    A session on one machine that names none (unit tests, a laptop) gets a
+    temporary folder.  On a cluster that would lose data, so there it is an error.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named)
-    return named
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared root; nothing is ever reused or deleted."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared root, known to :func:`drop_scratch`."""
+    path = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete scratch tables that this process wrote: all, or the given ones.
+
+    Call it when no DataFrame that reads them is needed any more.  Paths that
+    were not made by :func:`scratch_path` are refused.
+    """
+    for path in list(_WRITTEN) if paths is None else paths:
+        _WRITTEN.remove(path)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and continue from there.
 
     Used for tables that several jobs read: lineage is cut at reliable storage,
     so a lost executor costs a re-read and not a re-computation, and later jobs
-    read only the columns they need.
+    read only the columns they need.  The shuffle files of the write are
+    released at its end, as nothing refers to them any more.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    path = path or scratch_path(spark, "table")
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
