@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup
+from . import line_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,36 @@ from judged group by doc_id
 def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SUBSTRING_DEDUP_SQL = """
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents
+), windows as (
+  select doc_id, s, array_to_string(w[s : s + 12], ' ') as seq
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as s from words where len(w) >= 13)
+), firsts as (
+  select seq, min(doc_id) as first_doc from windows group by seq having min(doc_id) < max(doc_id)
+), removed as (
+  select distinct doc_id, p from (
+    select w.doc_id, unnest(range(s, s + 13)) as p
+    from windows w join firsts f on w.seq = f.seq where w.doc_id > f.first_doc)
+), kept as (
+  select a.doc_id, a.p, a.word, r.p is not null as gone
+  from (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from words) a
+  left join removed r on a.doc_id = r.doc_id and a.p = r.p
+), counted as (
+  select doc_id, count(*) as n_words, count(*) filter (where gone) as n_removed,
+         string_agg(word, ' ' order by p) filter (where not gone) as kept
+  from kept group by doc_id
+)
+select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join counted c on d.doc_id = c.doc_id
+"""
+
+
+@query("op2_substring_dedup", SUBSTRING_DEDUP_SQL)
+def substring_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    done = substring_dedup.dedup_substrings(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
