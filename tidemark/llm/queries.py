@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, substring_dedup
+from . import line_dedup, packing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public vocabulary files lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 LINE_DEDUP_SQL = """
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -86,3 +93,10 @@ from documents d left join counted c on d.doc_id = c.doc_id
 def substring_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     done = substring_dedup.dedup_substrings(table(spark, folder, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op3_packing")
+def packing_query(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pieces_of(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), 2048, end_id=0)
+    done = packing.pack(pieces, 2048)
+    return done.select(F.col("id").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
