@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, substring_dedup
+from . import line_dedup, packing, quality_rules, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,48 @@ def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pieces_of(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), 2048, end_id=0)
     done = packing.pack(pieces, 2048)
     return done.select(F.col("id").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+QUALITY_SQL = """
+with base as (
+  select doc_id, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10)) as lines,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), lines as (
+  select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from base
+), worded as (
+  select *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') as w,
+         row_number() over (partition by doc_id, line order by pos) as nth
+  from lines where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+), by_line as (
+  select doc_id, count(*) filter (where nth > 1) as n_dup_lines,
+         coalesce(sum(len(w)) filter (where
+           len(regexp_extract_all(line, '[\\x20\\x09-\\x0D](\\||»|›|·|•|>|/)([\\x20\\x09-\\x0D]|$)')) + 1 >= 3
+           or regexp_matches(line, '(?i)\\b(all rights reserved|licensed under|released under the|terms of (use|service)|privacy policy|cookie policy|accept cookies|enable javascript|subscribe to our newsletter|click here to|sign up now)\\b')
+           or len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.25 * len(w)
+           or (len(w) >= 8 and not regexp_matches(line, '[.!?…:;"''”’»)\\]。！？]([\\x20\\x09-\\x0D]|$)'))
+         ), 0) as lost
+  from worded group by doc_id
+), windows as (
+  select doc_id, s, array_to_string(w[s : s + 4], ' ') as seq
+  from (select doc_id, w, unnest(range(1, len(w) - 3)) as s from base where len(w) >= 5)
+), twice as (
+  select doc_id, s from (select *, count(*) over (partition by doc_id, seq) as n from windows) where n > 1
+), repeats as (
+  select doc_id, count(distinct p) as n from (select doc_id, unnest(range(s, s + 5)) as p from twice) group by doc_id
+), counted as (
+  select b.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+         coalesce(r.n, 0) as n_repeat_words, coalesce(lost, 0) as n_words_lost
+  from base b left join by_line l on b.doc_id = l.doc_id left join repeats r on b.doc_id = r.doc_id
+)
+select *, (n_words < 10 or 100 * n_repeat_words > 20 * n_words) as base_failed,
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words_lost <= 0.3 * n_words as kept
+from counted
+"""
+
+
+@query("op7_quality_rules", QUALITY_SQL)
+def quality_query(spark: SparkSession, folder: str) -> DataFrame:
+    done = quality_rules.apply_rules(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.drop("text", "kept_text")
