@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, substring_dedup
+from . import line_dedup, packing, quality_rules, substring_dedup, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,14 @@ from counted
 def quality_query(spark: SparkSession, folder: str) -> DataFrame:
     done = quality_rules.apply_rules(table(spark, folder, "documents").select("doc_id", "text"))
     return done.drop("text", "kept_text")
+
+
+@query("op6_word_bpe")
+def word_bpe_query(spark: SparkSession, folder: str) -> DataFrame:
+    done = word_bpe.encode_texts(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_file("word_bpe_49k.json"))
+    return done.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids_text", 256).alias("ids_sha256"),
+        F.sha2("decoded_text", 256).alias("decoded_sha256"),
+    )
