@@ -101,8 +101,10 @@ def dedup_substrings(
     anchor_path, window_path = scratch_path(spark, "anchors"), scratch_path(spark, "windows")
     found = durable(source.mapInArrow(anchors, "doc long, row long, anchor long"), anchor_path)
     shared = found.groupBy("anchor").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    # Tables of their own: beside an aggregate Spark could not split the hot side of the join.
+    shared = durable(shared.select("anchor"))
     seeds = durable(
-        found.join(shared.select("anchor"), "anchor", "left_semi")
+        found.join(shared, "anchor", "left_semi")
         .groupBy("doc", "row")
         .agg(F.collect_set("anchor").alias("anchors"))
     )
@@ -142,8 +144,9 @@ def dedup_substrings(
         window_path,
     )
     firsts = extended.groupBy("w1", "w2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    firsts = durable(firsts.select("w1", "w2", "first"))
     removed = durable(
-        extended.join(firsts.select("w1", "w2", "first"), ["w1", "w2"])
+        extended.join(firsts, ["w1", "w2"])
         .where("doc > first")
         .groupBy("doc", "row")
         .agg(F.sort_array(F.collect_set("at")).alias("__at"))
