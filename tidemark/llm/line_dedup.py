@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
 from .common import SPACES, ascii_lower, text_key, two_hashes, without
 
 RESULT = ["n_lines", "n_dropped", "kept_text"]
@@ -55,8 +56,10 @@ def dedup_lines(
             .agg(F.min("doc").alias("first"), F.count("*").alias("n"))
             .where(F.col("n") >= min_documents)
         )
+    # A table of its own: beside an aggregate Spark could not split the hot lines of the join.
+    repeated = durable(repeated.select("h1", "h2", "first"))
     dropped = (
-        found.join(repeated.select("h1", "h2", "first"), ["h1", "h2"])
+        found.join(repeated, ["h1", "h2"])
         .where(F.col("doc") > F.col("first"))
         .groupBy("doc", "row")
         .agg(F.collect_list("pos").alias("__dropped"))
