@@ -20,7 +20,11 @@ class Merges:
             parts = self.letters(a + b)
             if self.encode(parts) == [a + b]:
                 self.tokens[a + b] = len(parts)
-        self.longest = max(self.tokens.values(), default=1)
+        #: The longest token by its last two letters.
+        self.reach: dict[str, int] = {}
+        for token, size in self.tokens.items():
+            end = "".join(self.letters(token)[-2:])
+            self.reach[end] = max(size, self.reach.get(end, 1))
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def letters(self, token: str) -> list[str]:
@@ -34,20 +38,14 @@ class Merges:
 
     def encode(self, letters: list[str]) -> list[str]:
         """By the rules: merge the pair of lowest rank, from the left, until none is left."""
-        parts, rank = letters, self.rank
+        parts, rank, none = list(letters), self.rank.get, 1 << 60
         while len(parts) > 1:
-            best = min(zip(parts, parts[1:]), key=lambda p: rank.get(p, 1 << 60))
-            if best not in rank:
+            ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
+            best = min(ranks)
+            if best == none:
                 break
-            merged, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
+            at = ranks.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
     def stand(self, left: str, right: str) -> bool:
@@ -61,7 +59,7 @@ class Merges:
     def last_token(self, letters: str, last: list[str], suffix: str = "") -> str:
         """The last token of ``letters`` (with ``suffix``); ``last[i]`` is that of the first ``i + 1`` letters."""
         n, tokens = len(letters), self.tokens
-        for size in range(min(n, self.longest), 1, -1):
+        for size in range(min(n, self.reach.get(letters[-2:] + suffix, 1)), 1, -1):
             token = letters[n - size :] + suffix
             if token in tokens and (size == n or self.stand(last[n - size - 1], token)):
                 return token

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, substring_dedup, word_bpe
+from . import line_dedup, packing, quality_rules, substring_dedup, token_counts, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,10 @@ def word_bpe_query(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids_text", 256).alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_token_counts")
+def token_counts_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    done = token_counts.count_tokens(docs, tokenizer_file("byte_bpe_50k.json"))
+    return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))

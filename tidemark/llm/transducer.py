@@ -66,7 +66,7 @@ class Transducer:
         seen, last, counts = window
         now = seen + letter
         n = len(now)
-        for size in range(min(n, self.merges.longest), 1, -1):
+        for size in range(min(n, self.merges.reach.get(now[-2:], 1)), 1, -1):
             token = now[n - size :]
             if token in self.merges.tokens:
                 at = n - size
