@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, substring_dedup, token_counts, word_bpe
+from . import line_dedup, packing, quality_rules, substring_dedup, token_counts, top_k, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +163,22 @@ def token_counts_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = token_counts.count_tokens(docs, tokenizer_file("byte_bpe_50k.json"))
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+TOP_K_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
+@query("op9_top_k", TOP_K_SQL)
+def top_k_query(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
