@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, substring_dedup, token_counts, top_k, word_bpe
+from . import line_dedup, packing, preference, quality_rules, substring_dedup, token_counts, top_k, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -182,3 +182,55 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 @query("op9_top_k", TOP_K_SQL)
 def top_k_query(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+PREFERENCE_SQL = """
+with replies as (
+  select conv_id, max(turn) as last_turn, max_by(text, turn) as own from conversations where role = 'assistant' group by conv_id
+), pairs as (
+  select a.conv_id, a.last_turn, a.own, b.own as other
+  from replies a join replies b on b.conv_id = a.conv_id + 1 - 2 * (a.conv_id % 2)
+), turns as (
+  select c.conv_id as pair_id, c.turn, c.role, c.text as c_text,
+         case when c.turn = p.last_turn then p.other else c.text end as r_text,
+         row_number() over (partition by c.conv_id order by c.turn) as pos
+  from conversations c join pairs p on c.conv_id = p.conv_id
+  where c.turn < p.last_turn or (c.turn = p.last_turn and c.role = 'assistant')
+), cut as (
+  select pair_id, coalesce(min(pos) filter (where c_text <> r_text) - 1, count(*)) as n from turns group by pair_id
+), placed as (
+  select t.*, n, '<|' || role || '|>' || chr(10) as head from turns t join cut using (pair_id)
+), measured as (
+  select *,
+    coalesce(sum(length(head) + length(c_text) + 1) over (partition by pair_id, pos > n order by pos rows between unbounded preceding and 1 preceding), 0) as c_at,
+    coalesce(sum(length(head) + length(r_text) + 1) over (partition by pair_id, pos > n order by pos rows between unbounded preceding and 1 preceding), 0) as r_at
+  from placed
+)
+select pair_id, any_value(n) as n_prompt_turns,
+  coalesce(string_agg(head || c_text || chr(10), '' order by pos) filter (where pos <= n), '') as prompt,
+  coalesce(string_agg(head || c_text || chr(10), '' order by pos) filter (where pos > n), '') as chosen,
+  coalesce(string_agg(head || r_text || chr(10), '' order by pos) filter (where pos > n), '') as rejected,
+  coalesce(string_agg((c_at + length(head))::bigint || '-' || (c_at + length(head) + length(c_text))::bigint, ',' order by pos) filter (where pos > n and role = 'assistant'), '') as chosen_mask,
+  coalesce(string_agg((r_at + length(head))::bigint || '-' || (r_at + length(head) + length(r_text))::bigint, ',' order by pos) filter (where pos > n and role = 'assistant'), '') as rejected_mask,
+  count(*) filter (where pos > n) = 0 as is_identical
+from measured group by pair_id
+"""
+
+
+@query("op8_preference_format", PREFERENCE_SQL)
+def preference_query(spark: SparkSession, folder: str) -> DataFrame:
+    done = preference.format_preferences(preference.swapped_replies(table(spark, folder, "conversations")))
+
+    def spelled(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+
+    return done.select(
+        "pair_id",
+        "n_prompt_turns",
+        "prompt",
+        "chosen",
+        "rejected",
+        spelled("chosen_spans").alias("chosen_mask"),
+        spelled("rejected_spans").alias("rejected_mask"),
+        "is_identical",
+    )
