@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, preference, quality_rules, substring_dedup, token_counts, top_k, word_bpe
+from . import line_dedup, near_dedup, packing, preference, quality_rules, substring_dedup, token_counts, top_k, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -234,3 +234,8 @@ def preference_query(spark: SparkSession, folder: str) -> DataFrame:
         spelled("rejected_spans").alias("rejected_mask"),
         "is_identical",
     )
+
+
+@query("op10_near_dedup")
+def near_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, folder, "documents").select("doc_id", "text"))
