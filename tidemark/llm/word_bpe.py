@@ -36,13 +36,15 @@ class WordEncoder:
         self.letters = {b: c for c, b in byte_letters().items()}
         self.merges = Merges([tuple(m) for m in bpe["merges"]], bpe["end_of_word_suffix"])
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
-        self.ids = bpe["vocab"] | self.special
+        self.ids = {t: str(i) for t, i in (bpe["vocab"] | self.special).items()}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         tokenizer = Tokenizer.from_file(path)
         self.normal = tokenizer.normalizer.normalize_str
         self.cut = tokenizer.pre_tokenizer.pre_tokenize_str
         #: By run of a text without ASCII white space: number of tokens, their ids and the tokens as text.
         self.known: dict[bytes, tuple[int, str, str]] = {}
+        #: The same by word.
+        self.learned: dict[str, tuple[int, str, str]] = {}
 
     def words(self, run: bytes) -> list[str]:
         """The words of a run, spelled in the vocabulary's letters; special strings as they are."""
@@ -58,16 +60,21 @@ class WordEncoder:
 
     def learn(self, runs: set[bytes]) -> None:
         """Encode the distinct words of new runs in trie order, each shared prefix once."""
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = {r: self.words(r) for r in runs if r not in self.known}
-        path, tokens = Prefixes(self.merges), {s: [s] for s in self.special}
-        for word in sorted({w for words in new.values() for w in words} - tokens.keys()):
-            tokens[word] = path.encode(word)
-        ids = self.ids
+        known, learned, ids = self.known, self.learned, self.ids
+        if len(known) > KEPT_WORDS:
+            known.clear()
+            learned.clear()
+        new = {r: self.words(r) for r in runs if r not in known}
+        path = Prefixes(self.merges)
+        for word in sorted({w for words in new.values() for w in words if w not in learned}):
+            tokens = [word] if word in self.special else path.encode(word)
+            learned[word] = len(tokens), " ".join([ids[t] for t in tokens]), " ".join(tokens)
         for run, words in new.items():
-            parts = [t for w in words for t in tokens[w]]
-            self.known[run] = (len(parts), " ".join([str(ids[t]) for t in parts]), " ".join(parts))
+            if len(words) == 1:
+                known[run] = learned[words[0]]
+            else:
+                parts = [learned[w] for w in words]
+                known[run] = sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
 
 
 @lru_cache(maxsize=2)
