@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dedup, packing, preference, quality_rules, substring_dedup, token_counts, top_k, word_bpe
+from . import line_dedup, near_dedup, packing, perplexity, preference, quality_rules, substring_dedup, token_counts, top_k, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -239,3 +239,9 @@ def preference_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_near_dedup")
 def near_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op5_quality_classifier")
+def quality_classifier_query(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").where("quality = 1 and toxic = 0")
+    return perplexity.classify(table(spark, folder, "documents").select("doc_id", "text", "lang"), trusted)
