@@ -185,13 +185,15 @@ def near_classes(
     ``n_links`` counts verified links of the document's representative.  Two
     documents at the threshold share none of 16 sketches with probability 1e-5.
 
-    Texts without words (null, empty) are classes of their own.  Rows without a
-    number take no part.  Rows that repeat a number are one document.
+    Texts without words (null, empty, blank) have equal words and are one class.
+    Rows without a number take no part.  Rows that repeat a number are one document.
     """
     source = docs.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t")
     )
 
+    names = ["doc", "n", "e1", "e2", "sketches"]
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("t").to_pylist()
@@ -199,6 +201,10 @@ def near_classes(
                 docs_here = batch.column("doc").slice(part.start, part.stop - part.start)
                 values, bounds = shingles(texts[part], size)
                 full = np.flatnonzero(np.diff(bounds))
+                bare = docs_here.take(pa.array(np.flatnonzero(np.diff(bounds) == 0)))
+                zeros = pa.array(np.zeros(len(bare), dtype=np.int64))
+                none = pa.array([[]] * len(bare), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([bare, zeros.cast(pa.int32()), zeros, zeros, none], names=names)
                 if not len(full):
                     continue
                 edges = np.append(bounds[full], bounds[-1])
@@ -217,7 +223,7 @@ def near_classes(
                         pa.array(signed(e2)),
                         pa.ListArray.from_arrays(offsets, flat),
                     ],
-                    names=["doc", "n", "e1", "e2", "sketches"],
+                    names=names,
                 )
 
     seen = durable(source.mapInArrow(sketch, "doc long, n int, e1 long, e2 long, sketches array<long>"))
@@ -226,7 +232,7 @@ def near_classes(
 
     length_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / least))).cast("int")
     reps = seen.join(firsts.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-    members = reps.select("doc", length_class.alias("len"), F.posexplode("sketches").alias("j", "s")).select(
+    members = reps.where("n > 0").select("doc", length_class.alias("len"), F.posexplode("sketches").alias("j", "s")).select(
         "doc", F.explode(F.array(F.col("len"), F.col("len") + 1)).alias("len"), "j", "s"
     )
     bucket = F.xxhash64("len", "j", "s").alias("bucket")
@@ -287,18 +293,12 @@ def near_classes(
     labels = components(links.union(ties))
     degrees = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
     of_rep = durable(labels.join(degrees, "node", "left").withColumnRenamed("node", "rep"))
-    classes = durable(
+    classes = (
         stands.join(of_rep, "rep", "left")
         .groupBy("doc")
         .agg(F.min(F.coalesce("label", "rep")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
     )
-    return (
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"))
-        .where("doc_id is not null")
-        .distinct()
-        .join(classes.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
-        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
+    return classes.select(F.col("doc").alias("doc_id"), "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -245,3 +246,8 @@ def near_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
 def quality_classifier_query(spark: SparkSession, folder: str) -> DataFrame:
     trusted = table(spark, folder, "labels").where("quality = 1 and toxic = 0")
     return perplexity.classify(table(spark, folder, "documents").select("doc_id", "text", "lang"), trusted)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline_query(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
