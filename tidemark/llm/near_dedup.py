@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -140,20 +141,17 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, label``: the smallest node that links ``a, b`` lead to, for every node of a link.
 
     Labels go along links and then jump to their label's label; each round is a
-    table in shared storage, and the end is a count of changed labels.
+    table in shared storage, and the end is when no label has changed.
     """
     both = durable(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = durable(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
     while True:
-        near = durable(
-            both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        )
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         met = durable(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
-        jump = met.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = durable(met.join(jump, "label", "left").select("node", "old", F.coalesce("further", "label").alias("label")))
-        labels = after.select("node", "label")
-        if after.where("label <> old").isEmpty():
+        if met.where("label <> old").isEmpty():
             return labels
+        jump = met.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        labels = durable(met.join(jump, "label", "left").select("node", F.coalesce("further", "label").alias("label")))
 
 
 def near_classes(
@@ -162,6 +160,7 @@ def near_classes(
     size: int = 5,
     sketches: int = 16,
     each: int = 3,
+    small: int = 16,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -175,10 +174,13 @@ def near_classes(
     1. Documents with equal words are one class at once; the smallest stands for it.
     2. Each sketch (order MinHash, ``each`` shingles) is a bucket, together with a
        length class; similar lengths share one of two classes.
-    3. In a bucket every member is compared with the smallest one (a star, never
-       all pairs).  Members that match no pivot become pivots of the next
-       round, eight times as many each round, against all members, until every
-       member of every bucket matched or was a pivot.
+    3. In a bucket of up to ``small`` documents all are compared.  In a larger one
+       all are compared with the smallest; if some do not match it, the whole
+       bucket is dealt anew by the next sketch as well, then by the next two,
+       four and so on, until every bucket is small or matches its smallest member
+       (or all sketches agree; then all are compared).  So a document takes part
+       in at most ``small`` comparisons for each sketch and round, whatever the
+       size of its group.
     4. Candidates are verified by alignment in a band as wide as ``least`` allows.
     5. Classes are the connected components of the links.
 
@@ -226,6 +228,7 @@ def near_classes(
                     names=names,
                 )
 
+    is_link = F.col("score") >= least - 1e-12
     seen = durable(source.mapInArrow(sketch, "doc long, n int, e1 long, e2 long, sketches array<long>"))
     firsts = durable(seen.groupBy("n", "e1", "e2").agg(F.min("doc").alias("rep")))
     stands = durable(seen.select("doc", "n", "e1", "e2").join(firsts, ["n", "e1", "e2"]).select("doc", "rep"))
@@ -235,12 +238,13 @@ def near_classes(
     members = reps.where("n > 0").select("doc", length_class.alias("len"), F.posexplode("sketches").alias("j", "s")).select(
         "doc", F.explode(F.array(F.col("len"), F.col("len") + 1)).alias("len"), "j", "s"
     )
-    bucket = F.xxhash64("len", "j", "s").alias("bucket")
-    members = durable(members.select("doc", bucket).distinct())
-    shared = durable(members.groupBy("bucket").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last"))
-    members = durable(members.join(shared.select("bucket"), "bucket"))
-    wanted = durable(members.select("doc").distinct())
-    texts = durable(source.join(wanted, "doc"))
+    members = durable(members.select(F.xxhash64("len", "j", "s").alias("bucket"), "j", "doc").distinct())
+    sketch_of = reps.select("doc", "sketches")
+    wanted = durable(
+        members.groupBy("bucket").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("bucket")
+    )
+    members = durable(members.join(wanted, "bucket"))
+    texts = durable(source.join(durable(members.select("doc").distinct()), "doc"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,37 +260,45 @@ def near_classes(
                 [batch.column("a"), batch.column("b"), pa.array(scores, pa.float64())], names=["a", "b", "score"]
             )
 
-    pivots = shared.select("bucket", F.col("first").alias("pivot"))
-    tested, settled, many = None, None, 1
+    tested: list[DataFrame] = []
+
+    def all_tested() -> DataFrame:
+        return reduce(DataFrame.union, tested)
+
+    depth = 1
     while True:
-        pairs = members.join(pivots, "bucket").where("doc <> pivot").select(
-            F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")
-        ).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = durable(pairs)
-        scored = durable(
-            pairs.join(texts.select(F.col("doc").alias("b"), F.col("t").alias("b_text")), "b")
+        sizes = durable(members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("doc").alias("first")).where("size > 1"))
+        is_small = (F.col("size") <= small) | F.lit(depth >= sketches)
+        placed = durable(members.join(sizes, "bucket").withColumn("is_small", is_small))
+        every = placed.where("is_small").select("bucket", F.col("doc").alias("pivot"))
+        star = placed.where("not is_small").select(F.col("first").alias("a"), F.col("doc").alias("b"))
+        among = placed.where("is_small").join(every, "bucket").where("pivot < doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
+        pairs = star.where("a <> b").union(among).distinct()
+        if tested:
+            pairs = pairs.join(all_tested().select("a", "b"), ["a", "b"], "left_anti")
+        scored = (
+            durable(pairs)
+            .join(texts.select(F.col("doc").alias("b"), F.col("t").alias("b_text")), "b")
             .join(texts.select(F.col("doc").alias("a"), F.col("t").alias("a_text")), "a")
             .select("a", "b", "a_text", "b_text")
-            .mapInArrow(verify, "a long, b long, score double")
         )
-        tested = scored if tested is None else durable(tested.union(scored))
-        matched = tested.where(F.col("score") >= least - 1e-12)
-        matched = matched.select(F.col("a").alias("doc"), F.col("b").alias("pivot")).union(matched.select("b", "a"))
-        linked = members.join(pivots, "bucket").join(matched, ["doc", "pivot"], "left_semi").select("bucket", "doc")
-        done = linked.union(pivots.select("bucket", F.col("pivot").alias("doc")))
-        settled = durable(done if settled is None else settled.union(done))
-        left = durable(members.join(settled, ["bucket", "doc"], "left_anti"))
-        if left.isEmpty():
+        tested.append(durable(scored.mapInArrow(verify, "a long, b long, score double")))
+        if depth >= sketches:
+            break
+        matched = all_tested().where(is_link).select(F.col("a").alias("first"), F.col("b").alias("doc"))
+        large = placed.where("not is_small")
+        unsettled = durable(large.where("doc <> first").join(matched, ["first", "doc"], "left_anti").select("bucket").distinct())
+        if unsettled.isEmpty():
             break
-        many *= 8
-        nth = Window.partitionBy("bucket").orderBy("doc")
-        pivots = durable(
-            left.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= many).select("bucket", F.col("doc").alias("pivot"))
+        further = F.transform(F.sequence(F.lit(depth), F.lit(2 * depth - 1)), lambda i: F.get("sketches", (F.col("j") + i) % sketches))
+        members = durable(
+            large.join(unsettled, "bucket")
+            .join(sketch_of, "doc")
+            .select(F.xxhash64("bucket", further).alias("bucket"), "j", "doc")
         )
+        depth *= 2
 
-    links = tested.where(F.col("score") >= least - 1e-12).select("a", "b").distinct()
+    links = all_tested().where(is_link).select("a", "b").distinct()
     # A number that is repeated with other words ties the classes of its texts.
     ties = stands.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
     links = durable(links)
