@@ -2,10 +2,10 @@
 
 Point-in-time histories are running aggregates.  A running window over one
 customer's rows would put a customer with a third of all applications into one
-task, so rows are first combined per (customer, day, block of tie-break numbers).
-Blocks hold at most ``BLOCK`` rows because the tie-break is unique.  The running
-part over a customer's blocks is small; inside a block a window finishes the
-job, and its partitioning is also the one the offsets are joined on.
+task, so rows are first combined per (customer, day), and the window walks days.
+Only a day on which one customer has more than ``BLOCK`` applications is cut
+further, at quantiles of the tie-break number, so a customer has at most as many
+blocks as days and as rows per ``BLOCK``, however sparse the numbers are.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.columns import day_number, rate_or_marker
+from ..session import durable
 
 BLOCK = 1_000_000
 
@@ -53,8 +54,10 @@ def application_history(
     """Each application with the counts and amounts of the same customer's earlier ones.
 
     ``strict=False`` orders by date and then by the unique integer ``tiebreak``,
-    so an application sees those of the same day with a smaller number;
-    ``strict=True`` sees earlier days only.  Pending applications count as
+    so an application sees those of the same day with a smaller number; those
+    without a date come first.  ``strict=True`` sees earlier days only: an
+    application without a date is before none and after none, so what is not
+    known to be earlier never enters a history.  Pending applications count as
     applications, not as acceptances.  An application without a customer has no
     history.
 
@@ -64,33 +67,20 @@ def application_history(
     """
     hit = F.coalesce(accepted_flag(outcome, accepted), F.lit(0))
     rows = df.withColumns(
-        {
-            "_day": day_number(F.col(date)),
-            "_block": F.floor(F.col(tiebreak) / F.lit(block_rows)),
-            "_hit": hit,
-            "_won": F.when(hit == 1, F.col(amount)),
-        }
-    )
-    blocks = rows.groupBy(key, "_day", "_block").agg(
-        F.count("*").alias("n"), F.sum("_hit").alias("hits"), F.max("_won").alias("won")
+        {"_day": day_number(F.col(date)), "_hit": hit, "_won": F.when(hit == 1, F.col(amount))}
     )
     if strict:
-        earlier = Window.partitionBy(key).orderBy("_day").rangeBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("_block", F.lit(0))
+        known = F.col(date).isNotNull()
     else:
-        earlier = (
-            Window.partitionBy(key).orderBy("_day", "_block").rowsBetween(Window.unboundedPreceding, -1)
-        )
-    offsets = blocks.select(
-        key,
-        "_day",
-        "_block",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before_n"),
-        F.coalesce(F.sum("hits").over(earlier), F.lit(0)).alias("_before_hits"),
-        F.max("won").over(earlier).alias("_before_won"),
-    )
+        rows = cut_days(rows, key, tiebreak, block_rows)
+        known = F.lit(True)
+    offsets = earlier_totals(history_blocks(rows.where(known), key), key, strict)
     carried = []
     if attributes is not None:
         carried = [c for c in attributes.columns if c != key]
+        # undated rows have no place in a strict history but do have attributes
+        offsets = rows.select(key, "_day", "_block").distinct().join(offsets, [key, "_day", "_block"], "left") if strict else offsets
         offsets = offsets.join(attributes, key, "left")
     placed = rows.join(offsets, [key, "_day", "_block"], "left")
     n = F.coalesce("_before_n", F.lit(0))
@@ -102,10 +92,10 @@ def application_history(
             .orderBy(tiebreak)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        known = F.when(F.col(key).isNotNull(), 1)
-        n = n + F.count(known).over(inside)
-        hits = hits + F.coalesce(F.sum(known * F.col("_hit")).over(inside), F.lit(0))
-        won = F.greatest(won, F.max(known * F.col("_won")).over(inside))
+        owned = F.when(F.col(key).isNotNull(), 1)
+        n = n + F.count(owned).over(inside)
+        hits = hits + F.coalesce(F.sum(owned * F.col("_hit")).over(inside), F.lit(0))
+        won = F.greatest(won, F.max(owned * F.col("_won")).over(inside))
     history = placed.select(
         *df.columns,
         n.alias("prior_applications"),
@@ -121,6 +111,56 @@ def application_history(
     )
 
 
+def cut_days(rows: DataFrame, key: str, tiebreak: str, block_rows: int) -> DataFrame:
+    """Add ``_block``: 0, or for a customer's day of more than ``block_rows`` rows a range of numbers.
+
+    The cuts are approximate quantiles of the numbers; only balance depends on them.
+    """
+    heavy = durable(rows.groupBy(key, "_day").agg(F.count("*").alias("_n")).where(F.col("_n") > block_rows))
+    most = heavy.agg(F.max("_n")).first()[0]
+    if most is None:
+        return rows.withColumn("_block", F.lit(0))
+    pieces = -(-most // block_rows)
+    levels = [i / pieces for i in range(1, pieces)]
+    cuts = durable(
+        rows.join(heavy, [key, "_day"])
+        .groupBy(key, "_day")
+        .agg(
+            F.percentile_approx(tiebreak, levels, max(10_000, 10 * pieces)).alias("_cuts"),
+            F.ceil(F.max("_n") / block_rows).alias("_own"),
+        )
+    )
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(tiebreak)))
+    block = F.floor(below * F.col("_own") / pieces).cast("int")
+    return rows.join(cuts, [key, "_day"], "left").withColumn(
+        "_block", F.when(F.col("_cuts").isNull(), 0).otherwise(block)
+    ).drop("_cuts", "_own")
+
+
+def history_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """Totals per customer, day and block, combined before they move."""
+    return rows.groupBy(key, "_day", "_block").agg(
+        F.count("*").alias("n"), F.sum("_hit").alias("hits"), F.max("_won").alias("won")
+    )
+
+
+def earlier_totals(blocks: DataFrame, key: str, strict: bool) -> DataFrame:
+    """What a customer's earlier blocks (or days, if ``strict``) hold."""
+    place = Window.partitionBy(key)
+    if strict:
+        earlier = place.orderBy("_day").rangeBetween(Window.unboundedPreceding, -1)
+    else:
+        earlier = place.orderBy("_day", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(
+        key,
+        "_day",
+        "_block",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before_n"),
+        F.coalesce(F.sum("hits").over(earlier), F.lit(0)).alias("_before_hits"),
+        F.max("won").over(earlier).alias("_before_won"),
+    )
+
+
 def asof_balance_features(
     applications: DataFrame,
     transactions: DataFrame,
