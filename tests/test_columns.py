@@ -53,14 +53,14 @@ def test_clip_is_idempotent_and_keeps_null(frame):
 
 
 def test_life_stages(frame):
-    rows = [(20, 1.0), (20, 9.0), (40, 1.0), (40, 9.0), (70, 1.0), (70, 9.0), (20, 5.0), (20, None), (None, 9.0)]
+    rows = [(20, 1.0), (20, 9.0), (40, 1.0), (40, 9.0), (70, 1.0), (70, 9.0), (20, 5.0), (20, None), (None, 9.0), (70, None)]
     df = frame(rows, "age int, income double").coalesce(1)
-    stage = C.life_stage(F.col("age"), F.col("income"), 30, 60, 5.0)
+    stage = C.life_stage(F.col("age"), F.col("income"), (30, 60), 5.0)
     assert values(df, stage) == [
         "Young_LowIncome", "Young_HighIncome", "MidAge_LowIncome", "MidAge_HighIncome",
-        "Senior_Stable", "Senior_Stable", "Young_LowIncome", "MidAge_LowIncome", "MidAge_LowIncome",
+        "Senior_Stable", "Senior_Stable", "Young_LowIncome", "MidAge_LowIncome", "MidAge_LowIncome", "Senior_Stable",
     ]
-    flags = df.select(stage.alias("s")).select(*[c.alias(n) for n, c in C.one_hot(F.col("s"), fixed.LIFE_STAGES, "f_").items()])
+    flags = df.select(stage.alias("s")).select(*[c.alias(n) for n, c in C.one_hot(F.col("s"), C.life_stage_names(), "f_").items()])
     assert all(sum(r) == 1 for r in flags.collect())
 
 
@@ -74,14 +74,7 @@ def test_quadrants_first_rule_wins(frame):
         (10.0, 1.2, 5, 0.0, 2, 0.90),  # no inflow
         (1.0, 1.0, 0, 1.0, 1, 0.80),  # other
     ]
-    df = frame(rows, "income double, v double, low int, flow double, n int, rate double").coalesce(1)
-    quadrant = C.action_quadrant(
-        F.col("income"), F.col("v"), F.col("low"), F.col("flow"), F.col("n"), F.col("rate"), 5.0
-    )
+    names = "income double, balance_volatility_index double, low_balance_frequency int, net_cash_flow double"
+    df = frame(rows, names + ", total_applications int, acceptance_rate double").coalesce(1)
+    quadrant = C.first_rule(fixed.QUADRANT_RULES, fixed.QUADRANT_OTHER, {"income_median": 5.0})
     assert [q.split("_")[1] for q in values(df, quadrant)] == ["C", "B", "B", "B", "A", "D", "D"]
-
-
-def test_share_cutoff():
-    assert C.share_cutoff(0.2) == "3333"
-    assert C.share_cutoff(0.5) == "8000"
-    assert C.share_cutoff(1) > "ffff"

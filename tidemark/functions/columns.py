@@ -97,21 +97,35 @@ def banded(
     )
 
 
-def life_stage(age: Column, income: Column, young_to: float, middle_to: float, income_median: float) -> Column:
-    """Age band crossed with "income above the median"; seniors are one group."""
-    rich = income > income_median
-    young = age <= young_to
-    middle = (age > young_to) & (age <= middle_to)
-    young_poor, middle_rich, senior, young_rich, middle_poor = fixed.LIFE_STAGES
-    return case(
-        [
-            (age > middle_to, senior),
-            (middle & rich, middle_rich),
-            (young & rich, young_rich),
-            (young & ~rich, young_poor),
-        ],
-        middle_poor,
-    )
+def life_stage(
+    age: Column,
+    income: Column,
+    age_cuts: Sequence[float],
+    income_median: float,
+    labels: Mapping[str, Mapping[str, str]] = fixed.LIFE_STAGE_LABELS,
+    unknown: str = fixed.LIFE_STAGE_DEFAULT,
+) -> Column:
+    """Label of an age band and a side of the median income, from a table of labels.
+
+    ``labels`` has one row per band in ascending order; ``age_cuts`` are the
+    inclusive upper bounds of all but the last.  A band with one label for both
+    sides does not ask for the income; otherwise what is not known gives
+    ``unknown``.
+    """
+    *closed, last = labels
+    band = banded(age, list(zip(age_cuts, closed, strict=True)), last, missing_label="")
+    side = F.when(income > income_median, "above").when(income <= income_median, "other")
+    branches = []
+    for name, sides in labels.items():
+        if len(set(sides.values())) == 1:
+            branches.append((band == name, next(iter(sides.values()))))
+        else:
+            branches += [((band == name) & (side == s), label) for s, label in sides.items()]
+    return case(branches, unknown)
+
+
+def life_stage_names(labels: Mapping[str, Mapping[str, str]] = fixed.LIFE_STAGE_LABELS) -> list[str]:
+    return list(dict.fromkeys(label for sides in labels.values() for label in sides.values()))
 
 
 def flag_name(prefix: str, label: str) -> str:
@@ -123,49 +137,45 @@ def one_hot(label: Column, labels: Sequence[str], prefix: str) -> dict[str, Colu
     return {flag_name(prefix, name): (label == name).cast("int") for name in labels}
 
 
-def action_quadrant(
-    income: Column,
-    volatility: Column,
-    low_balances: Column,
-    net_flow: Column,
-    applications: Column,
-    acceptance_rate: Column,
-    income_median: float,
+_COMPARISONS = {
+    "=": lambda a, b: a == b,
+    "<": lambda a, b: a < b,
+    "<=": lambda a, b: a <= b,
+    ">": lambda a, b: a > b,
+    ">=": lambda a, b: a >= b,
+}
+
+
+def first_rule(
+    rules: Sequence[tuple[str, Sequence[tuple[str, str, object]]]],
+    otherwise: str,
+    parameters: Mapping[str, object],
 ) -> Column:
-    """Rule-based quadrant of a customer; the first rule that holds decides."""
-    well_off = income >= income_median
-    never_applied = applications == 0
-    calm = volatility <= fixed.VOLATILITY_LIMIT
-    at_risk = (
-        (volatility > fixed.VOLATILITY_LIMIT)
-        | (low_balances > fixed.LOW_BALANCE_LIMIT)
-        | ((applications > 0) & (acceptance_rate < fixed.POOR_RECORD_BELOW))
-    )
-    ideal = well_off & calm & (net_flow > 0) & (never_applied | (acceptance_rate >= fixed.GOOD_RECORD_FROM))
-    return case(
-        [
-            (never_applied & well_off, fixed.QUADRANT_UNTAPPED),
-            (at_risk, fixed.QUADRANT_RISK),
-            (ideal, fixed.QUADRANT_IDEAL),
-        ],
-        fixed.QUADRANT_OTHER,
-    )
+    """Label of the first rule of which all conditions hold.
+
+    A condition is (column, comparison, limit); a limit that is a name stands for
+    a parameter.  A comparison with null does not hold.
+    """
 
+    def holds(conditions) -> Column:
+        out = F.lit(True)
+        for column, sign, limit in conditions:
+            value = parameters[limit] if isinstance(limit, str) else limit
+            out = out & _COMPARISONS[sign](F.col(column), F.lit(value))
+        return out
 
-def hash_share(key: Column, seed: int) -> Column:
-    """Four hex digits that depend only on key and seed, for repeatable splits."""
-    return F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, 4)
+    return case([(holds(conditions), label) for label, conditions in rules], otherwise)
 
 
 def hash_number(key: Column, seed: int) -> Column:
-    """The same hash as a 52-bit number, fine enough to order keys by it."""
+    """A 52-bit number that depends only on key and seed, for repeatable splits and orders."""
     digits = F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, 13)
     return F.conv(digits, 16, 10).cast("double")
 
 
-def share_cutoff(share: float) -> str:
-    """Hex text below which a ``share`` of :func:`hash_share` values lie."""
-    return "g" if share >= 1 else f"{int(share * 0x10000):04x}"
+def in_share(key: Column, seed: int, share: float) -> Column:
+    """Whether a key is in the ``share`` of keys with the smallest hashes."""
+    return hash_number(key, seed) < F.lit(share * 2.0**52)
 
 
 def day_number(day: Column) -> Column:

@@ -25,16 +25,16 @@ PROSPECT = "Deposit-Only Prospect"
 NO_HISTORY_RATE = -1.0
 NEVER_DAYS = 9999
 
-# Life-stage segments.
-LIFE_STAGES = (
-    "Young_LowIncome",
-    "MidAge_HighIncome",
-    "Senior_Stable",
-    "Young_HighIncome",
-    "MidAge_LowIncome",
-)
+# Life-stage segments: the label of an age band, by side of the median income.
+LIFE_STAGE_LABELS = {
+    "lower third": {"above": "Young_HighIncome", "other": "Young_LowIncome"},
+    "middle third": {"above": "MidAge_HighIncome", "other": "MidAge_LowIncome"},
+    "upper third": {"above": "Senior_Stable", "other": "Senior_Stable"},
+}
+# The label where age is not known.
+LIFE_STAGE_DEFAULT = "MidAge_LowIncome"
 
-# Action quadrants and their limits.
+# Action quadrants: labels, limits and, in order of precedence, what must hold for each.
 QUADRANT_IDEAL = "Segment_A_Ideal_Target"
 QUADRANT_RISK = "Segment_B_High_Risk"
 QUADRANT_UNTAPPED = "Segment_C_Untapped_Potential"
@@ -43,6 +43,21 @@ VOLATILITY_LIMIT = 1.2
 LOW_BALANCE_LIMIT = 5
 POOR_RECORD_BELOW = 0.70
 GOOD_RECORD_FROM = 0.90
+QUADRANT_RULES = (
+    (QUADRANT_UNTAPPED, (("total_applications", "=", 0), ("income", ">=", "income_median"))),
+    (QUADRANT_RISK, (("balance_volatility_index", ">", VOLATILITY_LIMIT),)),
+    (QUADRANT_RISK, (("low_balance_frequency", ">", LOW_BALANCE_LIMIT),)),
+    (QUADRANT_RISK, (("total_applications", ">", 0), ("acceptance_rate", "<", POOR_RECORD_BELOW))),
+    (
+        QUADRANT_IDEAL,
+        (
+            ("income", ">=", "income_median"),
+            ("balance_volatility_index", "<=", VOLATILITY_LIMIT),
+            ("net_cash_flow", ">", 0),
+            ("acceptance_rate", ">=", GOOD_RECORD_FROM),
+        ),
+    ),
+)
 
 # Placeholder numbers looked for in money columns.
 SENTINELS = (9999, 99999, 999999, -1)

@@ -14,17 +14,18 @@ _TINY = 1e-300
 _STEPS = 1000
 
 
-def ks_two_sample(statistic: float, n_a: int, n_b: int, exact_up_to: int = 10_000) -> float:
+def ks_two_sample(statistic: float, n_a: int, n_b: int, method: str = "asymptotic") -> float:
     """P(D >= statistic) for two samples of the given sizes.
 
-    Up to ``exact_up_to`` rows per sample the probability is exact: a random
-    merge of the two samples is followed step by step, and the mass that first
-    reaches the distance ``statistic`` is added up.  Larger samples use the
+    ``exact`` follows a random merge of the two samples step by step and adds up
+    the mass that first reaches the distance ``statistic``; ``asymptotic`` is the
     limiting distribution.
     """
+    if method not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown method {method}")
     if statistic <= 0:
         return 1.0
-    if max(n_a, n_b) > exact_up_to:
+    if method == "asymptotic":
         return _kolmogorov_tail(statistic * math.sqrt(n_a * n_b / (n_a + n_b)))
     limit = round(statistic * n_a * n_b)
     total = n_a + n_b

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,52 +45,62 @@ def ks_two_sample(
     )
 
 
-def ks_test(df: DataFrame, value: str, group: str, a, b, **options) -> DataFrame:
-    """KS statistic with its p-value and the verdict at the usual level."""
+def ks_test(df: DataFrame, value: str, group: str, a, b, method: str = "asymptotic", **options) -> DataFrame:
+    """KS statistic with its p-value and the verdict at the usual level.
+
+    ``method`` is ``asymptotic`` (the limiting distribution) or ``exact`` (time
+    grows with the product of the sample sizes); ``p_method`` repeats it.
+    """
     r = ks_two_sample(df, value, group, a, b, **options).first()
     columns = {
         "test": "string", "value_column": "string", "group_column": "string", "group_a": "string",
         "group_b": "string", "n_a": "bigint", "n_b": "bigint", "ks_statistic": "double",
-        "p_value": "double", "significant": "boolean", "error": "string",
+        "p_value": "double", "significant": "boolean", "error": "string", "p_method": "string",
     }
     named = ("two_sample_ks", value, group, str(a), str(b), r["n_a"], r["n_b"])
     if r["ks_statistic"] is None:
-        row = (*named, None, None, None, "one or both groups have no values")
+        row = (*named, None, None, None, "one or both groups have no values", method)
     else:
-        p = pvalues.ks_two_sample(r["ks_statistic"], r["n_a"], r["n_b"])
-        row = (*named, r["ks_statistic"], p, p < fixed.SIGNIFICANCE, None)
+        p = pvalues.ks_two_sample(r["ks_statistic"], r["n_a"], r["n_b"], method)
+        row = (*named, r["ks_statistic"], p, p < fixed.SIGNIFICANCE, None, method)
     return literal_frame(df.sparkSession, columns, [row])
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     """Chi-square statistic of independence and its degrees of freedom.
 
-    A 2 x 2 table gets the continuity correction.  Computed from the cells that
-    occur: with row totals R, column totals C and N rows, the plain statistic is
-    N * (sum O^2 / (R * C) - 1), and cells without rows need no terms.
+    A 2 x 2 table gets the continuity correction.  With observed and expected
+    counts O and E the plain statistic is the sum of (O - E)^2 / E over the grid;
+    a cell that does not occur adds its E, which follows from the exact totals of
+    the columns that its row lacks.
     """
     cells = crosstab_long(df, a, b).withColumns(
-        {
-            "r": F.sum("n").over(Window.partitionBy(a)).cast("double"),
-            "c": F.sum("n").over(Window.partitionBy(b)).cast("double"),
-        }
+        {"r": F.sum("n").over(Window.partitionBy(a)), "c": F.sum("n").over(Window.partitionBy(b))}
     )
-    totals = cells.agg(
-        F.sum("n").cast("double").alias("n"),
-        F.sum(F.col("n") / F.col("r") * F.col("n") / F.col("c")).alias("share"),
-        (F.count_distinct(a) - 1).alias("da"),
-        (F.count_distinct(b) - 1).alias("db"),
-        F.min("r").alias("r"),
+    total = F.lit(cells.agg(F.sum("n")).first()[0]).cast("bigint")
+    expected = F.col("r") / total * F.col("c")
+    per_row = cells.groupBy(a).agg(
+        F.sum("n").alias("n"),
+        F.first("r").alias("r"),
+        F.sum(F.pow(F.col("n") - expected, 2) / expected).alias("found"),
+        F.max(F.abs(F.col("n") - expected)).alias("distance"),
+        (total - F.sum("c")).alias("lacking"),
         F.min("c").alias("c"),
     )
+    sides = cells.agg(F.count_distinct(b).alias("columns"))
+    totals = per_row.agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("found") + F.col("r") / total * F.col("lacking")).alias("plain"),
+        F.max("distance").alias("distance"),
+        (F.count("*") - 1).alias("da"),
+        F.min("r").cast("double").alias("r"),
+        F.min("c").cast("double").alias("c"),
+    ).withColumn("db", F.lit(sides.first()["columns"]) - 1)
     n, r, c = F.col("n"), F.col("r"), F.col("c")
-    plain = F.greatest(n * (F.col("share") - 1), F.lit(0.0))
     margins = r * (n - r) / n * c * (n - c) / n
-    # distance of every cell of a 2 x 2 table from its expectation
-    distance = F.sqrt(F.try_divide(plain * margins, n))
-    corrected = F.try_divide(n * F.pow(F.greatest(distance - 0.5, F.lit(0.0)), 2), margins)
+    corrected = F.try_divide(n * F.pow(F.greatest(F.col("distance") - 0.5, F.lit(0.0)), 2), margins)
     return totals.select(
-        F.when((F.col("da") == 1) & (F.col("db") == 1), corrected).otherwise(plain).alias("chi2_statistic"),
+        F.when((F.col("da") == 1) & (F.col("db") == 1), corrected).otherwise(F.col("plain")).alias("chi2_statistic"),
         (F.col("da") * F.col("db")).cast("bigint").alias("degrees_of_freedom"),
         F.col("n").cast("bigint").alias("n_rows"),
     )
@@ -202,6 +212,15 @@ def psi(
     )
 
 
+def baseline_counts(baseline: DataFrame, column: str, bins: int = fixed.PSI_BINS) -> tuple[list[float], dict[int, int]]:
+    """Bin edges of a baseline and its rows per bin: all that later comparisons need."""
+    edges = baseline_edges(baseline, column, bins)
+    if len(edges) < 2:
+        raise ValueError(f"baseline column {column} has too few distinct values")
+    rows = baseline.select(bin_number(column, edges).alias("bin")).where("bin >= 0").groupBy("bin").agg(F.count("*").alias("n"))
+    return edges, {r["bin"]: r["n"] for r in rows.collect()}
+
+
 def psi_against(
     baseline: DataFrame,
     current: DataFrame,
@@ -214,17 +233,13 @@ def psi_against(
     The baseline is reduced to its shares once; each group needs one aggregate.
     Values that are null or NaN are left out on both sides.
     """
-    edges = baseline_edges(baseline, column, bins)
-    if len(edges) < 2:
-        raise ValueError(f"baseline column {column} has too few distinct values")
-    counts = {
-        r["bin"]: r["n"]
-        for r in baseline.select(bin_number(column, edges).alias("bin"))
-        .where("bin >= 0")
-        .groupBy("bin")
-        .agg(F.count("*").alias("n"))
-        .collect()
-    }
+    return psi_with(*baseline_counts(baseline, column, bins), current, column, keys)
+
+
+def psi_with(
+    edges: Sequence[float], counts: Mapping[int, int], current: DataFrame, column: str, keys: Sequence[Column]
+) -> DataFrame:
+    """:func:`psi_against` a baseline that has been reduced by :func:`baseline_counts`."""
     total = sum(counts.values())
     names = [f"_n{i}" for i in range(len(edges) - 1)]
     binned = current.select(*keys, bin_number(column, edges).alias("_bin")).where("_bin >= 0")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.drift import psi_against
+from ..operators.drift import baseline_counts, psi_with
 from ..operators.modeling import with_scores
 from ..session import scratch_path
 
@@ -69,10 +69,11 @@ def latest_mean_sink(stream: DataFrame, value: str, path: str, checkpoint: str):
 
 
 def drift_sink(stream: DataFrame, baseline: DataFrame, column: str, keys: list[Column], path: str, checkpoint: str):
-    """Stability index of every micro-batch against a fixed baseline."""
+    """Stability index of every micro-batch against a fixed baseline, which is read once at the start."""
+    edges, counts = baseline_counts(baseline, column)
 
     def write(batch: DataFrame, number: int) -> None:
-        psi_against(baseline, batch, column, keys).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        psi_with(edges, counts, batch, column, keys).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(write)
