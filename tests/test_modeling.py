@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import columns as C
 from tidemark.operators import modeling
 from tidemark.plans import training
-from tidemark.session import literal_frame, scratch_path, small_rows
+from tidemark.session import literal_frame, scratch_path
 from tidemark.sources import tables
 
 
@@ -95,9 +96,7 @@ def test_reports_are_replaced_per_run_date(spark, frame):
     assert spark.read.parquet(path).groupBy("run_date").count().where("count = 1").count() == 2
 
 
-def test_driver_results_are_bounded(spark):
-    with pytest.raises(ValueError):
-        small_rows(spark.range(11), "rows", 10)
+def test_an_empty_literal_frame(spark):
     assert literal_frame(spark, {"a": "int"}, []).count() == 0
 
 
@@ -132,3 +131,34 @@ def test_whole_flow(spark, frame):
     assert metrics["rows", "n_train", None] + metrics["rows", "n_test", None] == labelled
     assert metrics["rows", "n_unlabelled", None] == len(asked) - labelled
     assert tables.load_model(f"{out}/model").stages[0].getInputCols() == model.stages[0].getInputCols()
+
+
+def test_many_classes(spark):
+    rows = spark.range(6_000).selectExpr("id as app_id", "cast(id % 1500 as string) as label")
+    weighted = modeling.class_weights(rows, "label")
+    assert weighted.count() == 6_000 and weighted.where("class_weight <> 1.0").isEmpty()
+    split = modeling.stratified_split_exact(rows, "label", "app_id", 0.5).groupBy("label").agg(F.count_if("is_test").alias("n"))
+    assert split.count() == 1500 and split.where("n <> 2").isEmpty()
+
+
+def test_shares_below_a_millionth(spark):
+    rows = spark.range(200_000).select(C.hash_number(F.col("id"), 1).alias("h"), C.in_share(F.col("id"), 1, 0.0001).alias("x"))
+    assert 5 <= rows.where("x").count() <= 40
+
+
+def test_csv_is_read_by_name(spark):
+    path = scratch_path(spark, "csv-by-name")
+    spark.sql("select 'TakeUp' as outcome, 'x' as more, '2024-01-02' as dt, '007' as id, 'many' as amount").write.option(
+        "header", True
+    ).csv(path)
+    got = tables.scan_csv(spark, path, tables.APPLICATIONS)
+    assert got.first().asDict() == {"outcome": "TakeUp", "more": "x", "dt": "2024-01-02", "id": "007", "amount": None}
+
+
+def test_prospects_are_ranked(frame):
+    train = applications(frame).where("target is not null")
+    model = modeling.fit_classifier(train, ["x"], "target")
+    rows = [("a", 0, 1.0), ("b", 0, 2.0), ("c", 0, 2.0), ("d", 0, None), ("e", 3, 1.0), ("f", 0, -1.0)]
+    people = frame([(i, n, x, "Male", "s", "q") for i, n, x in rows], "id string, total_applications int, x double, gender string, customer_segment string, action_quadrant string")
+    got = {r.id: (r.score_rank, r.is_complete) for r in modeling.score_prospects(model, people).collect()}
+    assert got == {"b": (1, True), "c": (1, True), "a": (3, True), "f": (4, True), "d": (None, False)}

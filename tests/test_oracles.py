@@ -29,17 +29,7 @@ def database():
     connection.close()
 
 
-# Each of these fits a model first; test_modeling and test_streaming cover their
-# parts.  Set TIDEMARK_ALL to run them here too.
-SLOW = {
-    "feature_ablation",
-    "model_roundtrip",
-    "stream_score",
-    "top_coefficients",
-    "train_classifier",
-    "training_metrics",
-}
-NAMES = [n for n in entry.queries() if n not in SLOW or os.environ.get("TIDEMARK_ALL")]
+NAMES = list(entry.queries())
 
 
 def comparable(value):

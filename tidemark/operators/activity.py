@@ -42,16 +42,24 @@ def _with_peak(daily: DataFrame, key: str, date: str) -> DataFrame:
 
 
 def monthly_peak(df: DataFrame, key="id", date="dt", balance="balance") -> DataFrame:
-    """Highest balance per customer and month, with the earliest date it was held."""
-    best = F.max(F.struct(F.col(balance).alias("balance"), (-day_number(F.col(date))).alias("minus_day")))
-    return (
+    """Highest balance per customer and month, with the earliest date it was held.
+
+    Rows are first combined per day, which keeps the large aggregate one by hash.
+    """
+    daily = (
         df.where(F.col(balance).isNotNull() & F.col(date).isNotNull())
-        .groupBy(key, month_of(F.col(date)).alias("month"))
+        .groupBy(key, day_number(F.col(date)).alias("day"))
+        .agg(F.max(balance).alias("balance"))
+    )
+    month = month_of(F.date_from_unix_date(F.col("day").cast("int")))
+    best = F.max(F.struct(F.col("balance"), (-F.col("day")).alias("minus_day")))
+    return (
+        daily.groupBy(key, month.alias("month"))
         .agg(best.alias("peak"))
         .select(
             key,
             year_month(F.col("month")).alias("year_month"),
-            F.date_from_unix_date(-F.col("peak.minus_day")).alias("peak_date"),
+            F.date_from_unix_date((-F.col("peak.minus_day")).cast("int")).alias("peak_date"),
             F.col("peak.balance").alias("peak_balance"),
         )
     )

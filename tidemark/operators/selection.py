@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import pvalues
-from ..session import literal_frame, small_rows
+from ..session import durable, literal_frame
 
 
 def column_variances(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -120,9 +120,11 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     for i, c in enumerate(features):
         x = F.col(c).cast("double")
         moments += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_samp(x).alias(f"v{i}")]
-    classes = small_rows(df.where(F.col(label).isNotNull()).groupBy(label).agg(*moments), "classes", 1000)
-    if len(classes) != 2:
-        raise ValueError(f"{label} must have two classes, found {len(classes)}")
+    per_class = durable(df.where(F.col(label).isNotNull()).groupBy(label).agg(*moments))
+    found = per_class.count()
+    if found != 2:
+        raise ValueError(f"{label} must have two classes, found {found}")
+    classes = per_class.collect()
 
     def ratio(i: int) -> tuple[float, float]:
         sizes = [r[f"n{i}"] for r in classes]

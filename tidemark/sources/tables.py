@@ -17,6 +17,7 @@ CUSTOMERS = T.StructType(
 )
 APPLICATIONS = T.StructType(
     [
+        T.StructField("app_id", T.LongType()),
         T.StructField("id", T.StringType()),
         T.StructField("dt", T.StringType()),
         T.StructField("amount", T.DoubleType()),
@@ -56,8 +57,12 @@ def scan_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV scan with a header and the declared types; nothing is inferred."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV scan by the names in the header, with the declared types; nothing is inferred.
+
+    As for Parquet, the order of columns does not matter, a declared column may
+    be absent, and others stay (as text).  A value that does not fit is null.
+    """
+    return conform(spark.read.option("header", True).option("enforceSchema", False).csv(path), schema)
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -179,7 +179,8 @@ def request_counts(df: DataFrame, slide: int, key: str, ts="ts") -> DataFrame:
 
 
 def _profiled(df: DataFrame, profiles: DataFrame, key: str, slide: int, ts: str) -> DataFrame:
-    return request_counts(df, slide, key, ts).join(profiles, key)
+    """Requests with their customer's attributes; a request of an unknown customer has none."""
+    return request_counts(df, slide, key, ts).join(profiles, key, "left")
 
 
 def feature_buckets(
@@ -205,14 +206,16 @@ def feature_sum_rate(
 
 
 def gender_mix(df: DataFrame, profiles: DataFrame, key: str, gender="gender", length=3600, ts="ts") -> DataFrame:
-    """Requests by gender per hour; unknown is a label of its own."""
-    joined = _profiled(df, profiles.select(key, gender), key, length, ts)
+    """Requests by gender per hour; unknown, also of an unknown customer, is a label of its own."""
+    joined = _profiled(df, profiles.select(key, gender), key, length, ts).withColumn(
+        gender, F.coalesce(gender, F.lit(fixed.GENDER_UNKNOWN))
+    )
     return roll_up(joined, length, length, {"n": F.sum("requests")}, [gender])
 
 
 def batch_means(df: DataFrame, profiles: DataFrame, key: str, feature: str, length=3600, ts="ts") -> DataFrame:
     """Mean of a customer feature over the requests of each interval."""
-    joined = _profiled(df, profiles.select(key, feature).where(F.col(feature).isNotNull()), key, length, ts)
+    joined = _profiled(df, profiles.select(key, feature), key, length, ts).where(F.col(feature).isNotNull())
     return roll_up(
         joined, length, length,
         {"mean_value": F.sum(F.col("requests") * F.col(feature)) / F.sum("requests")},

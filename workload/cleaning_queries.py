@@ -36,10 +36,13 @@ def scan_typed(spark, folder):
 
 @query("scan_csv", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def scan_csv(spark, folder):
+    """The file has its columns in another order, one more and one less than declared."""
     source = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     path = scratch_path(spark, "customer-csv")
-    source.write.option("header", True).csv(path)
-    return tables.scan(spark, path, source.schema)
+    shuffled = source.select("c_mktsegment", "c_acctbal", F.lit("x").alias("more"), "c_custkey", "c_name")
+    shuffled.write.option("header", True).csv(path)
+    declared = T.StructType([*source.schema.fields, T.StructField("c_phone", T.StringType())])
+    return tables.scan(spark, path, declared).select(*source.columns)
 
 
 @query(

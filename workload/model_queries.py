@@ -20,7 +20,7 @@ from .views import AS_OF, raw_applications, raw_customers, staged_transactions,
     using(
         "raw_applications",
         """SELECT app_id, CAST(outcome = 'TakeUp' AS INTEGER) AS target,
-                  substr(md5(CAST(app_id AS VARCHAR) || ':42'), 1, 4) < '3333' AS is_test
+                  substr(md5(CAST(app_id AS VARCHAR) || ':42'), 1, 13) <= '3333333333333' AS is_test
            FROM raw_applications WHERE outcome IS NOT NULL""",
     ),
 )

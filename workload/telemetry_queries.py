@@ -207,7 +207,7 @@ _PROFILE_CTES = """, moves AS (
                coalesce(max_loan_amount, 0) AS max_loan_amount, coalesce(mean_loan_amount, 0) AS mean_loan_amount,
                coalesce(avg_balance, 0) / CASE WHEN income = 0 THEN 1.0 ELSE income / 12 END AS balance_to_income_ratio
         FROM valid_customers c LEFT JOIN moves m ON m.id = c.id LEFT JOIN asked a ON a.id = c.id),
-    profiled AS (SELECT * FROM raw_requests q JOIN profiles p ON p.id = CAST(q.user_id AS VARCHAR))"""
+    profiled AS (SELECT * FROM raw_requests q LEFT JOIN profiles p ON p.id = CAST(q.user_id AS VARCHAR))"""
 _PROFILE_VIEWS = "raw_requests valid_customers raw_transactions raw_applications"
 _PROFILE_DIGITS = {
     "total_inflow": 3, "total_outflow": 3, "net_cashflow": 3, "avg_balance": 6, "std_balance": 6,
@@ -306,7 +306,7 @@ def feature_sum_rate(spark, folder):
     using(
         _PROFILE_VIEWS,
         _PROFILE_CTES + ", " + _ranges(3600, 3600, source="profiled")
-        + " SELECT window_start, window_end, gender, count(*) AS n FROM ranges GROUP BY 1, 2, 3",
+        + " SELECT window_start, window_end, coalesce(gender, 'Unknown') AS gender, count(*) AS n FROM ranges GROUP BY 1, 2, 3",
     ),
 )
 def gender_mix(spark, folder):

@@ -20,14 +20,15 @@ CUSTOMER_COLUMNS = [
     "else 18 + c_custkey % 60 end as double) as age",
     "case when c_acctbal < 0 then null else c_acctbal end as income",
 ]
+# Every order is an application.  Those of every seventh customer are the next
+# customer's, so that some customers never applied.
 APPLICATION_COLUMNS = [
-    "cast(o_custkey as varchar(20)) as id",
+    "cast(case when o_custkey % 7 = 0 then o_custkey + 1 else o_custkey end as varchar(20)) as id",
     "o_orderkey as app_id",
     "cast(o_orderdate as date) as dt",
     "o_totalprice as amount",
     "case o_orderstatus when 'F' then 'TakeUp' when 'O' then 'Declined' else null end as outcome",
 ]
-APPLICATION_RULE = "o_orderpriority = '1-URGENT'"
 TRANSACTION_COLUMNS = [
     "cast(o_custkey as varchar(20)) as id",
     "l_orderkey",
@@ -54,7 +55,7 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_applications(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").where(APPLICATION_RULE).selectExpr(*APPLICATION_COLUMNS)
+    return table(spark, folder, "orders").selectExpr(*APPLICATION_COLUMNS)
 
 
 def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,7 +84,7 @@ def _select(columns: list[str], source: str) -> str:
 # The same views, and the cleaned tables, as SQL.
 CTES = {
     "raw_customers": _select(CUSTOMER_COLUMNS, "customer"),
-    "raw_applications": _select(APPLICATION_COLUMNS, f"orders WHERE {APPLICATION_RULE}"),
+    "raw_applications": _select(APPLICATION_COLUMNS, "orders"),
     "raw_transactions": _select(
         TRANSACTION_COLUMNS, "lineitem JOIN orders ON l_orderkey = o_orderkey"
     ),
