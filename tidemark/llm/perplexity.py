@@ -52,19 +52,6 @@ def suffix(gram: Column, order: int) -> Column:
     return gram if BITS * order >= 64 else gram.bitwiseAND(F.lit((1 << (BITS * order)) - 1))
 
 
-def gram_counts(docs: DataFrame, text: str, order: int) -> DataFrame:
-    """``g, c``: how often each gram occurs; combined in each task before the shuffle."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _parts(batches):
-            grams, _ = text_grams(part["t"].tolist(), order)
-            codes, values = pd.factorize(grams)
-            yield pd.DataFrame({"g": values, "n": np.bincount(codes, minlength=len(values))})
-
-    source = docs.where(F.length(text) > 0).select(F.col(text).alias("t"))
-    return source.mapInPandas(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("c"))
-
-
 def _parts(batches: Iterator[pd.DataFrame], limit: int = 4 << 20) -> Iterator[pd.DataFrame]:
     """Batches cut to about ``limit`` characters."""
     for batch in batches:
@@ -155,9 +142,10 @@ def classify(
     Trusted documents are those whose number is in ``trusted`` (column
     ``doc_id``).  One in ``held_out`` of them, by a hash of the number, is kept
     back; the model is trained on the whole texts of all the others.  Texts are dealt to blocks of about
-    ``block_bytes`` by a hash; a block asks once for each gram that it holds, the
-    distinct grams of all blocks are joined with the model's sharded tables, and
-    each block scores its texts with the answers.  A document is kept if its
+    ``block_bytes`` by a hash; a block tells once of each gram that it holds how
+    often its training texts have it.  The sums of these counts are the model's
+    tables; the distinct grams of all blocks are joined with them, shard by
+    shard, and each block scores its texts with the answers.  A document is kept if its
     perplexity per character is at most ``slack`` times the ``quantile`` of the
     held-out documents of its language (a model knows its own training text too
     well); a language without any takes the quantile of all of them.
@@ -172,29 +160,36 @@ def classify(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(lang), F.lit("")).alias("l"), F.col(lang).alias("lang"), F.col(text).alias("t")
     )
-    counts = durable(gram_counts(rows.join(ids.where(~is_out), F.col("id") == F.col("t_id"), "left_semi"), "t", order))
-    model = kneser_ney(counts, order)
-
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(blocks)))
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked: dict[int, np.ndarray] = {}
-        for part in _parts(batches):
-            for block, texts in part.groupby("block"):
-                grams = pd.unique(text_grams(texts["t"].tolist(), order)[0])
-                asked[block] = pd.unique(np.concatenate([asked[block], grams])) if block in asked else grams
-        for block, grams in asked.items():
-            yield pd.DataFrame({"block": block, "g": grams})
-
+    dealt = rows.withColumn(
+        "block", F.pmod(F.when(F.col("id").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("id")), F.lit(blocks))
+    )
     filled = dealt.where(F.length("t") > 0)
-    asked = durable(filled.select("block", "t").repartition(blocks, "block").mapInPandas(ask, "block long, g long"))
+    training = ids.where(~is_out).withColumn("block", F.pmod(F.xxhash64("t_id"), F.lit(blocks)))
+
+    def ask(key, texts: pd.DataFrame, taught: pd.DataFrame) -> pd.DataFrame:
+        """The distinct grams of a block, and how often its training texts hold each."""
+        grams, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        for part in _parts(iter([texts])):
+            found, bounds = text_grams(part["t"].tolist(), order)
+            counted = np.repeat(part["id"].isin(taught["t_id"]).to_numpy(), np.diff(bounds))
+            codes, values = pd.factorize(found)
+            own = np.bincount(codes[counted], minlength=len(values))
+            codes, grams = pd.factorize(np.concatenate([grams, values]))
+            counts = np.bincount(codes, weights=np.concatenate([counts, own]), minlength=len(grams)).astype(np.int64)
+        return pd.DataFrame({"block": key[0], "g": grams, "c": counts})
+
+    asked = durable(
+        filled.select("block", F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "t").groupBy("block").cogroup(training.groupBy("block")).applyInPandas(ask, "block long, g long, c long")
+    )
+    counts = asked.where("c > 0").groupBy("g").agg(F.sum("c").alias("c"))
+    model = kneser_ney(counts, order)
     answers = durable(look_up(asked.select("g").distinct(), model, order))
-    replies = asked.join(answers, "g").select("block", "g", "logp")
+    replies = asked.select("block", "g").join(answers, "g").select("block", "g", F.col("logp").cast("float").alias("logp"))
 
     def score(key, texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        index, logp = pd.Index(known["g"].to_numpy()), known["logp"].to_numpy()
+        index, logp = pd.Index(known["g"].to_numpy()), known["logp"].to_numpy(dtype="float64")
         out = []
         for part in _parts(iter([texts])):
             grams, bounds = text_grams(part["t"].tolist(), order)
