@@ -139,3 +139,17 @@ def test_winsorize_is_idempotent(frame):
     key = lambda v: (v is None, v or 0)
     assert sorted((r["x"] for r in once.collect()), key=key) == sorted((r["x"] for r in twice.collect()), key=key)
     assert once.where("x is null").count() == 1
+
+
+def test_many_narrow_clusters_are_cut_to_size(spark):
+    from tidemark.operators import prefix
+    from tidemark.operators.quantiles import column_facts
+
+    data = spark.range(10_000).selectExpr("cast((id % 250) * 1e6 + (id div 250) * 1e-3 as double) as x")
+    cuts = prefix.split_points(data, "x", column_facts(data, ["x"])["x"], 25)
+    values = sorted(r.x for r in data.collect())
+    edges = [-1.0, *cuts, 1e12]
+    from bisect import bisect_left
+
+    sizes = [bisect_left(values, b) - bisect_left(values, a) for a, b in zip(edges, edges[1:])]
+    assert sum(sizes) == 10_000 and max(sizes) <= 25

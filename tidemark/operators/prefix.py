@@ -2,7 +2,7 @@
 
 Rows are first combined per distinct value, so repeated values cost one row.
 The value axis is cut into buckets of bounded size by a deterministic function
-of the value; bucket totals (a few thousand rows) are cumulated and added to the
+of the value; bucket totals are cumulated and added to the
 running sums computed inside each bucket.
 """
 
@@ -18,28 +18,27 @@ from pyspark.sql import functions as F
 from .quantiles import Span, column_facts, count_cells
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
-_HEAVY_AT_ONCE = 32
-_ROUNDS = 4
+#: Spans that one pass cuts; only the length of its expression depends on it.
+_SPANS_AT_ONCE = 32
 
 
 def split_points(data: DataFrame, name: str, facts, target_rows: int) -> list[float]:
     """Values that cut the column into pieces of about ``target_rows`` rows.
 
-    Only balance depends on them, never a result.
+    Spans are cut until each holds at most that many rows or a single value, so a
+    piece is never larger, except for one value's rows.  Only balance depends on
+    the cuts, never a result.
     """
-    pieces = min(MAX_BUCKETS, math.ceil(facts["rows"] / target_rows))
+    pieces = math.ceil(facts["rows"] / target_rows)
     if pieces < 2 or facts["low"] == facts["high"]:
         return []
     target = facts["rows"] / pieces
-    cells = [Span(0, facts["low"], facts["high"], 0, facts["rows"])]
-    for _ in range(_ROUNDS):
-        heavy = sorted((s for s in cells if s.rows > target and s.low < s.high), key=lambda s: -s.rows)
-        heavy = heavy[:_HEAVY_AT_ONCE]
-        if not heavy:
-            break
-        parts = count_cells(data, [name], heavy, 4 * pieces)
-        cells = [s for s in cells if s not in heavy] + [s for found in parts.values() for s in found]
+    waiting, cells = [Span(0, facts["low"], facts["high"], 0, facts["rows"])], []
+    while waiting:
+        now, waiting = waiting[:_SPANS_AT_ONCE], waiting[_SPANS_AT_ONCE:]
+        for found in count_cells(data, [name], now, 4 * pieces).values():
+            for span in found:
+                (waiting if span.rows > target and span.low < span.high else cells).append(span)
     cuts, held = [], 0
     for cell in sorted(cells, key=lambda s: s.low):
         if held and held + cell.rows > target:
@@ -106,9 +105,8 @@ def running_sums(
     on = F.col("_bucket") == F.col("_at")
     for i, b in enumerate(by):
         on = on & F.col(b).eqNullSafe(F.col(f"_by{i}"))
-    # without groups the offsets are at most MAX_BUCKETS rows; with groups the
-    # optimizer decides from the measured size
-    joined = within.join(offsets if by else F.broadcast(offsets), on)
+    # a row per bucket and group: the optimizer decides from the measured size
+    joined = within.join(offsets, on)
     frame = joined.select(
         *by,
         value,
