@@ -100,6 +100,13 @@ def test_an_empty_literal_frame(spark):
     assert literal_frame(spark, {"a": "int"}, []).count() == 0
 
 
+def as_csv(df):
+    """The table as a file with its columns in another order."""
+    path = scratch_path(df.sparkSession, "applications-csv")
+    df.select("outcome", "dt", "app_id", "amount", "id").write.option("header", True).csv(path)
+    return path
+
+
 def test_whole_flow(spark, frame):
     rng = random.Random(12)
     people, asked, moves, number = [], [], [], 0
@@ -114,7 +121,7 @@ def test_whole_flow(spark, frame):
     out = scratch_path(spark, "run")
     model = training.run(
         frame(people, "id string, gender string, age double, income double"),
-        frame(asked, "id string, app_id long, dt string, amount double, outcome string"),
+        tables.scan(spark, as_csv(frame(asked, "id string, app_id long, dt string, amount double, outcome string")), tables.APPLICATIONS),
         frame(moves, "id string, dt string, amount double, balance double"),
         out,
         "2024-12-31",
@@ -124,6 +131,13 @@ def test_whole_flow(spark, frame):
     scores = spark.read.parquet(f"{out}/prospect_scores")
     assert {r["id"] for r in scores.collect()} == {p[0] for p in people} - applied
     assert scores.where("model_score between 0 and 1 and is_extrapolated").count() == 120 - len(applied)
+    assert {r["score_rank"] for r in scores.collect()} >= {1}
+    written = {n: spark.read.parquet(f"{out}/{n}") for n in ("variance", "vif", "anova", "dropped_features", "coefficients", "roc", "drawdown_trend", "top_drawdowns")}
+    inputs = model.stages[0].getInputCols()
+    left_out = {r["feature"] for r in written["dropped_features"].collect()}
+    assert left_out | set(inputs) == {r["feature"] for r in written["variance"].collect()} and not left_out & set(inputs)
+    assert {r["feature"] for r in written["anova"].collect()} == set(inputs)
+    assert written["top_drawdowns"].count() == 15 and written["drawdown_trend"].count() == 6 and written["roc"].count() > 2
     findings = spark.read.parquet(f"{out}/quality_report")
     assert findings.select("section").distinct().count() == 9
     metrics = {(r["section"], r["metric"], r["label"]): r["value"] for r in spark.read.parquet(f"{out}/training_metrics").collect()}

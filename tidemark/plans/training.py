@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..operators import cleaning, evaluation, modeling, quality, selection
+from ..operators import activity, charts, cleaning, evaluation, modeling, quality, selection
 from ..session import durable, literal_frame
 from ..sources import tables
 from .customer import application_features, customer_features, feature_columns
@@ -114,6 +114,29 @@ def training_metrics(
     return reduce(DataFrame.unionByName, parts)
 
 
+def screening_tables(prepared: Prepared, features: list[str], settings: Settings) -> dict[str, DataFrame]:
+    """What the screens found on the training rows, and why a candidate was left out."""
+    train, spark = prepared.train, prepared.train.sparkSession
+    varying, flat = selection.keep_varying(train, prepared.candidates, settings.min_variance)
+    reasons = [(c, "low variance") for c in flat]
+    reasons += [(c, "collinear") for c in varying if c not in features]
+    return {
+        "variance": selection.low_variance(train, prepared.candidates, settings.min_variance),
+        "vif": selection.vif(train, varying, settings.max_vif),
+        "anova": selection.anova_f(selection.complete_cases(train, features), features, LABEL),
+        "dropped_features": literal_frame(spark, {"feature": "string", "reason": "string"}, reasons),
+    }
+
+
+def activity_tables(prepared: Prepared) -> dict[str, DataFrame]:
+    """The monthly drawdown trend and the customers with the steepest falls."""
+    observed = prepared.transactions.withColumn("balance", activity.observed_balance())
+    return {
+        "drawdown_trend": activity.drawdown_trend(observed),
+        "top_drawdowns": charts.top_n(prepared.customer_table, "drawdown_per_day", "id"),
+    }
+
+
 def run(
     customers: DataFrame,
     applications: DataFrame,
@@ -122,17 +145,27 @@ def run(
     run_date: str,
     settings: Settings,
 ) -> PipelineModel:
-    """Run the flow and write model, prospect scores, quality report and metrics under ``out``."""
+    """Run the flow and write its tables, model and prospect scores under ``out``.
+
+    Reports, screens, coefficients, ROC and trend are kept by ``run_date``; model
+    and prospect scores are replaced.
+    """
     prepared = prepare(customers, applications, transactions, settings)
     findings = quality_report(
         prepared.customers, prepared.applications, prepared.transactions, prepared.customer_table
     )
-    tables.write_report(findings, f"{out}/quality_report", run_date)
     features = select_features(prepared, settings)
     model = fit(prepared, features, settings)
-    tables.write_report(
-        training_metrics(prepared, model, features, settings), f"{out}/training_metrics", run_date
-    )
+    written = {
+        "quality_report": findings,
+        "training_metrics": training_metrics(prepared, model, features, settings),
+        **screening_tables(prepared, features, settings),
+        **activity_tables(prepared),
+        "coefficients": modeling.coefficient_table(prepared.train.sparkSession, model),
+        "roc": evaluation.roc_points(scored_test(prepared, model, features), LABEL, "score"),
+    }
+    for name, frame in written.items():
+        tables.write_report(frame, f"{out}/{name}", run_date)
     tables.save_model(model, f"{out}/model")
     tables.write_table(
         modeling.score_prospects(model, prepared.customer_table), f"{out}/prospect_scores"

@@ -8,6 +8,8 @@ from tidemark.functions import fixed_values as fixed
 from tidemark.operators import cleaning, drift, history, quality, selection
 from tidemark.plans import customer as plans
 from tidemark.plans import report
+from tidemark.session import scratch_path
+from tidemark.sources import tables
 
 from .activity_queries import prepared_tables
 from .registry import query, r, rounded
@@ -88,6 +90,43 @@ def thin_history(spark, folder):
     return quality.thin_history(counts, "n")
 
 
+@query(
+    "thin_history_flag",
+    using(
+        "raw_transactions",
+        """, counts AS (SELECT id, count(*) AS n FROM raw_transactions GROUP BY id)
+        SELECT id, n, CAST(n <= (SELECT quantile_disc(n, 0.05) FROM counts) AS INTEGER) AS flag_insufficient_history
+        FROM counts""",
+    ),
+)
+def thin_history_flag(spark, folder):
+    counts = raw_transactions(spark, folder).groupBy("id").agg(F.count("*").alias("n"))
+    threshold = quality.thin_history(counts, "n").first()["threshold"]
+    return quality.thin_history_flag(counts, "n", threshold)
+
+
+@query(
+    "report_sink",
+    using(
+        "raw_applications",
+        """, shares AS (SELECT 'class_balance' AS section, outcome AS label, CAST(count(*) AS DOUBLE) AS value
+                        FROM raw_applications GROUP BY outcome)
+        SELECT *, DATE '2024-01-01' AS run_date FROM shares
+        UNION ALL SELECT section, label, 2 * value, DATE '2024-01-02' FROM shares""",
+    ),
+)
+def report_sink(spark, folder):
+    """Two dates are written, the second one twice: a repeated run replaces its own date only."""
+    counts = quality.category_counts(raw_applications(spark, folder), "outcome").select(
+        F.lit("class_balance").alias("section"), F.col("outcome").alias("label"), F.col("n").cast("double").alias("value")
+    )
+    path = scratch_path(spark, "reports")
+    tables.write_report(counts, path, "2024-01-01")
+    for factor in (3, 2):
+        tables.write_report(counts.withColumn("value", F.col("value") * factor), path, "2024-01-02")
+    return spark.read.parquet(path)
+
+
 @query(
     "empirical_thresholds",
     using(
@@ -177,10 +216,19 @@ def chi_square_corrected(spark, folder):
     return rounded(drift.chi_square(lines, "l_linestatus", "fate"), ["chi2_statistic"])
 
 
-@query("chi_square_test")
+@query(
+    "chi_square_test",
+    "SELECT 'chi_square_independence' AS test, 'gender' AS column_a, 'senior' AS column_b, chi2_statistic, "
+    "degrees_of_freedom, round(exp(-chi2_statistic / 2), 5) AS p_value, exp(-chi2_statistic / 2) < 0.05 AS significant "
+    "FROM ("
+    + using("customers", ", people AS (SELECT gender, age > 60 AS senior FROM customers)" + _chi_sql("gender", "senior", "people"))
+    + ")",
+)
 def chi_square_test(spark, folder):
+    """Three by two categories: with two degrees of freedom the p-value is a plain exponential."""
     people = cleaning.clean_customers(raw_customers(spark, folder))
-    return drift.chi_square_test(people.withColumn("senior", F.col("age") > 60), "gender", "senior")
+    found = drift.chi_square_test(people.withColumn("senior", F.col("age") > 60), "gender", "senior")
+    return rounded(found, ["chi2_statistic"]).withColumn("p_value", F.round("p_value", 5))
 
 
 def _segmented_incomes(spark, folder):
@@ -190,15 +238,19 @@ def _segmented_incomes(spark, folder):
     )
 
 
+_KS_CTES = """, v AS (SELECT income, a.id IS NOT NULL AS has FROM raw_customers c LEFT JOIN applied a ON a.id = c.id
+                    WHERE income IS NOT NULL),
+        n AS (SELECT count(*) FILTER (has) AS na, count(*) FILTER (NOT has) AS nb FROM v),
+        d AS (SELECT income, sum(count(*) FILTER (has)) OVER (ORDER BY income) AS ca,
+                     sum(count(*) FILTER (NOT has)) OVER (ORDER BY income) AS cb FROM v GROUP BY income)"""
+
+
 @query(
     "ks_two_sample",
     using(
         "raw_customers applied",
-        f""", v AS (SELECT income, a.id IS NOT NULL AS has FROM raw_customers c LEFT JOIN applied a ON a.id = c.id
-                    WHERE income IS NOT NULL),
-        n AS (SELECT count(*) FILTER (has) AS na, count(*) FILTER (NOT has) AS nb FROM v),
-        d AS (SELECT income, sum(count(*) FILTER (has)) OVER (ORDER BY income) AS ca,
-                     sum(count(*) FILTER (NOT has)) OVER (ORDER BY income) AS cb FROM v GROUP BY income)
+        _KS_CTES
+        + f"""
         SELECT {r('max(abs(ca / na - cb / nb))', 9)} AS ks_statistic, any_value(na) AS n_a, any_value(nb) AS n_b
         FROM d, n""",
     ),
@@ -208,9 +260,26 @@ def ks_two_sample(spark, folder):
     return rounded(found, {"ks_statistic": 9})
 
 
-@query("ks_test")
+@query(
+    "ks_test",
+    using(
+        "raw_customers applied",
+        _KS_CTES
+        + """, s AS (SELECT max(abs(ca / na - cb / nb)) AS stat, any_value(na) AS na, any_value(nb) AS nb FROM d, n),
+        x AS (SELECT *, stat * sqrt(na * nb / (na + nb)) AS x FROM s),
+        p AS (SELECT any_value(stat) AS stat, any_value(na) AS na, any_value(nb) AS nb,
+                     CASE WHEN any_value(x) < 0.2 THEN 1.0
+                          ELSE least(1.0, greatest(0.0, sum(2 * CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2 * k * k * x * x))))
+                     END AS p
+              FROM x, (SELECT unnest(range(1, 101)) AS k))
+        SELECT 'two_sample_ks' AS test, 'income' AS value_column, 'applied' AS group_column, 'yes' AS group_a,
+               'no' AS group_b, na AS n_a, nb AS n_b, round(stat, 9) AS ks_statistic, round(p, 9) AS p_value,
+               p < 0.05 AS significant, CAST(NULL AS VARCHAR) AS error, 'asymptotic' AS p_method FROM p""",
+    ),
+)
 def ks_test(spark, folder):
-    return drift.ks_test(_segmented_incomes(spark, folder), "income", "applied", "yes", "no")
+    found = drift.ks_test(_segmented_incomes(spark, folder), "income", "applied", "yes", "no")
+    return found.withColumns({c: F.round(c, 9) for c in ("ks_statistic", "p_value")})
 
 
 def _psi_term(b: str, nb: str, c: str, nc: str) -> str:
