@@ -15,6 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
 from .quantiles import Span, column_facts, count_cells
 
 ROWS_PER_BUCKET = 1_000_000
@@ -68,10 +69,11 @@ def running_sums(
     data = df.select(*by, x.alias(value), *[e.alias(n) for n, e in sums.items()]).where(
         F.col(value).isNotNull() & ~F.isnan(value)
     )
-    facts = column_facts(data, [value], {n: F.sum(n) for n in names})
-    cuts = split_points(data, value, facts[value], rows_per_bucket)
+    # a narrow table, written once: the source may be a join or a model's scores
+    per_value = durable(data.groupBy(*by, value).agg(*[F.sum(n).alias(n) for n in names]))
+    facts = column_facts(per_value, [value], {n: F.sum(n) for n in names})
+    cuts = split_points(per_value, value, facts[value], rows_per_bucket)
 
-    per_value = data.groupBy(*by, value).agg(*[F.sum(n).alias(n) for n in names])
     if cuts:
         bucketizer = Bucketizer(
             splits=[-math.inf, *cuts, math.inf], inputCol=value, outputCol="_bucket"
@@ -84,7 +86,7 @@ def running_sums(
     within = placed.select("*", *[F.sum(n).over(inside).alias(f"upto_{n}") for n in names])
 
     if not cuts:
-        # one bucket: a table of at most ``rows_per_bucket`` rows
+        # one bucket: at most ``rows_per_bucket`` distinct values (of every group)
         group = Window.partitionBy(*(by or ["_bucket"]))
         frame = within.withColumns({f"all_{n}": F.sum(n).over(group) for n in names})
         return frame.drop("_bucket"), {n: facts[f"_{n}"] or 0 for n in names}
