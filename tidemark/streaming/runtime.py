@@ -11,6 +11,9 @@ from ..operators.drift import baseline_counts, psi_with
 from ..operators.modeling import with_scores
 from ..session import scratch_path
 
+#: Take what is there, then end.
+AVAILABLE_NOW = {"availableNow": True}
+
 
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, name_pattern: str | None = None, files_per_batch: int | None = None
@@ -48,11 +51,12 @@ def score_stream(model: PipelineModel, stream: DataFrame, key="id") -> DataFrame
     return with_scores(model, stream).select(key, "score")
 
 
-def latest_mean_sink(stream: DataFrame, value: str, path: str, checkpoint: str):
+def latest_mean_sink(stream: DataFrame, value: str, path: str, checkpoint: str, **trigger):
     """Write the mean of every micro-batch; the newest one is the gauge.
 
     The batch number is the file partition, so a batch that runs again after a
-    failure replaces its own row.
+    failure replaces its own row.  ``trigger`` is Spark's, say
+    ``processingTime="1 minute"`` to run on; the default takes what is there and ends.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -63,13 +67,18 @@ def latest_mean_sink(stream: DataFrame, value: str, path: str, checkpoint: str):
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 
 
-def drift_sink(stream: DataFrame, baseline: DataFrame, column: str, keys: list[Column], path: str, checkpoint: str):
-    """Stability index of every micro-batch against a fixed baseline, which is read once at the start."""
+def drift_sink(
+    stream: DataFrame, baseline: DataFrame, column: str, keys: list[Column], path: str, checkpoint: str, **trigger
+):
+    """Stability index of every micro-batch against a fixed baseline, which is read once at the start.
+
+    ``trigger`` is as for :func:`latest_mean_sink`.
+    """
     edges, counts = baseline_counts(baseline, column)
 
     def write(batch: DataFrame, number: int) -> None:
@@ -78,6 +87,6 @@ def drift_sink(stream: DataFrame, baseline: DataFrame, column: str, keys: list[C
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )

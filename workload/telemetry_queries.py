@@ -380,3 +380,49 @@ def stream_daily_total(spark, folder):
     return runtime.drain_to_table(
         telemetry.daily_total(request_stream(spark, folder)), scratch_path(spark, "daily-total")
     )
+
+
+@query(
+    "stream_error_rate",
+    using(
+        "raw_requests",
+        ", " + _ranges(300, 60)
+        + f""" SELECT window_start, window_end, count(*) AS n, count(*) FILTER (status = 'error') AS errors,
+               {r("100.0 * count(*) FILTER (status = 'error') / greatest(count(*), 1e-9)")} AS error_pct
+               FROM ranges WHERE {_CLOSED} GROUP BY 1, 2""",
+    ),
+)
+def stream_error_rate(spark, folder):
+    found = telemetry.error_rate(request_stream(spark, folder))
+    return rounded(runtime.drain_to_table(found, scratch_path(spark, "error-rate")), ["error_pct"])
+
+
+@query(
+    "stream_windowed_mean",
+    using(
+        "raw_requests",
+        ", " + _ranges(900, 60)
+        + f""" SELECT window_start, window_end, {r('sum(score)')} AS total, count(score) AS n,
+               {r('sum(score) / greatest(count(score), 1e-9)')} AS mean_value FROM ranges WHERE {_CLOSED} GROUP BY 1, 2""",
+    ),
+)
+def stream_windowed_mean(spark, folder):
+    found = telemetry.windowed_mean(request_stream(spark, folder), "score")
+    return rounded(runtime.drain_to_table(found, scratch_path(spark, "score-mean")), ["total", "mean_value"])
+
+
+@query(
+    "stream_bucket_quantile",
+    using(
+        "raw_requests",
+        ", " + _ranges(300, 60)
+        + ", counted AS (SELECT window_start, window_end, count(*) AS n, "
+        + ", ".join(f"count(*) FILTER (latency_s <= {b}) AS le{i}" for i, b in enumerate(LATENCY_BOUNDS))
+        + f" FROM ranges WHERE {_CLOSED} GROUP BY 1, 2) SELECT window_start, window_end, n, "
+        + r(f"CAST({_bucket_quantile_sql(0.95)} AS DOUBLE)")
+        + " AS p95 FROM counted",
+    ),
+)
+def stream_bucket_quantile(spark, folder):
+    found = telemetry.bucket_quantile(request_stream(spark, folder), "latency_s", LATENCY_BOUNDS, {"p95": 0.95})
+    return rounded(runtime.drain_to_table(found, scratch_path(spark, "latency")), ["p95"])
