@@ -52,7 +52,7 @@ def suffix(gram: Column, order: int) -> Column:
     return gram if BITS * order >= 64 else gram.bitwiseAND(F.lit((1 << (BITS * order)) - 1))
 
 
-def _parts(batches: Iterator[pd.DataFrame], limit: int = 4 << 20) -> Iterator[pd.DataFrame]:
+def _parts(batches: Iterator[pd.DataFrame], limit: int = 1 << 20) -> Iterator[pd.DataFrame]:
     """Batches cut to about ``limit`` characters."""
     for batch in batches:
         held = batch["t"].str.len().cumsum() // limit
