@@ -14,7 +14,7 @@ SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Text that one step of a Python pass holds at once, in bytes (one longer text is a step of its own).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def without(df: DataFrame, names) -> DataFrame:
@@ -57,6 +57,7 @@ def over_text(
     text: str = "text",
     keep: list[str] | None = None,
     extra: list[str] | None = None,
+    step_bytes: int = STEP_BYTES,
 ) -> DataFrame:
     """Add columns that ``function`` derives from whole texts.
 
@@ -81,7 +82,7 @@ def over_text(
         for batch in batches:
             texts = batch.column("t").to_pylist()
             more = [batch.column(f"x{i}") for i in range(len(extra))]
-            for part in steps(texts):
+            for part in steps(texts, step_bytes):
                 n = part.stop - part.start
                 out = function(texts[part], *[c.slice(part.start, n).to_pylist() for c in more])
                 columns = [batch.column(f"k{i}").slice(part.start, n) for i in range(len(keep))]

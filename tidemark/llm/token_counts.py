@@ -71,4 +71,5 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", chunk: int = CH
             total[full] = before[np.append(first[1:], len(cuts))] - before[first]
         return {"n_bytes": np.diff(bounds), "n_tokens": total}
 
-    return over_text(docs, run, RESULT, text)
+    # long steps: the more chunks are read side by side, the less each costs
+    return over_text(docs, run, RESULT, text, step_bytes=4 << 20)
