@@ -95,3 +95,45 @@ def test_one_of_each_class_stays(documents, edges):
 
 def test_no_rows(documents):
     assert nd.near_classes(documents([])).count() == 0
+
+
+def drifting_copies(seed, number):
+    """Copies of 200 words, each with four words changed from one of the copies before; their order is shuffled."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    copies = [[word() for _ in range(200)]]
+    while len(copies) < number:
+        copy = list(rng.choice(copies))
+        for i in rng.sample(range(200), 4):
+            copy[i] = word()
+        copies.append(copy)
+    rng.shuffle(copies)
+    return [(i, " ".join(copy)) for i, copy in enumerate(copies)]
+
+
+@pytest.mark.parametrize("number", [40, 300])
+def test_drifting_copies_are_one_class(documents, number):
+    """Each copy has a neighbour at 0.8, and most are unlike the smallest member of their bucket."""
+    families = [drifting_copies(seed, number) for seed in range(3)]
+    rows = [(k * 1000 + i, t) for k, family in enumerate(families) for i, t in family]
+    found = {r.doc_id: r.class_id for r in nd.near_classes(documents(rows)).collect()}
+    assert found == {i: i // 1000 * 1000 for i, _ in rows}
+
+
+def test_links_of_a_cell():
+    """All of what could join two groups is aligned, in any order, with repeated numbers and texts without words."""
+    texts = [t.encode() for _, t in drifting_copies(7, 30)]
+    docs, pivots = [*range(30), 3, 4], [i % 3 == 0 for i in range(32)]
+    links = nd.links_between(docs, docs, pivots, [*texts, b"other words", b""], 5, 0.8)
+    values, bounds = nd.shingles(texts, 5)
+    own = [values[a:b] for a, b in zip(bounds, bounds[1:])]
+    right = {i: i for i in range(30)}
+    joined = dict(right)
+    for label, pairs in (
+        (right, [(a, b) for a in range(30) for b in range(a) if (pivots[a] or pivots[b]) and nd.similarity(own[a], own[b], 0.8)]),
+        (joined, [(a, b) for a, b, _ in links]),
+    ):
+        for a, b in pairs:
+            one, other = label[a], label[b]
+            label.update({i: min(one, other) for i in label if label[i] in (one, other)})
+    assert links and joined == right

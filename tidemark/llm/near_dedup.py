@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,13 +49,8 @@ def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def order_min_hash(values: np.ndarray, bounds: np.ndarray, sketches: int, each: int) -> np.ndarray:
-    """Sketches of every text that has shingles (all of them must): a row per text.
-
-    Shingles are labelled by their occurrence, so a repeated one counts anew.
-    Each sketch takes the ``each`` smallest labelled hashes and hashes the
-    shingles in the order of the text.
-    """
+def labelled(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Shingles with their occurrence in their text, as one hash: a repeated one counts anew."""
     counts = np.diff(bounds)
     owner = np.repeat(np.arange(len(counts)), counts)
     order = np.lexsort((values, owner))
@@ -64,10 +60,22 @@ def order_min_hash(values: np.ndarray, bounds: np.ndarray, sketches: int, each:
     run = np.maximum.accumulate(np.where(fresh, np.arange(len(values)), 0))
     occurrence = np.empty(len(values), dtype=np.uint64)
     occurrence[order] = (np.arange(len(values)) - run).astype(np.uint64)
-    labelled = mixed(values + occurrence * np.uint64(0xD6E8FEB86659FD93))
+    return mixed(values + occurrence * np.uint64(0xD6E8FEB86659FD93))
+
+
+def order_min_hash(values: np.ndarray, bounds: np.ndarray, sketches: int, each: int) -> np.ndarray:
+    """Sketches of every text that has shingles (all of them must): a row per text.
+
+    Shingles are labelled by their occurrence, so a repeated one counts anew.
+    Each sketch takes the ``each`` smallest labelled hashes and hashes the
+    shingles in the order of the text.
+    """
+    counts = np.diff(bounds)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    tagged = labelled(values, bounds)
     out = np.empty((len(counts), sketches), dtype=np.uint64)
     for j in range(sketches):
-        h = mixed(labelled ^ _SEEDS[j])
+        h = mixed(tagged ^ _SEEDS[j])
         picks = np.empty((each, len(counts)), dtype=np.int64)
         for t in range(each):
             least = np.minimum.reduceat(h, bounds[:-1])
@@ -137,6 +145,49 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return value if value >= least - 1e-12 else 0.0
 
 
+def links_between(
+    docs: list[int], groups: list[int], is_pivot: list[bool], texts: list[bytes], size: int, least: float
+) -> list[tuple[int, int, float]]:
+    """Links that join the groups of pivots with other groups of a cell: ``a, b, score``.
+
+    Every pair of a pivot and a document of another group is aligned, unless the
+    labelled shingles they share are too few for ``least`` whatever their order,
+    or links found here have already joined their groups.
+    """
+    order = sorted(range(len(docs)), key=lambda i: (docs[i], texts[i], not is_pivot[i]))
+    order = [i for k, i in enumerate(order) if not k or (docs[i], texts[i]) != (docs[order[k - 1]], texts[order[k - 1]])]
+    values, bounds = shingles([texts[i] for i in order], size)
+    full = np.flatnonzero(np.diff(bounds))
+    if not len(full):
+        return []
+    order, bounds = [order[k] for k in full.tolist()], np.append(bounds[full], bounds[-1])
+    docs, is_pivot = [docs[i] for i in order], np.array([is_pivot[i] for i in order])
+    group = np.array([groups[i] for i in order])
+    numbers = np.diff(bounds)
+    _, codes = np.unique(labelled(values, bounds), return_inverse=True)
+    held = np.zeros(len(codes), dtype=np.int32)
+    links = []
+    for i in np.flatnonzero(is_pivot).tolist():
+        if (group == group[i]).all():
+            break
+        own = codes[bounds[i] : bounds[i + 1]]
+        held[own] = 1
+        shared = np.add.reduceat(held[codes], bounds[:-1])
+        held[own] = 0
+        near = shared >= least * (numbers[i] + numbers - shared) - 1e-9
+        near &= group != group[i]
+        near[:i] &= ~is_pivot[:i]  # a pair of pivots is met once
+        for k in sorted(np.flatnonzero(near).tolist(), key=lambda k: (-int(shared[k]), k)):
+            if group[k] == group[i]:
+                continue
+            a, b = min(i, k), max(i, k)
+            score = similarity(values[bounds[a] : bounds[a + 1]], values[bounds[b] : bounds[b + 1]], least)
+            if score >= least - 1e-12:
+                links.append((docs[a], docs[b], score))
+                group[group == group[k]] = group[i]
+    return links
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label``: the smallest node that links ``a, b`` lead to, for every node of a link.
 
@@ -161,6 +212,7 @@ def near_classes(
     sketches: int = 16,
     each: int = 3,
     small: int = 16,
+    cell_shingles: int = 200_000,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -178,11 +230,14 @@ def near_classes(
        all are compared with the smallest; if some do not match it, the whole
        bucket is dealt anew by the next sketch as well, then by the next two,
        four and so on, until every bucket is small or matches its smallest member
-       (or all sketches agree; then all are compared).  So a document takes part
-       in at most ``small`` comparisons for each sketch and round, whatever the
-       size of its group.
+       (or all sketches agree; then all are compared).
     4. Candidates are verified by alignment in a band as wide as ``least`` allows.
-    5. Classes are the connected components of the links.
+    5. Classes are the connected components of the links.  First buckets of more
+       than ``small`` documents that hold several classes by then are opened once
+       more: every document outside a bucket's largest class is compared with all
+       of the other classes, in cells of about ``cell_shingles`` shingles a side,
+       so no two documents of a bucket stay apart without a comparison.  The
+       number of shared shingles rules most pairs out before alignment.
 
     ``n_links`` counts verified links of the document's representative.  Two
     documents at the threshold share none of 16 sketches with probability 1e-5.
@@ -265,11 +320,12 @@ def near_classes(
     def all_tested() -> DataFrame:
         return reduce(DataFrame.union, tested)
 
-    depth = 1
+    depth, whole = 1, None
     while True:
         sizes = durable(members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("doc").alias("first")).where("size > 1"))
         is_small = (F.col("size") <= small) | F.lit(depth >= sketches)
         placed = durable(members.join(sizes, "bucket").withColumn("is_small", is_small))
+        whole = placed.where("not is_small").select("bucket", "doc") if whole is None else whole
         every = placed.where("is_small").select("bucket", F.col("doc").alias("pivot"))
         star = placed.where("not is_small").select(F.col("first").alias("a"), F.col("doc").alias("b"))
         among = placed.where("is_small").join(every, "bucket").where("pivot < doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
@@ -303,6 +359,54 @@ def near_classes(
     ties = stands.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
     links = durable(links)
     labels = components(links.union(ties))
+
+    # Large first buckets whose members are not one class yet: all others against the largest class and each other.
+    lengths = reps.groupBy("doc").agg(F.max("n").cast("long").alias("n"))
+    grouped = durable(
+        whole.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+        .join(lengths, "doc")
+        .select("bucket", "doc", "n", F.coalesce("label", "doc").alias("group"))
+    )
+    classes_of = grouped.groupBy("bucket", "group").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    opened = durable(
+        classes_of.groupBy("bucket")
+        .agg(F.count("*").alias("groups"), F.max(F.struct("docs", "group", "n")).alias("most"), F.sum("n").alias("all_n"))
+        .where("groups > 1")
+        .select(
+            "bucket",
+            F.col("most.group").alias("main"),
+            F.ceil((F.col("all_n") - F.col("most.n")) / cell_shingles).alias("pivot_blocks"),
+            F.ceil(F.col("all_n") / cell_shingles).alias("blocks"),
+        )
+    )
+    open_members = durable(grouped.join(opened, "bucket"))
+    at = F.xxhash64("doc", F.lit("block"))
+    all_in = open_members.select(
+        "bucket",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("pivot_blocks") - 1)).alias("x"),
+        F.pmod(at, "blocks").alias("y"),
+        "doc",
+        "group",
+        F.lit(False).alias("is_pivot"),
+    )
+    pivots_in = open_members.where("group <> main").select(
+        "bucket",
+        F.pmod(at, "pivot_blocks").alias("x"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("y"),
+        "doc",
+        "group",
+        F.lit(True).alias("is_pivot"),
+    )
+    cells = durable(all_in.union(pivots_in)).join(texts, "doc")
+
+    def close(cell: pd.DataFrame) -> pd.DataFrame:
+        columns = [cell[c].tolist() for c in ("doc", "group", "is_pivot", "t")]
+        return pd.DataFrame(links_between(*columns, size, least), columns=["a", "b", "score"])
+
+    more = durable(cells.groupBy("bucket", "x", "y").applyInPandas(close, "a long, b long, score double").select("a", "b").distinct())
+    if not more.isEmpty():
+        links = durable(links.union(more).distinct())
+        labels = components(links.union(ties))
     degrees = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
     of_rep = durable(labels.join(degrees, "node", "left").withColumnRenamed("node", "rep"))
     classes = (
