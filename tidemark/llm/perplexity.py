@@ -130,7 +130,7 @@ def classify(
     trusted: DataFrame,
     order: int = 4,
     quantile: float = 0.99,
-    slack: float = 1.5,
+    slack: float = 1.0,
     held_out: int = 5,
     block_bytes: int = 16 << 20,
     doc_id: str = "doc_id",
@@ -146,7 +146,7 @@ def classify(
     often its training texts have it.  The sums of these counts are the model's
     tables; the distinct grams of all blocks are joined with them, shard by
     shard, and each block scores its texts with the answers.  A document is kept if its
-    perplexity per character is at most ``slack`` times the ``quantile`` of the
+    perplexity per character is at most the ``quantile`` (times ``slack``, if given) of the
     held-out documents of its language (a model knows its own training text too
     well); a language without any takes the quantile of all of them.
 
