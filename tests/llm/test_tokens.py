@@ -65,6 +65,31 @@ def test_counts_do_not_depend_on_the_table(monkeypatch, texts):
         assert (part == once[i : i + 7]).all()
 
 
+def test_tables_that_fill_within_a_step(monkeypatch, texts):
+    from tidemark.llm import transducer
+
+    random.seed(9)
+    letters = "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5_000))
+    data = [t.encode() for t in [*texts[:60], letters] if t]
+    right = Tokenizer.from_file(BYTES).encode_batch([t.decode() for t in data], add_special_tokens=False)
+    bounds = np.cumsum([0, *map(len, data)])
+    whole = np.frombuffer(b"".join(data), dtype=np.uint8)
+    for slots, states in ((10, 1 << 18), (5, 1 << 18), (21, 50)):
+        monkeypatch.setattr(transducer, "SLOTS", slots)
+        monkeypatch.setattr(transducer, "TABLE_STATES", states)
+        machine = transducer.Transducer(BYTES)
+        calls, fill = [], machine.fill
+
+        def counted(key):
+            assert machine.filled < (1 << slots) - 1  # a slot stays free, so that probes end
+            calls.append(key)
+            return fill(key)
+
+        monkeypatch.setattr(machine, "fill", counted)
+        assert machine.run(whole, bounds[:-1], bounds[1:]).tolist() == [len(r.ids) for r in right]
+        assert len(calls) > 1000
+
+
 def test_word_encoding_and_decoding(docs, texts):
     tokenizer = Tokenizer.from_file(WORDS)
     right = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)

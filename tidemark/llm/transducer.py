@@ -11,8 +11,8 @@ token).  A state holds all that the future depends on:
   the last token and the relative count at each of these places.
 
 Tokens have a bounded length, so the states are finite.  They are made and
-numbered when first met; a full table is emptied and filled again, which changes
-no result.
+numbered when first met; a full table is emptied, also while texts are read, and
+filled again from the states of the open chunks, which changes no result.
 """
 
 from __future__ import annotations
@@ -37,6 +37,10 @@ EMPTY = ("", (None,), (0,))
 START = (0, b"", None, "", EMPTY)
 
 
+def room() -> int:
+    return 3 << SLOTS >> 2
+
+
 class Transducer:
     def __init__(self, path: str):
         import regex
@@ -59,6 +63,20 @@ class Transducer:
         # Open addressing: a state and a byte, then the next state and the count (plus 128).
         self.moves = np.full((1 << SLOTS, 2), -1, dtype=np.int32)
         self.filled = 0
+        self.most = TABLE_STATES
+
+    def is_full(self, new: int) -> bool:
+        """Whether ``new`` transitions more would leave less than a quarter of the slots free."""
+        return self.filled + new > room() or len(self.states) > self.most
+
+    def anew(self, state: np.ndarray) -> np.ndarray:
+        """Empty the tables but for the states of open chunks, and number these anew."""
+        live, at = np.unique(state, return_inverse=True)
+        kept = [self.states[i] for i in live.tolist()]
+        self.clear()
+        numbers = np.array([self.intern(one) for one in kept], dtype=np.int32)
+        self.most = max(TABLE_STATES, 2 * len(self.states))
+        return numbers[at]
 
     # One word: the window of its last places.
 
@@ -221,9 +239,13 @@ class Transducer:
         for m in active.tolist():
             if m < FEW:
                 break
-            value = self.look(state[:m] * np.int32(256) + data[begin[:m] + done])
-            state[:m] = value >> 8
-            total[:m] += (value & 255) - 128
+            for i in range(0, m, room()):
+                j = min(m, i + room())
+                if self.is_full(j - i):
+                    state = self.anew(state)
+                value = self.look(state[i:j] * np.int32(256) + data[begin[i:j] + done])
+                state[i:j] = value >> 8
+                total[i:j] += (value & 255) - 128
             done += 1
         for i in np.flatnonzero(length > done).tolist():
             s, t, known = int(state[i]), 0, {}
@@ -231,6 +253,10 @@ class Transducer:
                 key = s << 8 | b
                 value = known.get(key)
                 if value is None:
+                    if self.is_full(1):
+                        state[i] = s
+                        state, known = self.anew(state), {}
+                        key = int(state[i]) << 8 | b
                     value = known[key] = int(self.look(np.array([key], dtype=np.int32))[0])
                 s = value >> 8
                 t += (value & 255) - 128
