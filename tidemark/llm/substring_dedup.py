@@ -67,9 +67,10 @@ def dedup_substrings(
     1. Anchors: every window of ``length`` words selects its smallest
        ``seed``-word hash.  Anchors found in more than one document are the
        seeds; their documents are counted with map-side combination.
-    2. Extension: every window around a seed is followed to both sides; windows
-       are compared by their whole word sequence (96 bits), and the smallest
-       document of each is found.  Documents are never paired with each other.
+    2. Windows: every window that selected a seed is hashed whole (96 bits) and
+       joined by that hash, in place of following matches to both sides; the
+       smallest document of each is found.  Documents are never paired with each
+       other.
     3. Windows whose sequence is in a smaller document are united to maximal
        repeats and cut out of the text.
 
