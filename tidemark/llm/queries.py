@@ -8,7 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dedup, packing, perplexity, preference, quality_rules, substring_dedup, token_counts, top_k, word_bpe
+from . import decontamination, line_dedup, merkle, near_dedup, packing, periodic_runs, perplexity, preference, quality_rules, substring_dedup, token_counts, top_k, word_bpe
+from .common import LOWER, UPPER, ascii_lower
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -248,6 +249,140 @@ def quality_classifier_query(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.classify(table(spark, folder, "documents").select("doc_id", "text", "lang"), trusted)
 
 
+DECONTAMINATION_SQL = f"""
+with docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{decontamination.WORD}') as w from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{decontamination.WORD}') as w from benchmark
+), windows as (
+  select distinct item_id, m, array_to_string(w[s : s + m - 1], ' ') as seq
+  from (select item_id, w, least(len(w), 10) as m, unnest(range(1, len(w) - least(len(w), 10) + 2)) as s from items where len(w) > 0)
+), places as (
+  select doc_id, m, s, array_to_string(w[s : s + m - 1], ' ') as seq
+  from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as s from docs, (select distinct m from windows) where len(w) >= m)
+), hits as (
+  select doc_id, item_id, s, m from places join windows using (m, seq)
+), words as (
+  select doc_id, count(distinct p) as n from (select doc_id, unnest(range(s, s + m)) as p from hits) group by doc_id
+), found as (
+  select doc_id, count(distinct item_id) as n, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from hits group by doc_id
+)
+select d.doc_id, len(d.w) as n_words, coalesce(h.n, 0) as n_hit, coalesce(f.n, 0) as n_items,
+       sha256(coalesce(f.ids, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
+from docs d left join words h on d.doc_id = h.doc_id left join found f on d.doc_id = f.doc_id
+"""
+
+
+@query("op11_decontamination", DECONTAMINATION_SQL)
+def decontamination_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    done = decontamination.decontaminate(docs, table(spark, folder, "benchmark"))
+    return done.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, where one document in ten has its words from a place on repeated in turn."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size("w").cast("long")
+    a = F.col("g") % n
+    p = 1 + F.floor((n - a) / (3 + F.col("g") % 8))
+    word = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[^\x20\x09-\x0D]+"), F.lit(0))
+    return docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), g.alias("g")).select(
+        "doc_id", F.when(n > 0, F.array_join(word, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+@query("op12_periodic_runs")
+def periodic_runs_query(spark: SparkSession, folder: str) -> DataFrame:
+    done = periodic_runs.find_runs(with_planted_runs(table(spark, folder, "documents")))
+    spelled = F.array_join(F.transform("runs", lambda r: F.concat(F.array_join(r.cast("array<string>"), ","), F.lit("\n"))), "")
+    best = F.array_sort(
+        "runs",
+        lambda x, y: F.when(x[1] != y[1], F.signum(y[1] - x[1])).when(x[0] != y[0], F.signum(x[0] - y[0])).otherwise(F.signum(x[2] - y[2])).cast("int"),
+    )
+    return done.withColumn("best", F.get(best, F.lit(0))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best")[0].alias("start"),
+        F.col("best")[1].alias("length"),
+        F.col("best")[2].alias("period"),
+        F.floor(1000 * F.col("best")[1] / F.col("best")[2]).alias("exponent_milli"),
+        F.sha2(spelled, 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+#: The unsigned CRC-32 of ``doc_id`` in decimals, bit by bit.
+CRC32_SQL = """xor(list_reduce([4294967295] || list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint),
+      lambda a, b: list_reduce([xor(a, b)] || range(8), lambda d, i: if(d % 2 = 1, xor(d >> 1, 3988292384), d >> 1))), 4294967295)"""
+
+
+def _levels_sql(name: str, levels: int) -> str:
+    """From ``<name>0`` up: a row's node, its version and its proof, level by level, while several nodes are left."""
+    return ", ".join(
+        f"""{name}{k}_w as (
+  select grp, pos, count(*) over (partition by grp) = 1 as alone,
+         coalesce(string_agg(digest, '') over (partition by grp, pos // 8 order by pos rows between unbounded preceding and 1 preceding), '') as lft,
+         coalesce(string_agg(digest, '') over (partition by grp, pos // 8 order by pos rows between 1 following and unbounded following), '') as rgt
+  from (select distinct grp, pos, digest from {name}{k - 1})
+), {name}{k} as (
+  select d.* replace (if(alone, digest, sha256(lft || digest || rgt)) as digest, if(alone, folded, sha256(lft || folded || rgt)) as folded,
+                      proof || lft || rgt as proof, if(alone, pos, pos // 8) as pos)
+  from {name}{k - 1} d join {name}{k}_w w using (grp, pos)
+)"""
+        for k in range(1, levels + 1)
+    )
+
+
+def _manifest_sql(levels: int) -> str:
+    """SQL for groups of up to ``8 ** levels`` rows."""
+
+    def leaf(text: str) -> str:
+        fields = ("doc_id", "source", "lang", "n_chars", text)
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}::varchar) || ':' || {f}, '-')" for f in fields) + ")"
+
+    return f"""
+with leaves as (
+  select doc_id, coalesce('=' || lang, '-') as tree, {leaf("text")} as leaf,
+         if(coalesce({CRC32_SQL} % 3 = 0, false), {leaf(f"translate(text, '{UPPER}', '{LOWER}')")}, {leaf("text")}) as folded
+  from documents
+), s0 as (
+  select *, tree as grp, leaf as digest, '' as proof, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos
+  from leaves
+), {_levels_sql("s", levels)}, t0 as (
+  select * replace ('' as grp, dense_rank() over (order by tree) - 1 as pos), digest as subroot from s{levels}
+), {_levels_sql("t", 3)}
+select doc_id, leaf, subroot, digest as root, sha256(proof) as proof_sha256, folded as folded_root, folded = digest as verified from t3
+"""
+
+
+@query("op13_merkle_manifest", _manifest_sql(6))
+def merkle_query(spark: SparkSession, folder: str) -> DataFrame:
+    done = merkle.manifest(
+        table(spark, folder, "documents"),
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        changes={"text": ascii_lower(F.col("text"))},
+        where=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0,
+    )
+    return done.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("path", ""), 256).alias("proof_sha256"),
+        F.col("version_root").alias("folded_root"),
+        (F.col("version_root") == F.col("root")).alias("verified"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline_query(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
