@@ -29,6 +29,8 @@ class Settings:
     reg_param: float = fixed.REG_PARAM
     elastic_net: float = fixed.ELASTIC_NET
     strict_history: bool = True
+    #: Activity measures of the training rows as they stood before each application.
+    point_in_time: bool = True
     cap_kpis: bool = True
 
 
@@ -51,9 +53,8 @@ def prepare(customers: DataFrame, applications: DataFrame, transactions: DataFra
     moves = cleaning.clean_transactions(transactions)
     thresholds = quality.empirical_thresholds(moves, people)
     table = customer_features(people, asked, moves, thresholds, settings.as_of, cap_kpis=settings.cap_kpis)
-    rows = durable(
-        modeling.encode_gender(application_features(asked, table, settings.strict_history))
-    )
+    known = {"transactions": moves, "low_balance_threshold": thresholds["low_balance_threshold"]} if settings.point_in_time else {}
+    rows = durable(modeling.encode_gender(application_features(asked, table, settings.strict_history, **known)))
     train, test = modeling.train_test(rows, LABEL, "app_id", settings.test_share, settings.seed)
     return Prepared(people, asked, moves, thresholds, table, train, test, feature_columns(table))
 

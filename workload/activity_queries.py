@@ -211,6 +211,41 @@ def application_features(spark, folder):
     return rounded(plans.application_features(asked, features), digits)
 
 
+_ASOF = [
+    "total_transactions_count", "avg_balance", "balance_std", "net_cash_flow", "low_balance_frequency",
+    "drawdown_per_day", "balance_to_income_ratio", "balance_volatility_index",
+]
+
+
+def _rounded_columns(columns, source):
+    return ", ".join(r(f"{source}.{c}", _KPI_DIGITS[c]) + f" AS {c}" if c in _KPI_DIGITS else f"{source}.{c}" for c in columns)
+
+
+@query("asof_customer_kpis", using("asof_kpis", f"SELECT app_id, {_rounded_columns(_ASOF, 'k')} FROM asof_kpis k"))
+def asof_customer_kpis(spark, folder):
+    people = cleaning.clean_customers(raw_customers(spark, folder))
+    moves = cleaning.clean_transactions(staged_transactions(spark, folder))
+    low = quality.empirical_thresholds(moves, people)["low_balance_threshold"]
+    found = plans.asof_customer_kpis(raw_applications(spark, folder), people, moves, low)
+    return rounded(found.select("app_id", *_ASOF), {c: d for c, d in _KPI_DIGITS.items() if c in _ASOF})
+
+
+@query(
+    "application_features_asof",
+    using(
+        "customer_table strict_histories asof_kpis",
+        f"SELECT {_HISTORY.replace('id, app_id, dt, amount,', 'h.id, h.app_id, dt, amount AS requested_amount,')}, "
+        + ", ".join([_rounded_columns([c], "k" if c in _ASOF else "c") for c in _STATIC])
+        + " FROM strict_histories h LEFT JOIN customer_table c ON c.id = h.id LEFT JOIN asof_kpis k ON k.app_id = h.app_id",
+    ),
+)
+def application_features_asof(spark, folder):
+    people, asked, moves, features = prepared_tables(spark, folder)
+    low = quality.empirical_thresholds(moves, people)["low_balance_threshold"]
+    digits = {c: d for c, d in _KPI_DIGITS.items() if c in _STATIC} | {"prior_success_rate": 6}
+    return rounded(plans.application_features(asked, features, transactions=moves, low_balance_threshold=low), digits)
+
+
 _LEVELS = {"l_extendedprice": [0.01, 0.1, 0.5, 0.9, 0.99], "l_quantity": [0.25, 0.5, 0.75]}
 
 

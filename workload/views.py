@@ -196,6 +196,32 @@ CTES = {
         FROM raw_applications
         WINDOW w AS (PARTITION BY id ORDER BY date_diff('day', DATE '1970-01-01', dt)
                      RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    "seen": """
+        SELECT a.app_id, strftime(t.dt, '%Y-%m') AS ym, t.dt, t.amount, t.balance, t.observed
+        FROM raw_applications a JOIN transactions t ON t.id = a.id AND t.dt < a.dt""",
+    "asof_falls": """
+        SELECT app_id, avg((peak - observed) / date_diff('day', peak_dt, dt)) AS fall
+        FROM (SELECT s.app_id, p.dt AS peak_dt, p.observed AS peak, s.dt, s.observed,
+                     row_number() OVER (PARTITION BY s.app_id, s.ym ORDER BY s.observed, s.dt) AS rn
+              FROM seen s JOIN (SELECT * FROM seen WHERE observed IS NOT NULL
+                                QUALIFY row_number() OVER (PARTITION BY app_id, ym ORDER BY observed DESC, dt) = 1) p
+                ON p.app_id = s.app_id AND p.ym = s.ym AND s.dt >= p.dt AND s.observed IS NOT NULL)
+        WHERE rn = 1 AND dt > peak_dt GROUP BY app_id""",
+    "asof_kpis": """
+        SELECT a.id, a.app_id, coalesce(b.avg_balance, 0.0) AS avg_balance, coalesce(b.balance_std, 0.0) AS balance_std,
+               coalesce(b.n, 0) AS total_transactions_count, coalesce(f.net, 0.0) AS net_cash_flow,
+               coalesce(b.low_n, 0) AS low_balance_frequency, coalesce(d.fall, 0.0) AS drawdown_per_day,
+               coalesce(b.avg_balance, 0.0) / CASE WHEN c.income = 0 THEN 1.0 ELSE c.income END AS balance_to_income_ratio,
+               coalesce(b.balance_std, 0.0) / CASE WHEN coalesce(b.avg_balance, 0.0) = 0 THEN 1.0
+                    ELSE b.avg_balance END AS balance_volatility_index
+        FROM raw_applications a
+        LEFT JOIN customers c ON c.id = a.id
+        LEFT JOIN (SELECT app_id, avg(balance) AS avg_balance, stddev_samp(balance) AS balance_std, count(*) AS n,
+                          count(*) FILTER (balance < (SELECT low_balance FROM thresholds)) AS low_n
+                   FROM seen GROUP BY app_id) b ON b.app_id = a.app_id
+        LEFT JOIN (SELECT app_id, avg(net) AS net
+                   FROM (SELECT app_id, ym, sum(amount) AS net FROM seen GROUP BY 1, 2) GROUP BY 1) f ON f.app_id = a.app_id
+        LEFT JOIN asof_falls d ON d.app_id = a.app_id""",
 }
 
 _NEEDS = {
@@ -211,6 +237,9 @@ _NEEDS = {
     "customer_table": ["kpi_clipped"],
     "histories": ["raw_applications"],
     "strict_histories": ["raw_applications"],
+    "seen": ["raw_applications", "transactions"],
+    "asof_falls": ["seen"],
+    "asof_kpis": ["asof_falls", "customers", "thresholds"],
 }
 
 
