@@ -72,6 +72,13 @@ def latest_mean_sink(stream: DataFrame, value: str, path: str, checkpoint: str,
     )
 
 
+def latest_means(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`latest_mean_sink` has written: a row per micro-batch, the newest one marked."""
+    written = spark.read.parquet(path).select("batch", "mean_value", "n")
+    newest = written.agg(F.max("batch")).first()[0]
+    return written.withColumn("is_newest", F.col("batch") == F.lit(newest))
+
+
 def drift_sink(
     stream: DataFrame, baseline: DataFrame, column: str, keys: list[Column], path: str, checkpoint: str, **trigger
 ):

@@ -11,10 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
+from ..session import durable
 
 
 def with_watermark(df: DataFrame, delay: str, ts="ts") -> DataFrame:
@@ -160,6 +161,97 @@ def bucket_quantile(
     )
 
 
+#: Cells of the logarithmic scale per power of e, how often a cell can be split, and into how many.
+_CELLS, _SPLITS, _FINER = 64, 4, 256
+
+
+def _cell(value: Column, depth: int) -> Column:
+    """Cell of a value at a depth.  Cells follow the order of values; each holds whole cells of the next depth."""
+    size = F.ln(F.abs(value)) + F.lit(800.0)  # above 0 for the smallest double
+    place = F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0.0))
+    return F.floor(place * F.lit(float(_CELLS * _FINER**depth)))
+
+
+def range_quantile(
+    df: DataFrame,
+    value: str,
+    levels: Mapping[str, float],
+    length=300,
+    slide=60,
+    ts="ts",
+    max_values: int = 100_000,
+) -> DataFrame:
+    """Exact quantiles of a value per sliding range, one column per named level.
+
+    The smallest value whose share of the range's rows reaches the level.  Rows are
+    counted per pane and cell of a logarithmic scale, and panes are rolled up to
+    ranges, so that only counts are shuffled.  They tell the cell in which each
+    rank falls; only rows of such cells are looked at again, in finer cells while
+    one holds more than ``max_values`` rows of a range, then by value.
+
+    Rows without a time or a value (null, NaN) take no part; a range of such rows
+    only is left out.  An infinite value has the outermost cell.
+    """
+    x = F.col(value).cast("double")
+    pane = F.window(F.col(ts).cast("timestamp"), f"{slide} seconds")
+    rows = durable(df.where(x.isNotNull() & ~F.isnan(x)).select(pane.alias("pane"), x.alias("x")).where("pane is not null"))
+    counted = rows.groupBy("pane", _cell(F.col("x"), 0).alias("part")).agg(F.count("*").alias("c"))
+    ranged = roll_up(counted, length, slide, ["c"], ["part"])
+
+    whole = Window.partitionBy("window_start")
+    wanted_levels = F.array(
+        *[F.struct(F.lit(n).alias("name"), F.lit(str(q)).cast("decimal(10,8)").alias("level")) for n, q in levels.items()]
+    )
+    total = F.sum("c").over(whole)
+    asked = (
+        ranged.withColumn("n", total)
+        .select("*", F.explode(wanted_levels).alias("l"))
+        .select("*", F.col("l.name").alias("name"), F.greatest(F.ceil(F.col("n") * F.col("l.level")), F.lit(1)).alias("rank"))
+    )
+    wanted = durable(_holding(asked, "part"))
+
+    for depth in range(_SPLITS + 1):
+        most = wanted.agg(F.max("c")).first()[0] or 0
+        last = depth == _SPLITS or most <= max_values
+        part = F.col("x") if last else _cell(F.col("x"), depth + 1)
+        panes_of = wanted.select(
+            F.explode(
+                F.sequence("window_start", F.col("window_end") - F.expr(f"INTERVAL {slide} SECONDS"), F.expr(f"INTERVAL {slide} SECONDS"))
+            ).alias("at"),
+            F.col("part").alias("cell"),
+            "window_start",
+            "window_end",
+            "name",
+            "n",
+            "rank",
+        )
+        inside = rows.select(F.col("pane.start").alias("at"), _cell(F.col("x"), depth).alias("cell"), part.alias("part"))
+        again = (
+            inside.join(panes_of.select("at", "cell").distinct(), ["at", "cell"], "left_semi")
+            .groupBy("at", "cell", "part")
+            .agg(F.count("*").alias("c"))
+        )
+        met = again.join(panes_of, ["at", "cell"]).groupBy("window_start", "window_end", "name", "n", "rank", "part").agg(F.sum("c").alias("c"))
+        wanted = _holding(met, "part")
+        if last:
+            break
+        wanted = durable(wanted)
+    picked = [F.max(F.when(F.col("name") == n, F.col("part"))).alias(n) for n in levels]
+    return wanted.groupBy("window_start", "window_end", "n").agg(*picked)
+
+
+def _holding(counts: DataFrame, part: str) -> DataFrame:
+    """Of each range and level the part in which the rank falls, and the rank inside it."""
+    upto = F.sum("c").over(
+        Window.partitionBy("window_start", "name").orderBy(part).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        counts.withColumn("upto", upto)
+        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
+        .select("window_start", "window_end", "name", "n", part, "c", (F.col("rank") - F.col("upto") + F.col("c")).alias("rank"))
+    )
+
+
 def source_freshness(df: DataFrame, as_of: str, stale_after: int, ts="ts") -> DataFrame:
     """Seconds between the newest event and a given time, and whether that is too long."""
     newest = F.max(F.col(ts).cast("timestamp"))

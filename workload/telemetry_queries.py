@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.operators import activity, history
-from tidemark.session import scratch_path
-from tidemark.streaming import runtime, telemetry
+from tidemark.session import durable, scratch_path
+from tidemark.streaming import liveness, runtime, telemetry
 
 from .registry import query, r, rounded
 from .views import (
@@ -426,3 +426,149 @@ def stream_windowed_mean(spark, folder):
 def stream_bucket_quantile(spark, folder):
     found = telemetry.bucket_quantile(request_stream(spark, folder), "latency_s", LATENCY_BOUNDS, {"p95": 0.95})
     return rounded(runtime.drain_to_table(found, scratch_path(spark, "latency")), ["p95"])
+
+
+_EXACT_LEVELS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+@query(
+    "range_quantile",
+    using(
+        "raw_requests",
+        ", " + _ranges(300, 60, "latency_s")
+        + " SELECT window_start, window_end, count(*) AS n, "
+        + ", ".join(f"quantile_disc(latency_s, {q}) AS {name}" for name, q in _EXACT_LEVELS.items())
+        + " FROM ranges WHERE latency_s IS NOT NULL GROUP BY 1, 2",
+    ),
+)
+def range_quantile(spark, folder):
+    """The latency that dashboards read from buckets, exactly."""
+    return telemetry.range_quantile(raw_requests(spark, folder), "latency_s", _EXACT_LEVELS)
+
+
+_STALE, _BEAT, _SLACK = 600, 300, 3600
+
+
+def heartbeats(spark, folder):
+    """Ticks every five minutes over the time of the requests and six hours more."""
+    span = raw_requests(spark, folder).agg(F.date_trunc("hour", F.min("ts")).alias("a"), F.date_trunc("hour", F.max("ts")).alias("b"))
+    return span.select(
+        F.explode(F.sequence("a", F.col("b") + F.expr("INTERVAL 6 HOURS"), F.expr(f"INTERVAL {_BEAT} SECONDS"))).alias("tick")
+    )
+
+
+@query(
+    "stream_freshness",
+    using(
+        "raw_requests",
+        f""", ticks AS (SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)) + INTERVAL 6 HOURS,
+                                                 INTERVAL {_BEAT} SECONDS)) AS tick FROM raw_requests),
+        held AS (SELECT tick, count(ts) AS n_events, max(ts) AS last_event
+                 FROM ticks LEFT JOIN raw_requests ON ts >= tick - INTERVAL {_STALE} SECONDS AND ts < tick GROUP BY tick)
+        SELECT tick, n_events, last_event, (epoch_us(tick) - epoch_us(last_event)) / 1000000 AS lag_seconds, n_events = 0 AS is_stale
+        FROM held WHERE tick <= (SELECT max(tick) FROM ticks) - INTERVAL {_SLACK} SECONDS""",
+    ),
+)
+def stream_freshness(spark, folder):
+    """Liveness of the requests at every heartbeat, also where and after they fall silent."""
+    path = scratch_path(spark, "heartbeats")
+    ticks = durable(heartbeats(spark, folder), path)
+    beats = runtime.file_stream(spark, path, ticks.schema)
+    events = runtime.file_stream(spark, folder, table(spark, folder, "events").schema, name_pattern="events.parquet")
+    found = liveness.freshness_stream(events.selectExpr(*REQUEST_COLUMNS), beats, _STALE, _BEAT, f"{_SLACK} seconds")
+    with liveness.heartbeats_lead(spark):
+        return runtime.drain_to_table(found, scratch_path(spark, "freshness"))
+
+
+#: A request arrives with its week; one in ten a week late.  The same text in both engines.
+_ARRIVAL = "cast(least(floor((day(ts) - 1) / 8), 3) + case when event_id % 10 = 0 then 1 else 0 end as int)"
+_ARRIVAL_COLUMNS = [*REQUEST_COLUMNS, f"{_ARRIVAL} as arrival"]
+_ARRIVED = f", arrived AS (SELECT {', '.join(_ARRIVAL_COLUMNS)} FROM events)"
+
+
+def in_slices(spark, folder, run):
+    """Let the requests arrive slice by slice; after each, ``run(stream)`` starts a query, which is awaited."""
+    inbox = scratch_path(spark, "inbox")
+    arrived = table(spark, folder, "events").selectExpr(*_ARRIVAL_COLUMNS)
+    for slice_number in range(5):
+        arrived.where(F.col("arrival") == slice_number).write.mode("append").parquet(inbox)
+        run(runtime.file_stream(spark, inbox, arrived.schema)).awaitTermination()
+
+
+@query(
+    "stream_late_rows",
+    using(
+        "raw_requests",
+        _ARRIVED
+        + f""", marks AS (SELECT a.arrival, max(b.ts) - INTERVAL {_SLACK} SECONDS AS watermark
+                  FROM (SELECT DISTINCT arrival FROM arrived) a LEFT JOIN arrived b ON b.arrival < a.arrival GROUP BY 1),
+        judged AS (SELECT date_trunc('hour', ts) AS window_start, coalesce(ts < watermark, false) AS late FROM arrived JOIN marks USING (arrival))
+        SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end,
+               CASE WHEN late THEN 'late'
+                    WHEN window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM arrived) - INTERVAL {_SLACK} SECONDS THEN 'closed'
+                    ELSE 'open' END AS state, count(*) AS n
+        FROM judged GROUP BY 1, 2, 3""",
+    ),
+)
+def stream_late_rows(spark, folder):
+    """Requests per hour: closed, open and late ones are all that arrived."""
+    path, progress = scratch_path(spark, "arrivals"), scratch_path(spark, "progress")
+    in_slices(spark, folder, lambda stream: liveness.arrival_sink(stream, _SLACK, path, progress))
+    return liveness.accounted_ranges(spark, path, 3600, _SLACK)
+
+
+@query(
+    "stream_latest_mean",
+    using(
+        "raw_requests valid_customers",
+        _ARRIVED
+        + f""" SELECT arrival AS batch, {r('avg(income)')} AS mean_value, count(income) AS n,
+                  arrival = max(arrival) OVER () AS is_newest
+           FROM arrived LEFT JOIN valid_customers c ON c.id = CAST(user_id AS VARCHAR) GROUP BY arrival""",
+    ),
+)
+def stream_latest_mean(spark, folder):
+    """Mean income of the customers who ask, by micro-batch; the newest is the gauge."""
+    path, progress = scratch_path(spark, "means"), scratch_path(spark, "progress")
+    people = raw_customers(spark, folder).select("id", "income")
+
+    def run(stream):
+        known = stream.withColumn("id", F.col("user_id").cast("string")).join(people, "id", "left")
+        return runtime.latest_mean_sink(known, "income", path, progress)
+
+    in_slices(spark, folder, run)
+    return rounded(runtime.latest_means(spark, path), ["mean_value"])
+
+
+_PSI_EDGES = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
+_PSI_SHARE = "CASE WHEN {n} > 0 THEN {n} / {of} ELSE 0.0001 END"
+
+
+@query(
+    "stream_psi",
+    using(
+        "raw_requests",
+        _ARRIVED
+        + f""", edges AS (SELECT list_sort(list_distinct(quantile_disc(score, {_PSI_EDGES}))) AS e
+                          FROM raw_requests WHERE ts < TIMESTAMP '2024-01-08'),
+        binned AS (SELECT arrival, ts, least(len(list_filter(e[2:], lambda x: x <= score)), len(e) - 2) AS bin FROM arrived, edges),
+        bins AS (SELECT unnest(range((SELECT len(e) - 1 FROM edges))) AS bin),
+        base AS (SELECT bins.bin, count(b.ts) AS n FROM bins LEFT JOIN binned b ON b.bin = bins.bin AND b.ts < TIMESTAMP '2024-01-08' GROUP BY 1),
+        days AS (SELECT arrival, CAST(ts AS DATE) AS day, count(*) AS n_rows FROM binned GROUP BY 1, 2),
+        cells AS (SELECT d.arrival, d.day, d.n_rows, base.bin, base.n AS b,
+                         count(x.ts) AS c, (SELECT sum(n) FROM base) AS b_all
+                  FROM days d CROSS JOIN base
+                  LEFT JOIN binned x ON x.arrival = d.arrival AND CAST(x.ts AS DATE) = d.day AND x.bin = base.bin
+                  GROUP BY ALL),
+        shares AS (SELECT *, {_PSI_SHARE.format(n='b', of='b_all')} AS p, {_PSI_SHARE.format(n='c', of='n_rows')} AS q FROM cells)
+        SELECT *, CASE WHEN psi < 0.10 THEN 'stable' WHEN psi <= 0.25 THEN 'moderate_shift' ELSE 'significant_shift' END AS stability
+        FROM (SELECT arrival AS batch, day, n_rows, {r('sum((q - p) * ln(q / p))', 9)} AS psi FROM shares GROUP BY 1, 2, 3)""",
+    ),
+)
+def stream_psi(spark, folder):
+    """Drift of the score by micro-batch and day against the first week."""
+    path, progress = scratch_path(spark, "drift"), scratch_path(spark, "progress")
+    first_week = raw_requests(spark, folder).where(F.col("ts") < F.lit("2024-01-08").cast("timestamp"))
+    day = F.to_date("ts").alias("day")
+    in_slices(spark, folder, lambda stream: runtime.drift_sink(stream, first_week, "score", [day], path, progress))
+    return rounded(spark.read.parquet(path).select("batch", "day", "n_rows", "psi", "stability"), {"psi": 9})
