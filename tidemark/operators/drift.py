@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import pvalues
-from ..session import literal_frame
+from ..session import durable_with, literal_frame
 from .prefix import ROWS_PER_BUCKET, running_sums
 from .quality import crosstab_long
 from .quantiles import exact_quantiles
@@ -72,30 +72,33 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     A 2 x 2 table gets the continuity correction.  With observed and expected
     counts O and E the plain statistic is the sum of (O - E)^2 / E over the grid;
     a cell that does not occur adds its E, which follows from the exact totals of
-    the columns that its row lacks.
+    the columns that its row lacks.  The cells are counted once; their total is
+    observed while they are written.
     """
-    cells = crosstab_long(df, a, b).withColumns(
-        {"r": F.sum("n").over(Window.partitionBy(a)), "c": F.sum("n").over(Window.partitionBy(b))}
-    )
-    total = F.lit(cells.agg(F.sum("n")).first()[0]).cast("bigint")
+    cells, seen = durable_with(crosstab_long(df, a, b), total=F.sum("n"))
+    total = F.lit(seen["total"]).cast("bigint")
+    of_row, of_column = Window.partitionBy(a), Window.partitionBy(b)
+    sided = cells.withColumns({"c": F.sum("n").over(of_column), "first": F.row_number().over(of_column.orderBy(a)) == 1})
     expected = F.col("r") / total * F.col("c")
-    per_row = cells.groupBy(a).agg(
+    placed = sided.withColumn("r", F.sum("n").over(of_row))
+    per_row = placed.groupBy(a).agg(
         F.sum("n").alias("n"),
         F.first("r").alias("r"),
         F.sum(F.pow(F.col("n") - expected, 2) / expected).alias("found"),
         F.max(F.abs(F.col("n") - expected)).alias("distance"),
         (total - F.sum("c")).alias("lacking"),
         F.min("c").alias("c"),
+        F.count_if("first").alias("columns"),
     )
-    sides = cells.agg(F.count_distinct(b).alias("columns"))
     totals = per_row.agg(
         F.sum("n").alias("n"),
         F.sum(F.col("found") + F.col("r") / total * F.col("lacking")).alias("plain"),
         F.max("distance").alias("distance"),
         (F.count("*") - 1).alias("da"),
+        (F.sum("columns") - 1).alias("db"),
         F.min("r").cast("double").alias("r"),
         F.min("c").cast("double").alias("c"),
-    ).withColumn("db", F.lit(sides.first()["columns"]) - 1)
+    )
     n, r, c = F.col("n"), F.col("r"), F.col("c")
     margins = r * (n - r) / n * c * (n - c) / n
     corrected = F.try_divide(n * F.pow(F.greatest(F.col("distance") - 0.5, F.lit(0.0)), 2), margins)

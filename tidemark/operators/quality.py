@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
+from ..session import durable_with
 from .quantiles import exact_quantiles
 
 
@@ -123,12 +124,8 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows and percentage per class, null being a class of its own."""
-    everything = Window.partitionBy(F.lit(1))
-    return (
-        df.groupBy(label)
-        .agg(F.count("*").alias("n"))
-        .withColumn("pct", percent(F.col("n"), F.sum("n").over(everything)))
-    )
+    counts, seen = durable_with(df.groupBy(label).agg(F.count("*").alias("n")), total=F.sum("n"))
+    return counts.withColumn("pct", percent(F.col("n"), F.lit(seen["total"]).cast("bigint")))
 
 
 def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:

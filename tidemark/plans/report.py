@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..operators import drift, quality
+from ..functions import pvalues
+from ..operators import quality
+from ..operators import quantiles as Q
+from ..operators.quality import percent
+from ..session import literal_frame
+
+_COLUMNS = {"section": "string", "metric": "string", "label": "string", "value": "double"}
 
 
 def long_rows(df: DataFrame, section: str, metrics: list[str], label: str | None = None) -> DataFrame:
@@ -29,6 +38,128 @@ def thresholds_frame(transactions: DataFrame, customers: DataFrame) -> DataFrame
     )
 
 
+def _percent(part: int, whole: int) -> float:
+    if not whole:
+        return 0.0
+    return float(Decimal(repr(100.0 * part / whole)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+class _Profile:
+    """Quantiles of several columns and the distance of two samples, from shared passes.
+
+    ``data`` has a double column per entry of ``levels`` and two for the samples.
+    Every pass counts rows in cells; the next one looks only into cells that hold
+    a wanted rank, or in which the distance could be larger than the largest one
+    found at the end of a cell.
+    """
+
+    def __init__(self, data: DataFrame, levels: Sequence[Sequence[float]], labels: DataFrame):
+        self.names = [f"x{i}" for i in range(len(levels) + 2)]
+        self.data, self.levels = data, levels
+        self.a, self.b = len(levels), len(levels) + 1
+        self.label_counts: dict[int, dict[tuple, int]] = {}
+        first = self._first_pass(labels)
+        self.ranks: dict[tuple[int, float], int] = {}
+        self.place: dict[tuple[int, int], Q.Span] = {}
+        for i, wanted in enumerate(levels):
+            spans = Q._chained(i, 0, [r for _, r in sorted(first.get(i, {}).items())])
+            total = spans[-1].below + spans[-1].rows if spans else 0
+            for level in wanted if total else ():
+                rank = self.ranks[i, level] = Q._rank(level, total)
+                self.place[i, rank] = Q._holding(spans, rank)
+        self.pairs = self._paired(first.get(self.a, {}), first.get(self.b, {}))
+        self.sizes = sum(p[2] for p in self.pairs), sum(p[3] for p in self.pairs)
+        while self._narrow():
+            pass
+
+    def _first_pass(self, labels: DataFrame) -> dict[int, dict[int, Row]]:
+        tags = [
+            F.when(
+                F.col(n).isNotNull() & ~F.isnan(n),
+                F.struct(F.lit(i).alias("span"), Q._log_cell(F.col(n)).alias("cell"), F.col(n).alias("x")),
+            )
+            for i, n in enumerate(self.names)
+        ]
+        cells = Q._stacked(self.data, tags)
+        counted = (
+            cells.unionByName(labels, allowMissingColumns=True)
+            .groupBy("span", "cell", "a", "b")
+            .agg(F.count("*").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+            .collect()
+        )
+        found: dict[int, dict[int, Row]] = {}
+        for r in counted:
+            if r["span"] < 0:
+                self.label_counts.setdefault(r["span"], {})[r["a"], r["b"]] = r["rows"]
+            else:
+                found.setdefault(r["span"], {})[r["cell"]] = r
+        return found
+
+    @staticmethod
+    def _paired(a: dict[float, Row], b: dict[float, Row]) -> list[tuple[float, float, int, int]]:
+        """Cells of both samples in order: lowest and highest value, rows of each sample."""
+        out = []
+        for cell in sorted(a.keys() | b.keys()):
+            held = [s[cell] for s in (a, b) if cell in s]
+            rows = [s[cell]["rows"] if cell in s else 0 for s in (a, b)]
+            out.append((min(r["low"] for r in held), max(r["high"] for r in held), *rows))
+        return out
+
+    def distance(self) -> float | None:
+        return self._distances()[0] if all(self.sizes) else None
+
+    def _distances(self) -> tuple[float, list[int]]:
+        """The largest distance at the end of a cell, and the cells inside which there may be a larger one."""
+        n_a, n_b = self.sizes
+        best, upto_a, upto_b, most = 0.0, 0, 0, []
+        for i, (low, high, a, b) in enumerate(self.pairs):
+            if low < high:
+                most.append((max(abs((upto_a + a) / n_a - upto_b / n_b), abs(upto_a / n_a - (upto_b + b) / n_b)), i))
+            upto_a, upto_b = upto_a + a, upto_b + b
+            best = max(best, abs(upto_a / n_a - upto_b / n_b))
+        return best, [i for bound, i in most if bound > best]
+
+    def _narrow(self) -> bool:
+        spans = list(dict.fromkeys(s for s in self.place.values() if s.low < s.high))
+        opened = self._distances()[1] if all(self.sizes) else []
+        n = len(spans)
+        for i in opened:
+            low, high, a, b = self.pairs[i]
+            spans += [Q.Span(self.a, low, high, 0, a), Q.Span(self.b, low, high, 0, b)]
+        if not spans:
+            return False
+        few = sum(s.rows for s in spans) <= Q.FEW_ROWS
+        tagged = Q._tagged(self.data, self.names, spans, 1 if few else max(16, min(Q.CELLS, Q.CELL_ROWS // len(spans))))
+        counted = Q._counted(tagged.withColumn("cell", F.col("x")) if few else tagged)
+        inner = {s: Q._chained(s.column, s.below, counted[k]) for k, s in enumerate(spans[:n])}
+        self.place.update({(i, r): Q._holding(inner[s], r) for (i, r), s in self.place.items() if s.low < s.high})
+        by_cell = [{r["cell"]: r for r in counted.get(k, [])} for k in range(n, len(spans))]
+        finer = {i: self._paired(*by_cell[2 * k : 2 * k + 2]) for k, i in enumerate(opened)}
+        self.pairs = [p for i, pair in enumerate(self.pairs) for p in finer.get(i, [pair])]
+        return True
+
+    def quantile(self, i: int, level: float) -> float | None:
+        return self.place[i, self.ranks[i, level]].low if (i, level) in self.ranks else None
+
+
+def _chi_square(cells: dict[tuple, int]) -> tuple[float | None, int, int]:
+    """Statistic, degrees of freedom and rows of counts by two labels; 2 x 2 with continuity correction."""
+    rows, columns = {}, {}
+    for (a, b), n in cells.items():
+        rows[a], columns[b] = rows.get(a, 0) + n, columns.get(b, 0) + n
+    total = sum(rows.values())
+    dof = (len(rows) - 1) * (len(columns) - 1)
+    if not total:
+        return None, dof, 0
+    less = 0.5 if len(rows) == len(columns) == 2 else 0.0
+    terms = []
+    for a, r in rows.items():
+        for b, c in columns.items():
+            expected = r / total * c
+            terms.append(max(abs(cells.get((a, b), 0) - expected) - less, 0.0) ** 2 / expected)
+    return math.fsum(terms), dof, total
+
+
 def quality_report(
     customers: DataFrame,
     applications: DataFrame,
@@ -36,57 +167,142 @@ def quality_report(
     customer_table: DataFrame,
     p_values: bool = True,
 ) -> DataFrame:
-    """All data-quality findings of a run in nine sections.
+    """All data-quality findings of a run in nine sections, from a few passes over all tables.
+
+    The first pass counts the columns of all tables in cells, and the labels of
+    applications and customers; one or more further passes look into the cells
+    that matter; the last combines all tables per customer, which tells orphans,
+    negative balances and what lies outside the limits just found.  A report is
+    some fifty numbers, and each pass returns counts only.
 
     ``p_values=False`` leaves out the tail probabilities, which are the only
-    entries not computed by Spark expressions.
+    entries not computed from counts.
     """
-    outlier_metrics = [
-        "lower_bound", "upper_bound", "min_value", "max_value",
-        "n_outliers", "pct_outliers", "n_sentinel_hits",
-    ]
-    ks = drift.ks_test if p_values else drift.ks_two_sample
-    chi = drift.chi_square_test if p_values else drift.chi_square
-    tests = ["p_value", "significant"] if p_values else []
-    sections = [
-        long_rows(
-            quality.referential_integrity(
-                customers, {"applications": applications, "transactions": transactions}
-            ),
-            "referential_integrity",
-            ["orphan_keys", "passed"],
-            "child",
-        ),
-        long_rows(quality.iqr_outliers(customers, ["income"]), "income_outliers", outlier_metrics),
-        long_rows(quality.iqr_outliers(applications, ["amount"]), "amount_outliers", outlier_metrics),
-        long_rows(
-            quality.negative_values(transactions),
-            "negative_balance",
-            [
-                "n_negative_rows", "pct_negative_rows", "n_keys_ever_negative",
-                "pct_keys_ever_negative", "min_value", "avg_negative",
-            ],
-        ),
-        long_rows(
-            quality.thin_history(customer_table, "total_transactions_count"),
-            "transaction_history",
-            ["level", "threshold", "n_flagged", "pct_flagged"],
-        ),
-        long_rows(quality.class_balance(applications, "outcome"), "class_balance", ["n", "pct"], "outcome"),
-        long_rows(
-            thresholds_frame(transactions, customers),
-            "empirical_thresholds",
-            ["low_balance_threshold", "age_tertile_33", "age_tertile_66"],
-        ),
-        long_rows(
-            ks(customer_table, "income", "customer_segment", fixed.BORROWER, fixed.PROSPECT),
-            "income_distribution_shift",
-            ["ks_statistic", "n_a", "n_b", *tests],
-        ),
-        long_rows(
-            chi(customer_table, "gender", "customer_segment"),
-            "gender_segment_independence",
-            ["chi2_statistic", "degrees_of_freedom", *tests],
+    spark = customers.sparkSession
+    count, quartiles = "total_transactions_count", (0.25, 0.75)
+    levels = [quartiles, tuple(fixed.AGE_TERTILE_LEVELS), quartiles, (fixed.LOW_BALANCE_LEVEL,), (fixed.THIN_HISTORY_LEVEL,)]
+    segment = F.col("customer_segment")
+    columns = [
+        (customers, [F.col("income"), F.col("age")]),
+        (applications, [F.col("amount")]),
+        (transactions, [F.when(F.col("balance") > 0, F.col("balance"))]),
+        (
+            customer_table,
+            [F.col(count), *[F.when(segment == s, F.col("income")) for s in (fixed.BORROWER, fixed.PROSPECT)]],
         ),
     ]
-    return reduce(DataFrame.unionByName, sections)
+    parts, place = [], 0
+    for table, values in columns:
+        parts.append(table.select(*[v.cast("double").alias(f"x{place + i}") for i, v in enumerate(values)]))
+        place += len(values)
+    data = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+    def labelled(table: DataFrame, kind: int, a: Column, b: Column) -> DataFrame:
+        return table.select(F.lit(kind).alias("span"), a.cast("string").alias("a"), b.cast("string").alias("b"))
+
+    def named(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit("null"))
+
+    labels = labelled(applications, -1, F.col("outcome"), F.lit(None)).unionByName(
+        labelled(customer_table, -2, named("gender"), named("customer_segment"))
+    )
+    known = _Profile(data, levels, labels)
+
+    fences = []
+    for i in (0, 2):
+        q1, q3 = (known.quantile(i, p) for p in quartiles)
+        width = None if q1 is None else fixed.FENCE_WIDTH * (q3 - q1)
+        fences.append((None, None) if q1 is None else (q1 - width, q3 + width))
+    thin = known.quantile(4, fixed.THIN_HISTORY_LEVEL)
+    facts = _facts(customers, applications, transactions, customer_table.select("id", count), fences, thin, count)
+
+    rows: list[tuple] = []
+
+    def add(section: str, label: str | None = None, **metrics) -> None:
+        rows.extend((section, m, label, None if v is None else float(v)) for m, v in metrics.items())
+
+    for child in ("applications", "transactions"):
+        orphans = facts[f"orphans_{child}"] or 0
+        add("referential_integrity", child, orphan_keys=orphans, passed=orphans == 0)
+    for name, (low, high) in zip(("income", "amount"), fences, strict=True):
+        add(
+            f"{name}_outliers", lower_bound=low, upper_bound=high, min_value=facts[f"{name}_min"], max_value=facts[f"{name}_max"],
+            n_outliers=facts[f"{name}_outside"] or 0, pct_outliers=facts[f"{name}_pct"], n_sentinel_hits=facts[f"{name}_sentinel"] or 0,
+        )
+    add(
+        "negative_balance",
+        **{m: facts[m] for m in ("n_negative_rows", "pct_negative_rows", "n_keys_ever_negative", "pct_keys_ever_negative", "min_value", "avg_negative")},
+    )
+    add("transaction_history", level=fixed.THIN_HISTORY_LEVEL, threshold=thin, n_flagged=facts["n_flagged"] or 0, pct_flagged=facts["pct_flagged"])
+    classes = known.label_counts.get(-1, {})
+    for (outcome, _), n in classes.items():
+        add("class_balance", outcome, n=n, pct=_percent(n, sum(classes.values())))
+    young, middle = (known.quantile(1, p) for p in fixed.AGE_TERTILE_LEVELS)
+    add(
+        "empirical_thresholds", low_balance_threshold=known.quantile(3, fixed.LOW_BALANCE_LEVEL), age_tertile_33=young, age_tertile_66=middle
+    )
+
+    def with_p(p: float | None) -> dict:
+        return {"p_value": p, "significant": None if p is None else p < fixed.SIGNIFICANCE} if p_values else {}
+
+    d = known.distance()
+    add(
+        "income_distribution_shift", ks_statistic=d, n_a=known.sizes[0], n_b=known.sizes[1],
+        **with_p(None if d is None else pvalues.ks_two_sample(d, *known.sizes)),
+    )
+    chi, dof, _ = _chi_square(known.label_counts.get(-2, {}))
+    add(
+        "gender_segment_independence", chi2_statistic=chi, degrees_of_freedom=dof, **with_p(None if chi is None else pvalues.chi_square(chi, dof))
+    )
+    return literal_frame(spark, _COLUMNS, rows)
+
+
+def _facts(
+    customers: DataFrame, applications: DataFrame, transactions: DataFrame, histories: DataFrame, fences, thin: float | None, count: str
+) -> Row:
+    """One row of counts over all tables, which are combined per customer before they meet."""
+
+    def side(table: DataFrame, name: str, **values: Column) -> DataFrame:
+        return table.select("id", F.lit(1).alias(f"in_{name}"), *[v.cast("double").alias(n) for n, v in values.items()])
+
+    everything = reduce(
+        lambda x, y: x.unionByName(y, allowMissingColumns=True),
+        [
+            side(customers, "customers", income=F.col("income")),
+            side(applications, "applications", amount=F.col("amount")),
+            side(transactions, "transactions", balance=F.col("balance")),
+            side(histories, "histories", seen=F.col(count)),
+        ],
+    )
+    below = F.col("balance") < 0
+    sums = {f"n_{t}": F.count(f"in_{t}") for t in ("customers", "applications", "transactions", "histories")}
+    for name, (low, high) in zip(("income", "amount"), fences, strict=True):
+        x = F.col(name)
+        outside = F.lit(False) if low is None else (x < F.lit(low)) | (x > F.lit(high))
+        sums |= {f"{name}_outside": F.count_if(outside), f"{name}_sentinel": F.count_if(x.isin(*fixed.SENTINELS))}
+    sums |= {
+        "negative": F.count_if(below),
+        "negative_total": F.sum(F.when(below, F.col("balance"))),
+        "n_flagged": F.count_if(F.col("seen") <= F.lit(thin).cast("double")),
+    }
+    ends = {f"{n}_{f.__name__}": f(n) for n in ("income", "amount") for f in (F.min, F.max)}
+    per_key = everything.groupBy("id").agg(
+        *[e.alias(n) for n, e in (sums | ends).items()], F.min(F.when(below, F.col("balance"))).alias("deepest")
+    )
+    parentless = F.col("id").isNull() | (F.col("n_customers") == 0)
+    negative = F.count_if(F.col("negative") > 0)
+    return per_key.agg(
+        *[F.count_if(parentless & (F.col(f"n_{t}") > 0)).alias(f"orphans_{t}") for t in ("applications", "transactions")],
+        *[F.sum(f"{n}_{what}").alias(f"{n}_{what}") for n in ("income", "amount") for what in ("outside", "sentinel")],
+        *[getattr(F, end)(f"{n}_{end}").alias(f"{n}_{end}") for n in ("income", "amount") for end in ("min", "max")],
+        percent(F.sum("income_outside"), F.sum("n_customers")).alias("income_pct"),
+        percent(F.sum("amount_outside"), F.sum("n_applications")).alias("amount_pct"),
+        F.coalesce(F.sum("negative"), F.lit(0)).alias("n_negative_rows"),
+        percent(F.sum("negative"), F.sum("n_transactions")).alias("pct_negative_rows"),
+        negative.alias("n_keys_ever_negative"),
+        percent(negative, F.count_if(F.col("n_transactions") > 0)).alias("pct_keys_ever_negative"),
+        F.min("deepest").alias("min_value"),
+        F.try_divide(F.sum("negative_total"), F.sum("negative")).alias("avg_negative"),
+        F.sum("n_flagged").alias("n_flagged"),
+        percent(F.sum("n_flagged"), F.sum("n_histories")).alias("pct_flagged"),
+    ).first()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -93,6 +93,12 @@ def durable(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def durable_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`durable`, and aggregates over all rows that are observed while they are written."""
+    seen = Observation()
+    return durable(df.observe(seen, *[e.alias(n) for n, e in metrics.items()])), seen.get
+
+
 def literal_frame(spark: SparkSession, columns: dict[str, str], rows: list[tuple]) -> DataFrame:
     """A DataFrame of a few driver-side values, built from SQL literals."""
     def as_struct(values) -> Column:
