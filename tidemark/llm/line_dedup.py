@@ -62,21 +62,23 @@ def dedup_lines(
         found.join(repeated, ["h1", "h2"])
         .where(F.col("doc") > F.col("first"))
         .groupBy("doc", "row")
-        .agg(F.collect_list("pos").alias("__dropped"))
+        .agg(F.collect_list("pos").alias("dropped"))
     )
-    positions = F.sequence(F.lit(0), F.size("__lines") - 1)
-    kept = F.transform(F.array_except(positions, F.col("__dropped")), lambda i: F.get("__lines", i))
+    # the input travels as one struct, so that its columns may have any names
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("input"), F.col(doc_id).alias("doc"), text_key(text).alias("row")
+    )
+    own = F.col(f"input.`{text}`")
+    positions = F.sequence(F.lit(0), F.size("lines") - 1)
+    kept = F.transform(F.array_except(positions, F.col("dropped")), lambda i: F.get("lines", i))
     return (
-        docs.withColumns({"__doc": F.col(doc_id), "__row": text_key(text)})
-        .join(dropped.withColumnsRenamed({"doc": "__doc", "row": "__row"}), ["__doc", "__row"], "left")
-        .withColumn("__lines", lines)
-        .withColumn("__kept", F.when(F.col("__dropped").isNotNull(), kept))
-        .withColumns(
-            {
-                "n_lines": F.size("__lines").cast("long"),
-                "n_dropped": F.coalesce(F.size("__lines") - F.size("__kept"), F.lit(0)).cast("long"),
-                "kept_text": F.coalesce(F.array_join("__kept", "\n"), F.col(text), F.lit("")),
-            }
+        whole.join(dropped, ["doc", "row"], "left")
+        .withColumn("lines", F.split(F.coalesce(own, F.lit("")), "\n", -1))
+        .withColumn("kept", F.when(F.col("dropped").isNotNull(), kept))
+        .select(
+            "input.*",
+            F.size("lines").cast("long").alias("n_lines"),
+            F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"),
+            F.coalesce(F.array_join("kept", "\n"), own, F.lit("")).alias("kept_text"),
         )
-        .drop("__doc", "__row", "__dropped", "__lines", "__kept")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,10 +86,14 @@ def pack(
     are even and a repeated task packs the same way) and packed best-fit
     decreasing in each.  Bins filled to ``nearly_full`` (default: capacity less
     one 64th) are final.  The others are items of the next round, in which
-    ``fan_in`` groups meet; the last round has one group.  A group passes on few
-    bins, since best-fit leaves few open ones; those it passes on beyond
-    ``group_items / fan_in`` (the fullest) are final too, so that no group of
-    any round is larger than ``group_items``.
+    ``fan_in`` groups meet; the last round has one group.
+
+    Best-fit leaves at most one bin of a group half empty, and only a half-empty
+    bin can go into another.  So a group of a later round has at most ``fan_in``
+    items that move, and of bins that are filled alike at most ``fan_in`` a round
+    can take one in.  Of those only as many are passed on as the rounds to come
+    could use: the result needs no others, and a group's size has a bound that
+    does not depend on the input.
 
     Each round is a table in shared storage.  An empty input gives an empty result.
     """
@@ -96,27 +101,20 @@ def pack(
     pieces = durable(pieces)
     total = pieces.where(F.col("length") < capacity).count()
     groups = max(1, -(-total // group_items))
-    most = max(1, group_items // fan_in)
-
-    def packer(last: bool):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            found = [b for b in batches if len(b)]
-            if not found:
-                return
-            for group, items in pd.concat(found, ignore_index=True).groupby("grp", sort=True):
-                items = items.sort_values(["fill", "bin"], ascending=[False, True], kind="stable").reset_index(drop=True)
-                fills = items["fill"].to_numpy()
-                out = []
-                members = items["members"].tolist()
-                for packed in best_fit(fills, capacity):
-                    fill = int(fills[packed].sum())
-                    out.append((int(items["bin"][packed[0]]), fill, [m for i in packed for m in members[i]]))
-                open_bins = sorted((o[1], o[0]) for o in out if o[1] < limit)[:most]
-                passed = set() if last else {b for _, b in open_bins}
-                yield pd.DataFrame(
-                    [(int(group), b, fill, held, b in passed) for b, fill, held in out],
-                    columns=["grp", "bin", "fill", "members", "open"],
-                )
+
+    def packer(rounds: int):
+        """Packs a group; ``rounds`` are still to come."""
+
+        def run(items: pd.DataFrame) -> pd.DataFrame:
+            items = items.sort_values(["fill", "bin"], ascending=[False, True], kind="stable").reset_index(drop=True)
+            fills, bins, members = items["fill"].to_numpy(), items["bin"].tolist(), items["members"].tolist()
+            out, alike = [], Counter()
+            for packed in best_fit(fills, capacity):
+                fill = int(fills[packed].sum())
+                alike[fill] += 1
+                is_open = fill < limit and alike[fill] <= fan_in * rounds
+                out.append((int(items["grp"][0]), bins[packed[0]], fill, [m for i in packed for m in members[i]], is_open))
+            return pd.DataFrame(out, columns=["grp", "bin", "fill", "members", "open"])
 
         return run
 
@@ -136,12 +134,15 @@ def pack(
         )
     ]
     while True:
-        bins = durable(items.repartition(groups, "grp").mapInPandas(packer(groups == 1), schema))
+        rounds, left = 0, groups
+        while left > 1:
+            rounds, left = rounds + 1, -(-left // fan_in)
+        bins = durable(items.groupBy("grp").applyInPandas(packer(rounds), schema))
         final.append(bins.where("not open").select("bin", "fill", "members"))
         if groups == 1:
             break
         groups = -(-groups // fan_in)
-        items = bins.where("open").select(F.pmod(F.xxhash64("grp"), F.lit(groups)).alias("grp"), "bin", "fill", "members")
+        items = bins.where("open").select(F.floor(F.col("grp") / fan_in).alias("grp"), "bin", "fill", "members")
     done = final[0]
     for more in final[1:]:
         done = done.unionByName(more)

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.prefix import grouped_quantiles
+from ..operators.quantiles import exact_quantiles
 from ..session import durable
 
 #: Bits of a character in a gram; characters beyond the first plane share one sign.
@@ -199,14 +201,17 @@ def classify(
         return pd.concat(out) if out else pd.DataFrame(columns=["id", "l", "lang", "perplexity"])
 
     scored = (
-        filled.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(score, "id long, l string, lang string, perplexity double")
+        filled.withColumn("id", F.col("id").cast("string"))  # beside nulls pandas would make numbers doubles
+        .groupBy("block")
+        .cogroup(replies.groupBy("block"))
+        .applyInPandas(score, "id string, l string, lang string, perplexity double")
+        .withColumn("id", F.col("id").cast("long"))
     )
     empty = rows.where("t is null or length(t) = 0").select("id", "l", "lang", F.lit(None).cast("double").alias("perplexity"))
     scored = durable(scored.union(empty))
     of_trusted = scored.join(ids.where(is_out), F.col("id") == F.col("t_id"), "left_semi").where("perplexity is not null")
-    limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
-    by_lang = durable(of_trusted.groupBy("l").agg(limit.alias("own")))
-    overall = of_trusted.agg(limit.alias("v")).first()["v"]
+    by_lang = durable(grouped_quantiles(of_trusted, ["l"], "perplexity", {"own": quantile}))
+    (overall,) = exact_quantiles(of_trusted, {"perplexity": [quantile]})["perplexity"]
     threshold = slack * F.coalesce("own", F.lit(overall).cast("double"), F.lit(float("inf")))
     return scored.join(by_lang, "l", "left").select(
         F.col("id").alias("doc_id"),

@@ -150,15 +150,15 @@ def dedup_substrings(
         extended.join(firsts, ["w1", "w2"])
         .where("doc > first")
         .groupBy("doc", "row")
-        .agg(F.sort_array(F.collect_set("at")).alias("__at"))
+        .agg(F.sort_array(F.collect_set("at")).alias("starts"))
     )
     drop_scratch(spark, [window_path])
 
-    marked = (
-        docs.withColumns({"__doc": F.col(doc_id).cast("long"), "__row": text_key(text)})
-        .join(removed.withColumnsRenamed({"doc": "__doc", "row": "__row"}), ["__doc", "__row"], "left")
-        .drop("__doc", "__row")
+    # the input travels as one struct, so that its columns may have any names
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("input"), F.col(doc_id).cast("long").alias("doc"), text_key(text).alias("row")
     )
+    marked = whole.join(removed, ["doc", "row"], "left").select("input", F.col(f"input.`{text}`").alias("t"), "starts")
 
     def cut(texts, starts_of):
         out = {n: [] for n in RESULT.names}
@@ -181,7 +181,8 @@ def dedup_substrings(
             out["kept_text"].append(b" ".join(kept).decode())
         return out
 
-    return over_text(marked, cut, RESULT, text, keep=docs.columns, extra=["__at"])
+    done = over_text(marked, cut, RESULT, "t", keep=["input"], extra=["starts"])
+    return done.select("input.*", *RESULT.names)
 
 
 def _pair(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
