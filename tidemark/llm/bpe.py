@@ -2,11 +2,15 @@
 
 The encoding of a string is fixed by the last token of each of its prefixes:
 the last token of a prefix is the one token that ends it and that does not merge
-across its left edge with the last token of what stands before.
+across its left edge with the last token of what stands before.  Which tokens end
+a prefix follows from the longest of their beginnings that ends it, so a state of
+the walk is that beginning and the last token.
 """
 
 from __future__ import annotations
 
+from collections import deque
+
 
 class Merges:
     """The merge list of a vocabulary whose symbols are letters, a word's last one perhaps with a suffix."""
@@ -26,6 +30,35 @@ class Merges:
             end = "".join(self.letters(token)[-2:])
             self.reach[end] = max(size, self.reach.get(end, 1))
         self.pairs: dict[tuple[str, str], bool] = {}
+        self._link()
+
+    def _link(self) -> None:
+        """A trie of the tokens by letters; per node what follows, and the tokens that end there, longest first."""
+        self.follow: list[dict[str, int]] = [{}]
+        own: list[str | None] = [None]
+        for token in self.tokens:
+            node = 0
+            for letter in self.letters(token):
+                following = self.follow[node].get(letter)
+                if following is None:
+                    following = self.follow[node][letter] = len(self.follow)
+                    self.follow.append({})
+                    own.append(None)
+                node = following
+            own[node] = token
+        self.shorter = [0] * len(self.follow)
+        self.ends: list[tuple[tuple[str, int], ...]] = [()] * len(self.follow)
+        waiting = deque(self.follow[0].values())
+        while waiting:
+            node = waiting.popleft()
+            rest = self.ends[self.shorter[node]]
+            self.ends[node] = ((own[node], self.tokens[own[node]]), *rest) if own[node] else rest
+            for letter, following in self.follow[node].items():
+                at = self.shorter[node]
+                while at and letter not in self.follow[at]:
+                    at = self.shorter[at]
+                self.shorter[following] = self.follow[at].get(letter, 0) if node else 0
+                waiting.append(following)
 
     def letters(self, token: str) -> list[str]:
         if self.suffix and token.endswith(self.suffix):
@@ -33,9 +66,6 @@ class Merges:
             return [*word[:-1], word[-1:] + self.suffix]
         return [*token]
 
-    def length(self, token: str) -> int:
-        return self.tokens.get(token, 1)
-
     def encode(self, letters: list[str]) -> list[str]:
         """By the rules: merge the pair of lowest rank, from the left, until none is left."""
         parts, rank, none = list(letters), self.rank.get, 1 << 60
@@ -56,15 +86,6 @@ class Merges:
             self.pairs[left, right] = known
         return known
 
-    def last_token(self, letters: str, last: list[str], suffix: str = "") -> str:
-        """The last token of ``letters`` (with ``suffix``); ``last[i]`` is that of the first ``i + 1`` letters."""
-        n, tokens = len(letters), self.tokens
-        for size in range(min(n, self.reach.get(letters[-2:] + suffix, 1)), 1, -1):
-            token = letters[n - size :] + suffix
-            if token in tokens and (size == n or self.stand(last[n - size - 1], token)):
-                return token
-        return letters[-1] + suffix
-
 
 class Prefixes:
     """A walk over a trie of words: keeps the states of the current path only."""
@@ -72,26 +93,51 @@ class Prefixes:
     def __init__(self, merges: Merges):
         self.merges = merges
         self.path = ""
-        self.last: list[str] = []
+        #: By prefix: the beginning of a token that ends it, its last token, and that token's letters.
+        self.nodes, self.last, self.sizes = [0], [""], [0]
 
     def encode(self, word: str) -> list[str]:
         """Go to the node of ``word`` from where the walk stands, and read its tokens."""
-        merges, suffix, last = self.merges, self.merges.suffix, self.last
-        inner = len(word) - 1 if suffix else len(word)
-        same = 0
-        for a, b in zip(self.path, word[:inner]):
-            if a != b:
+        merges, nodes, last, sizes = self.merges, self.nodes, self.last, self.sizes
+        ends, follow, shorter, known, stand = merges.ends, merges.follow, merges.shorter, merges.pairs.get, merges.stand
+        inner = len(word) - 1 if merges.suffix else len(word)
+        same, path = 0, self.path
+        if word.startswith(path):
+            same = min(len(path), inner)
+        else:
+            for a, b in zip(path, word[:inner]):
+                if a != b:
+                    break
+                same += 1
+        del nodes[same + 1 :], last[same + 1 :], sizes[same + 1 :]
+        node = nodes[same]
+        for i in range(same, len(word)):
+            letter = word[i] if i < inner else word[i] + merges.suffix
+            following = follow[node].get(letter)
+            while following is None and node:
+                node = shorter[node]
+                following = follow[node].get(letter)
+            node = following or 0
+            for token, size in ends[node]:
+                if size == i + 1:
+                    break
+                before = last[i + 1 - size]
+                fits = known((before, token))
+                if fits or (fits is None and stand(before, token)):
+                    break
+            else:
+                token, size = letter, 1
+            if i == inner:
                 break
-            same += 1
-        del last[same:]
-        for i in range(same, inner):
-            last.append(merges.last_token(word[: i + 1], last))
+            nodes.append(node)
+            last.append(token)
+            sizes.append(size)
         self.path = word[:inner]
         out, at = [], len(word)
-        if suffix:
-            out.append(merges.last_token(word, last, suffix))
-            at -= merges.length(out[0])
+        if inner < at:
+            out.append(token)
+            at -= size
         while at:
-            out.append(last[at - 1])
-            at -= merges.length(out[-1])
+            out.append(last[at])
+            at -= sizes[at]
         return out[::-1]
