@@ -234,10 +234,11 @@ def near_classes(
     4. Candidates are verified by alignment in a band as wide as ``least`` allows.
     5. Classes are the connected components of the links.  First buckets of more
        than ``small`` documents that hold several classes by then are opened once
-       more: every document outside a bucket's largest class is compared with all
-       of the other classes, in cells of about ``cell_shingles`` shingles a side,
-       so no two documents of a bucket stay apart without a comparison.  The
-       number of shared shingles rules most pairs out before alignment.
+       more, those with the same largest class together: every document outside
+       that class is compared with all of the other classes, in cells of about
+       ``cell_shingles`` shingles a side, so no two documents of a bucket stay
+       apart without a comparison.  The number of shared shingles rules most pairs
+       out before alignment.
 
     ``n_links`` counts verified links of the document's representative.  Two
     documents at the threshold share none of 16 sketches with probability 1e-5.
@@ -290,10 +291,11 @@ def near_classes(
 
     length_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / least))).cast("int")
     reps = seen.join(firsts.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-    members = reps.where("n > 0").select("doc", length_class.alias("len"), F.posexplode("sketches").alias("j", "s")).select(
-        "doc", F.explode(F.array(F.col("len"), F.col("len") + 1)).alias("len"), "j", "s"
+    members = reps.where("n > 0").select("doc", "n", length_class.alias("len"), F.posexplode("sketches").alias("j", "s")).select(
+        "doc", "n", F.explode(F.array(F.col("len"), F.col("len") + 1)).alias("len"), "j", "s"
     )
-    members = durable(members.select(F.xxhash64("len", "j", "s").alias("bucket"), "j", "doc").distinct())
+    members = members.groupBy(F.xxhash64("len", "j", "s").alias("bucket"), "j", "doc").agg(F.max("n").cast("long").alias("n"))
+    members = durable(members)
     sketch_of = reps.select("doc", "sketches")
     wanted = durable(
         members.groupBy("bucket").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("bucket")
@@ -325,7 +327,7 @@ def near_classes(
         sizes = durable(members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("doc").alias("first")).where("size > 1"))
         is_small = (F.col("size") <= small) | F.lit(depth >= sketches)
         placed = durable(members.join(sizes, "bucket").withColumn("is_small", is_small))
-        whole = placed.where("not is_small").select("bucket", "doc") if whole is None else whole
+        whole = placed.where("not is_small").select("bucket", "doc", "n") if whole is None else whole
         every = placed.where("is_small").select("bucket", F.col("doc").alias("pivot"))
         star = placed.where("not is_small").select(F.col("first").alias("a"), F.col("doc").alias("b"))
         among = placed.where("is_small").join(every, "bucket").where("pivot < doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
@@ -347,10 +349,12 @@ def near_classes(
         if unsettled.isEmpty():
             break
         further = F.transform(F.sequence(F.lit(depth), F.lit(2 * depth - 1)), lambda i: F.get("sketches", (F.col("j") + i) % sketches))
+        # one row per document meets its sketches, however many buckets it is in
+        moved = large.join(unsettled, "bucket").groupBy("doc").agg(F.collect_list(F.struct("bucket", "j", "n")).alias("held"))
         members = durable(
-            large.join(unsettled, "bucket")
-            .join(sketch_of, "doc")
-            .select(F.xxhash64("bucket", further).alias("bucket"), "j", "doc")
+            moved.join(sketch_of, "doc")
+            .select("doc", "sketches", F.inline("held"))
+            .select(F.xxhash64("bucket", further).alias("bucket"), "j", "doc", "n")
         )
         depth *= 2
 
@@ -361,28 +365,31 @@ def near_classes(
     labels = components(links.union(ties))
 
     # Large first buckets whose members are not one class yet: all others against the largest class and each other.
-    lengths = reps.groupBy("doc").agg(F.max("n").cast("long").alias("n"))
+    # A document meets its label once, and buckets with the same largest class are opened together.
+    by_doc = whole.groupBy("doc").agg(F.collect_list("bucket").alias("buckets"), F.max("n").alias("n"))
     grouped = durable(
-        whole.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-        .join(lengths, "doc")
-        .select("bucket", "doc", "n", F.coalesce("label", "doc").alias("group"))
+        by_doc.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+        .withColumn("group", F.coalesce("label", "doc"))
+        .select("doc", "n", "group", F.explode("buckets").alias("bucket"))
     )
-    classes_of = grouped.groupBy("bucket", "group").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
-    opened = durable(
+    classes_of = grouped.groupBy("bucket", "group").agg(F.count("*").alias("docs"))
+    mains = durable(
         classes_of.groupBy("bucket")
-        .agg(F.count("*").alias("groups"), F.max(F.struct("docs", "group", "n")).alias("most"), F.sum("n").alias("all_n"))
+        .agg(F.count("*").alias("groups"), F.max(F.struct("docs", "group")).alias("most"))
         .where("groups > 1")
-        .select(
-            "bucket",
-            F.col("most.group").alias("main"),
-            F.ceil((F.col("all_n") - F.col("most.n")) / cell_shingles).alias("pivot_blocks"),
-            F.ceil(F.col("all_n") / cell_shingles).alias("blocks"),
+        .select("bucket", F.col("most.group").alias("main"))
+    )
+    held = durable(grouped.join(mains, "bucket").groupBy("main", "doc", "group").agg(F.max("n").alias("n")))
+    other_n = F.sum(F.when(F.col("group") != F.col("main"), F.col("n")))
+    opened = durable(
+        held.groupBy("main").agg(
+            F.ceil(other_n / cell_shingles).alias("pivot_blocks"), F.ceil(F.sum("n") / cell_shingles).alias("blocks")
         )
     )
-    open_members = durable(grouped.join(opened, "bucket"))
+    open_members = durable(held.join(opened, "main"))
     at = F.xxhash64("doc", F.lit("block"))
     all_in = open_members.select(
-        "bucket",
+        "main",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("pivot_blocks") - 1)).alias("x"),
         F.pmod(at, "blocks").alias("y"),
         "doc",
@@ -390,7 +397,7 @@ def near_classes(
         F.lit(False).alias("is_pivot"),
     )
     pivots_in = open_members.where("group <> main").select(
-        "bucket",
+        "main",
         F.pmod(at, "pivot_blocks").alias("x"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("y"),
         "doc",
@@ -403,7 +410,7 @@ def near_classes(
         columns = [cell[c].tolist() for c in ("doc", "group", "is_pivot", "t")]
         return pd.DataFrame(links_between(*columns, size, least), columns=["a", "b", "score"])
 
-    more = durable(cells.groupBy("bucket", "x", "y").applyInPandas(close, "a long, b long, score double").select("a", "b").distinct())
+    more = durable(cells.groupBy("main", "x", "y").applyInPandas(close, "a long, b long, score double").select("a", "b").distinct())
     if not more.isEmpty():
         links = durable(links.union(more).distinct())
         labels = components(links.union(ties))
@@ -419,5 +426,6 @@ def near_classes(
 
 def keep_one(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The documents that name their class; rows without a number stay."""
-    gone = durable(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")))
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("__gone"), "left_anti")
+    gone = durable(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("number")))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("input"), F.col(doc_id).cast("long").alias("number"))
+    return whole.join(gone, "number", "left_anti").select("input.*")
