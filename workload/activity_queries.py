@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import activity, charts, cleaning, history, quality
+from tidemark.operators import activity, charts, cleaning, history, quality, sampling, sketches
 from tidemark.operators.quantiles import approx_quantile_table, exact_quantiles, quantile_table
 from tidemark.plans import customer as plans
 
@@ -271,3 +271,44 @@ def quantiles_multi(spark, folder):
 @query("quantiles_approx")
 def quantiles_approx(spark, folder):
     return approx_quantile_table(table(spark, folder, "lineitem"), _LEVELS)
+
+
+_SKETCH_BOUND = repr(round(sketches.rank_bound(), 9))
+
+
+@query(
+    "sketched_quantiles",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS level, count({c}) AS n, CAST({_SKETCH_BOUND} AS DOUBLE) AS bound, "
+        "true AS within_bound FROM lineitem"
+        for c, ps in _LEVELS.items()
+        for p in ps
+    ),
+)
+def sketched_quantiles(spark, folder):
+    """Quantiles from one sketch a day, merged, and whether their ranks keep to the promised error."""
+    lines = table(spark, folder, "lineitem")
+    daily = sketches.sketch_table(lines, list(_LEVELS), [F.to_date("l_shipdate").alias("day")])
+    found = sketches.rank_errors(lines, sketches.sketched_quantiles(daily, _LEVELS))
+    return found.select(
+        "column_name", "level", "n", F.round(F.lit(sketches.rank_bound()), 9).alias("bound"),
+        (F.col("rank_error") <= sketches.rank_bound()).alias("within_bound"),
+    )
+
+
+_SAMPLE_HASH = "CAST('0x' || substr(md5(l_orderkey || ':' || l_linenumber || ':42'), 1, 13) AS BIGINT)"
+
+
+@query(
+    "hash_sample",
+    f"""SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linestatus
+                                           ORDER BY {_SAMPLE_HASH}, l_orderkey || ':' || l_linenumber) AS rank FROM lineitem)
+        WHERE rank <= 500""",
+)
+def hash_sample(spark, folder):
+    """500 line items of every flag and status, the same ones in every run."""
+    lines = table(spark, folder, "lineitem")
+    key = F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    found = sampling.hash_sample(lines, 500, key, ["l_returnflag", "l_linestatus"])
+    return found.select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber")
