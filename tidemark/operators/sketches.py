@@ -39,14 +39,15 @@ def sketch_table(df: DataFrame, columns: Sequence[str], by: Sequence[Column], si
 
 def sketched_quantiles(sketches: DataFrame, levels: Mapping[str, Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
     """Merge sketches and read ``column_name, level, value, n`` per level, and per group of ``by``."""
-    merged = sketches.groupBy(*by).agg(*[F.call_function("kll_merge_agg_double", F.col(c)).alias(c) for c in levels])
+    held = [F.count(F.col(c)).alias(f"held_{i}") for i, c in enumerate(levels)]
+    merged = sketches.groupBy(*by).agg(*[F.call_function("kll_merge_agg_double", F.col(c)).alias(c) for c in levels], *held)
     parts = []
-    for c, ps in levels.items():
+    for i, (c, ps) in enumerate(levels.items()):
         values = F.call_function("kll_sketch_get_quantile_double", F.col(c), F.array(*[F.lit(float(p)) for p in ps]))
         parts.append(
-            merged.where(F.col(c).isNotNull())
-            .select(*by, F.call_function("kll_sketch_get_n_double", F.col(c)).alias("n"), F.posexplode(values).alias("i", "value"))
-            .select(*by, F.lit(c).alias("column_name"), F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("level"), "value", "n")
+            merged.where(F.col(f"held_{i}") > 0)  # an empty sketch has no quantiles
+            .select(*by, F.call_function("kll_sketch_get_n_double", F.col(c)).alias("n"), F.posexplode(values).alias("place", "value"))
+            .select(*by, F.lit(c).alias("column_name"), F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("place") + 1).alias("level"), "value", "n")
         )
     return reduce(DataFrame.unionByName, parts)
 
