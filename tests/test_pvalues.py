@@ -10,7 +10,7 @@ def test_ks_recorded_value():
     assert pvalues.ks_two_sample(0.06390640454995053, 1348, 1152, "exact") == pytest.approx(0.011816423854, abs=1e-12)
 
 
-@pytest.mark.parametrize("n_a,n_b", [(3, 4), (4, 4), (2, 6)])
+@pytest.mark.parametrize("n_a,n_b", [(3, 4), (4, 4), (2, 6), (6, 2), (1, 5), (5, 7)])
 def test_ks_against_enumeration(n_a, n_b):
     total = n_a + n_b
     distances = []
@@ -34,6 +34,14 @@ def test_ks_large_samples_use_the_limit():
     assert pvalues.ks_two_sample(0.0, 5, 5) == 1.0
 
 
+def test_ks_exact_on_large_samples():
+    # the exact share approaches the limit as the samples grow; the lattice of equal sizes is the coarsest
+    for n_a, n_b, near in ((1_000_000, 1_000_000, 0.01), (40_000, 40_001, 0.02), (40_001, 40_000, 0.02)):
+        d = 1.36 / math.sqrt(n_a * n_b / (n_a + n_b))
+        assert pvalues.ks_two_sample(d, n_a, n_b, "exact") == pytest.approx(pvalues.ks_two_sample(d, n_a, n_b), rel=near)
+    assert 0 < pvalues.ks_two_sample(0.3, 4000, 3999, "exact") < 1e-100
+
+
 def test_chi_square_values():
     assert pvalues.chi_square(5.8076007123260105, 1) == pytest.approx(0.01595705048308733, rel=1e-12)
     assert pvalues.chi_square(5.991464547, 2) == pytest.approx(0.05, rel=1e-8)

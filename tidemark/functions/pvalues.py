@@ -17,9 +17,9 @@ _STEPS = 1000
 def ks_two_sample(statistic: float, n_a: int, n_b: int, method: str = "asymptotic") -> float:
     """P(D >= statistic) for two samples of the given sizes.
 
-    ``exact`` follows a random merge of the two samples step by step and adds up
-    the mass that first reaches the distance ``statistic``; ``asymptotic`` is the
-    limiting distribution.
+    ``exact`` counts the merges of the two samples that reach the distance
+    ``statistic``: by reflection for equal sizes, else along the band of places
+    nearer than that; ``asymptotic`` is the limiting distribution.
     """
     if method not in ("asymptotic", "exact"):
         raise ValueError(f"unknown method {method}")
@@ -28,22 +28,57 @@ def ks_two_sample(statistic: float, n_a: int, n_b: int, method: str = "asymptoti
     if method == "asymptotic":
         return _kolmogorov_tail(statistic * math.sqrt(n_a * n_b / (n_a + n_b)))
     limit = round(statistic * n_a * n_b)
-    total = n_a + n_b
-    drawn_a = np.arange(n_a + 1)
-    alive = np.zeros(n_a + 1)
-    alive[0] = 1.0
-    absorbed = 0.0
+    if n_a == n_b:
+        return _equal_sizes(n_a, limit // n_a)
+    return _banded_paths(min(n_a, n_b), max(n_a, n_b), limit)
+
+
+def _log_choose(n: int, k: int) -> float:
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+
+def _equal_sizes(n: int, lead: int) -> float:
+    """Share of the merges of two samples of ``n`` in which one is ever ``lead`` ahead, by reflection."""
+    everything = _log_choose(2 * n, n)
+    terms = (
+        2 * (-1) ** (j - 1) * math.exp(_log_choose(2 * n, n - j * lead) - everything)
+        for j in range(1, n // lead + 1)
+    )
+    return min(1.0, max(0.0, math.fsum(terms)))
+
+
+def _banded_paths(n: int, m: int, limit: int) -> float:
+    """Share of the merges of ``n`` and ``m`` draws with ``|x * m - y * n| >= limit`` at some point.
+
+    Only the band inside the limit is held.  A free walk with the samples' shares
+    as its chances goes through it, which keeps all numbers near each other; it
+    is counted where it first leaves the band, weighed by what the merges have
+    more or less of that place than the walk, so that small shares keep their
+    digits.
+    """
+    total = n + m
+    take, skip, everything = n / total, m / total, _log_choose(total, n)
+
+    def leave(mass: float, x: int, y: int) -> float:
+        if mass <= 0 or x > n or y > m:
+            return 0.0
+        walk = x * math.log(take) + y * math.log(skip)
+        return math.exp(math.log(mass) + _log_choose(total - x - y, n - x) - everything - walk)
+
+    low, alive, share = 0, np.ones(1), 0.0
     for step in range(1, total + 1):
-        left = total - step + 1
-        before_b = (step - 1) - drawn_a
-        take_b = alive * np.clip(n_b - before_b, 0, None) / left
-        take_a = alive * (n_a - drawn_a) / left
-        alive = take_b
-        alive[1:] += take_a[:-1]
-        outside = np.abs(drawn_a * n_b - (step - drawn_a) * n_a) >= limit
-        absorbed += float(alive[outside].sum())
-        alive[outside] = 0.0
-    return min(1.0, absorbed)
+        moved = np.empty(len(alive) + 1)
+        np.multiply(alive, skip, out=moved[:-1])
+        moved[-1] = 0.0
+        moved[1:] += alive * take
+        first = max((step * n - limit) // total + 1, step - m, 0)
+        last = min(-((-step * n - limit) // total) - 1, step, n)
+        for x in (*range(low, first), *range(last + 1, low + len(moved))):
+            share += leave(float(moved[x - low]), x, step - x)
+        if first > last:
+            break
+        alive, low = moved[first - low : last - low + 1], first
+    return min(1.0, share)
 
 
 def _kolmogorov_tail(x: float) -> float:
