@@ -67,6 +67,27 @@ def test_fit_score_save_load_and_ablation(spark, frame):
     assert r["auc_with"] > 0.75 and abs(r["auc_difference"]) < 0.05
 
 
+def test_certificate_tells_an_optimal_fit_from_another(spark, frame):
+    df = modeling.encode_gender(applications(frame)).where("target is not null")
+    weighted = modeling.class_weights(df, "target")
+    features = ["x", "noise", "gender_encoded"]
+
+    def largest(**params):
+        model = modeling.classifier(features, "target", **params).fit(weighted)
+        rows = modeling.certificate(model, weighted, "target").collect()
+        assert [r["term"] for r in rows] == ["(intercept)", *features]
+        return max(r["violation"] for r in rows)
+
+    assert largest(tol=1e-14, max_iter=500) < 1e-6
+    # a penalty with corners: terms that it holds at zero are optimal too
+    assert largest(tol=1e-14, max_iter=500, elastic_net=0.7, reg_param=0.2) < 1e-6
+    assert largest(max_iter=1) > 1e-3
+    model = modeling.classifier(features, "target").fit(weighted)
+    assert modeling.certificate(model, weighted.where("false"), "target").count() == 0
+    holes = weighted.union(weighted.limit(1).withColumn("x", F.lit(None).cast("double")))
+    assert modeling.certificate(model, holes, "target").first() == modeling.certificate(model, weighted, "target").first()
+
+
 def test_scan_typed_casts_and_tolerates(spark, frame):
     path = scratch_path(spark, "people") + ".parquet"
     frame([(7, "x", 1), (8, "2.5", 2)], "id long, income string, extra int").write.parquet(path)

@@ -72,6 +72,12 @@ def fit(prepared: Prepared, features: list[str], settings: Settings) -> Pipeline
     )
 
 
+def fit_certificate(prepared: Prepared, model: PipelineModel, features: list[str]) -> DataFrame:
+    """The slope of the penalised loss at the model's coefficients, on the rows it was fitted on."""
+    needed = selection.complete_cases(prepared.train.select(*features, LABEL), features)
+    return modeling.certificate(model, modeling.class_weights(needed, LABEL), LABEL)
+
+
 def scored_test(prepared: Prepared, model: PipelineModel, features: list[str]) -> DataFrame:
     return modeling.with_scores(model, selection.complete_cases(prepared.test, features))
 
@@ -163,6 +169,7 @@ def run(
         **screening_tables(prepared, features, settings),
         **activity_tables(prepared),
         "coefficients": modeling.coefficient_table(prepared.train.sparkSession, model),
+        "certificate": fit_certificate(prepared, model, features),
         "roc": evaluation.roc_points(scored_test(prepared, model, features), LABEL, "score"),
     }
     for name, frame in written.items():

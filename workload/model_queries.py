@@ -234,6 +234,57 @@ def train_classifier(spark, folder):
     return training.scored_test(prepared, model, features).select("app_id", "target", "prediction", "score")
 
 
+# The same model by Newton's method: three terms, so each step solves a system of three equations.
+_NEWTON_SQL = f"""
+    , labelled AS (SELECT CAST(outcome = 'TakeUp' AS INTEGER) AS y, CAST(amount AS DOUBLE) AS x1, CAST(month(dt) AS DOUBLE) AS x2
+                   FROM raw_applications WHERE outcome IS NOT NULL AND amount IS NOT NULL AND dt IS NOT NULL),
+    classes AS (SELECT y, count(*) AS n FROM labelled GROUP BY y),
+    facts AS (SELECT avg(x1) AS m1, stddev_samp(x1) AS s1, avg(x2) AS m2, stddev_samp(x2) AS s2 FROM labelled),
+    z AS (SELECT l.y, (SELECT sum(n) / count(*) FROM classes) / c.n AS w, (x1 - m1) / s1 AS a, (x2 - m2) / s2 AS b
+          FROM labelled l JOIN classes c ON c.y = l.y, facts),
+    d AS (SELECT sum(w) AS t, 0.1 * (sum(w * a * a) - sum(w * a) * sum(w * a) / sum(w)) / (sum(w) - sum(w * w) / sum(w)) AS ra,
+                 0.1 * (sum(w * b * b) - sum(w * b) * sum(w * b) / sum(w)) / (sum(w) - sum(w * w) / sum(w)) AS rb FROM z),
+    newton AS (
+        SELECT 0 AS step, CAST(0 AS DOUBLE) AS c0, CAST(0 AS DOUBLE) AS c1, CAST(0 AS DOUBLE) AS c2,
+               CAST(1 AS DOUBLE) AS g0, CAST(1 AS DOUBLE) AS g1, CAST(1 AS DOUBLE) AS g2
+        UNION ALL
+        SELECT step + 1,
+               c0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det,
+               c1 - (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det,
+               c2 - (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det,
+               g0, g1, g2
+        FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det
+              FROM (SELECT step, c0, c1, c2, sum(w * (p - y)) / any_value(t) AS g0,
+                           sum(w * (p - y) * a) / any_value(t) + any_value(ra) * c1 AS g1,
+                           sum(w * (p - y) * b) / any_value(t) + any_value(rb) * c2 AS g2,
+                           sum(w * p * (1 - p)) / any_value(t) AS h00, sum(w * p * (1 - p) * a) / any_value(t) AS h01,
+                           sum(w * p * (1 - p) * b) / any_value(t) AS h02,
+                           sum(w * p * (1 - p) * a * a) / any_value(t) + any_value(ra) AS h11,
+                           sum(w * p * (1 - p) * a * b) / any_value(t) AS h12,
+                           sum(w * p * (1 - p) * b * b) / any_value(t) + any_value(rb) AS h22
+                    FROM (SELECT s.*, z.*, d.*, 1 / (1 + exp(-(c0 + c1 * a + c2 * b))) AS p
+                          FROM newton s, z, d WHERE step < 12)
+                    GROUP BY step, c0, c1, c2))),
+    last AS (SELECT * FROM newton WHERE step = 12)
+    SELECT '(intercept)' AS term, {r('c0')} AS coefficient, {r('g0')} AS gradient, {r('abs(g0)')} AS violation FROM last
+    UNION ALL SELECT 'amount', {r('c1')}, {r('g1')}, {r('abs(g1)')} FROM last
+    UNION ALL SELECT 'month', {r('c2')}, {r('g2')}, {r('abs(g2)')} FROM last"""
+
+
+@query("model_certificate", using("raw_applications", _NEWTON_SQL).replace("WITH ", "WITH RECURSIVE ", 1))
+def model_certificate(spark, folder):
+    """A fit on all decided applications: coefficients, and the slope of the penalised loss, which is zero there."""
+    rows = raw_applications(spark, folder).select(
+        history.accepted_flag().alias("target"),
+        F.col("amount").cast("double").alias("amount"),
+        F.month("dt").cast("double").alias("month"),
+    )
+    rows = selection.complete_cases(rows.where("target is not null"), ["amount", "month"])
+    weighted = modeling.class_weights(rows, "target")
+    model = modeling.classifier(["amount", "month"], "target", max_iter=500, tol=1e-14).fit(weighted)
+    return rounded(modeling.certificate(model, weighted, "target"), ["coefficient", "gradient", "violation"])
+
+
 @query("feature_ablation")
 def feature_ablation(spark, folder):
     prepared, features, model = _trained(spark, folder)

@@ -418,7 +418,36 @@ def vif(spark, folder):
     return rounded(found, ["vif"])
 
 
-@query("vif_prune")
+# The inverse of the correlations by sweeps on every place; a sweep of the inverse takes a feature out again.
+_SWEPT = """[[CASE WHEN i = place AND j = place THEN 1 / m[place][place] WHEN i = place THEN m[place][j] / m[place][place]
+                  WHEN j = place THEN -m[i][place] / m[place][place] ELSE m[i][j] - m[i][place] * m[place][j] / m[place][place] END
+             FOR j IN range(1, 6)] FOR i IN range(1, 6)]"""
+_PRUNED = ["l_quantity", "l_discount", "price", "net_price", "gross_price"]
+_VIF_PRUNE_SQL = f"""
+    WITH RECURSIVE lines AS (
+        SELECT l_quantity, l_discount, l_extendedprice AS price, l_extendedprice * (1 - l_discount) AS net_price,
+               l_extendedprice * (1 + l_tax) AS gross_price FROM lineitem),
+    correlations AS (SELECT [{", ".join("[" + ", ".join("1.0::DOUBLE" if a == b else f"corr({a}, {b})" for b in _PRUNED) + "]" for a in _PRUNED)}] AS m
+                     FROM lines),
+    swept AS (
+        SELECT 1 AS place, m FROM correlations
+        UNION ALL
+        SELECT place + 1, {_SWEPT} FROM swept WHERE place <= 5),
+    inverse AS (SELECT m FROM swept WHERE place = 6),
+    pruned AS (
+        SELECT m, [1, 2, 3, 4, 5] AS kept, CAST([] AS BIGINT[]) AS fallen FROM inverse
+        UNION ALL
+        SELECT {_SWEPT}, list_filter(kept, lambda i: i <> place), list_append(fallen, place)
+        FROM (SELECT *, list_extract(list_filter(kept, lambda i: m[i][i] = worst), 1) AS place
+              FROM (SELECT *, list_max([m[i][i] FOR i IN kept]) AS worst FROM pruned WHERE len(kept) > 1))
+        WHERE worst > 10),
+    done AS (SELECT * FROM pruned ORDER BY len(fallen) DESC LIMIT 1)
+    SELECT unnest({_PRUNED!r}) AS feature, unnest([list_contains(kept, i) FOR i IN range(1, 6)]) AS kept,
+           unnest([CASE WHEN list_contains(fallen, i) THEN CAST(list_position(fallen, i) AS INTEGER) END FOR i IN range(1, 6)])
+           AS dropped_in_step FROM done"""
+
+
+@query("vif_prune", _VIF_PRUNE_SQL)
 def vif_prune(spark, folder):
     """Price with and without tax and discount are near copies; the worst go first."""
     price = F.col("l_extendedprice")
