@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **setti
 #: Folders made for sessions that name none, and the scratch tables of this process.
 _LOCAL_ROOTS: dict[str, str] = {}
 _WRITTEN: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 #: Makes Spark delete the shuffle files of a query when the query has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -59,9 +63,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared root, known to :func:`drop_scratch`."""
     path = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables whose paths are made inside are deleted at the end, also after an error.
+
+    What has to outlive the scope is written to a path made before it (``durable(df, path)``).
+    Scopes nest; each thread has its own.
+    """
+    made: list[str] = []
+    outer = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(outer)
+        drop_scratch(spark, [p for p in made if p in _WRITTEN])
+
+
 def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
     """Delete scratch tables that this process wrote: all, or the given ones.
 
