@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import drop_scratch, durable, scratch_path, scratch_scope
 from .common import steps
 from .words import PLACES, Words, grams, mixed, signed
 
@@ -192,17 +192,24 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, label``: the smallest node that links ``a, b`` lead to, for every node of a link.
 
     Labels go along links and then jump to their label's label; each round is a
-    table in shared storage, and the end is when no label has changed.
+    table in shared storage that replaces the one before, and the end is when no
+    label has changed.
     """
+    spark = edges.sparkSession
     both = durable(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = durable(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    path = scratch_path(spark, "labels")
+    labels = durable(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), path)
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        met = durable(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
-        if met.where("label <> old").isEmpty():
-            return labels
-        jump = met.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels = durable(met.join(jump, "label", "left").select("node", F.coalesce("further", "label").alias("label")))
+        further_path = scratch_path(spark, "labels")
+        with scratch_scope(spark):
+            near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+            met = durable(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+            if met.where("label <> old").isEmpty():
+                return labels
+            jump = met.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            labels = durable(met.join(jump, "label", "left").select("node", F.coalesce("further", "label").alias("label")), further_path)
+        drop_scratch(spark, [path])
+        path = further_path
 
 
 def near_classes(
@@ -245,11 +252,36 @@ def near_classes(
 
     Texts without words (null, empty, blank) have equal words and are one class.
     Rows without a number take no part.  Rows that repeat a number are one document.
+
+    Two tables are left when the classes are found, those that the result reads.
     """
     source = docs.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t")
     )
+    spark = docs.sparkSession
+    stands_path, labels_path = scratch_path(spark, "stands"), scratch_path(spark, "classes")
+    with scratch_scope(spark):
+        stands, of_rep = _classified(source, stands_path, labels_path, least, size, sketches, each, small, cell_shingles)
+    classes = (
+        stands.join(of_rep, "rep", "left")
+        .groupBy("doc")
+        .agg(F.min(F.coalesce("label", "rep")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
+    )
+    return classes.select(F.col("doc").alias("doc_id"), "class_id", "n_links")
 
+
+def _classified(
+    source: DataFrame,
+    stands_path: str,
+    labels_path: str,
+    least: float,
+    size: int,
+    sketches: int,
+    each: int,
+    small: int,
+    cell_shingles: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The steps of :func:`near_classes`: ``doc, rep``, and ``rep, label, n_links`` of those with links."""
     names = ["doc", "n", "e1", "e2", "sketches"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +319,7 @@ def near_classes(
     is_link = F.col("score") >= least - 1e-12
     seen = durable(source.mapInArrow(sketch, "doc long, n int, e1 long, e2 long, sketches array<long>"))
     firsts = durable(seen.groupBy("n", "e1", "e2").agg(F.min("doc").alias("rep")))
-    stands = durable(seen.select("doc", "n", "e1", "e2").join(firsts, ["n", "e1", "e2"]).select("doc", "rep"))
+    stands = durable(seen.select("doc", "n", "e1", "e2").join(firsts, ["n", "e1", "e2"]).select("doc", "rep"), stands_path)
 
     length_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / least))).cast("int")
     reps = seen.join(firsts.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
@@ -415,13 +447,8 @@ def near_classes(
         links = durable(links.union(more).distinct())
         labels = components(links.union(ties))
     degrees = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
-    of_rep = durable(labels.join(degrees, "node", "left").withColumnRenamed("node", "rep"))
-    classes = (
-        stands.join(of_rep, "rep", "left")
-        .groupBy("doc")
-        .agg(F.min(F.coalesce("label", "rep")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
-    )
-    return classes.select(F.col("doc").alias("doc_id"), "class_id", "n_links")
+    of_rep = durable(labels.join(degrees, "node", "left").withColumnRenamed("node", "rep"), labels_path)
+    return stands, of_rep
 
 
 def keep_one(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id") -> DataFrame:
