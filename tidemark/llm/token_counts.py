@@ -11,6 +11,9 @@ from .transducer import CHUNK, transducer
 
 RESULT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
+#: Chunks' lengths from which a chunk is read by state maps of its pieces.
+LONG = 4
+
 #: Last bytes of the white space characters outside ASCII.
 _WIDE_SPACE_ENDS = [*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]
 
@@ -32,8 +35,7 @@ def synchronising(data: np.ndarray) -> np.ndarray:
 def chunks(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Cut texts into chunks of about ``size`` bytes; returns the chunks' bounds and the texts' first chunks.
 
-    Every chunk begins where its text does or at a synchronising place.  A chunk
-    without such a place is composed with the one before it, by reading on.
+    Every chunk begins where its text does or at a synchronising place.
     """
     places = synchronising(data)
     text = np.searchsorted(bounds, places, side="right") - 1
@@ -54,6 +56,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", chunk: int = CH
     maps every state to one state and one count, so the chunks of all texts of a
     step are read side by side, and maps compose by adding the counts before
     each place: a prefix sum over chunks, of which each text takes a difference.
+    A chunk that is longer than ``LONG`` chunks, for want of such places, is cut
+    anywhere: its pieces get maps with the states that they may be entered in,
+    and the maps are composed by a prefix scan.
 
     A null or empty text has no bytes and no tokens.  Nothing is shuffled, and a
     repeated row gets the same answer.
@@ -67,7 +72,12 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", chunk: int = CH
         if len(full):
             cuts, first = chunks(data, np.append(bounds[full], bounds[-1]), chunk)
             ends = np.append(cuts[1:], bounds[-1])
-            before = np.concatenate([[0], np.cumsum(transducer(path).run(data, cuts, ends))])
+            machine, counts = transducer(path), np.zeros(len(cuts), dtype=np.int64)
+            long = ends - cuts > LONG * chunk
+            counts[~long] = machine.run(data, cuts[~long], ends[~long])
+            for i in np.flatnonzero(long).tolist():
+                counts[i] = machine.run_stretch(data, int(cuts[i]), int(ends[i]), chunk)
+            before = np.concatenate([[0], np.cumsum(counts)])
             total[full] = before[np.append(first[1:], len(cuts))] - before[first]
         return {"n_bytes": np.diff(bounds), "n_tokens": total}
 

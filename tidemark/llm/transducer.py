@@ -29,6 +29,8 @@ from .tokens import byte_letters
 TABLE_STATES, SLOTS = 1 << 18, 21
 #: Bytes of a chunk, and the number of chunks below which they are read one by one.
 CHUNK, FEW = 1024, 24
+#: Bytes before a piece that its entry state is guessed from, and rounds in which all exits become entries.
+WARM, ROUNDS = 128, 8
 
 SPACE, LETTER, NUMBER, OTHER = "space", "letter", "number", "other"
 #: Word endings that a splitter of this kind keeps together (fixed by the vocabulary's format).
@@ -230,9 +232,16 @@ class Transducer:
 
     def run(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Tokens of each chunk, all chunks read side by side, each from the start state to its end."""
+        state, total = self.read(data, begin, end, np.zeros(len(begin), dtype=np.int32))
+        total += np.array(self.ends, dtype=np.int64)[state]
+        if len(self.states) > TABLE_STATES:
+            self.clear()
+        return total
+
+    def read(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The state after each chunk and the count on the way, from the given states on."""
         order = np.argsort(begin - end, kind="stable")
-        begin, length = begin[order], (end - begin)[order]
-        state = np.zeros(len(begin), dtype=np.int32)
+        begin, length, state = begin[order], (end - begin)[order], state[order]
         total = np.zeros(len(begin), dtype=np.int64)
         active = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), side="left")
         done = 0
@@ -262,12 +271,85 @@ class Transducer:
                 t += (value & 255) - 128
             state[i] = s
             total[i] += t
-        total += np.array(self.ends, dtype=np.int64)[state]
-        out = np.empty_like(total)
-        out[order] = total
+        after, out = np.empty_like(state), np.empty_like(total)
+        after[order], out[order] = state, total
+        return after, out
+
+    # Stretches whose pieces begin in a state that is not known beforehand.
+
+    def maps(self, data: np.ndarray, pieces: list[tuple[int, int]], entries: list) -> list[tuple]:
+        """For each piece and the state it is entered in: the state after it, and the count."""
+        begin, end = (np.array(x, dtype=np.int64) for x in zip(*pieces))
+        state = np.array([self.intern(e) for e in entries], dtype=np.int32)
+        after, total = self.read(data, begin, end, state)
+        found = [(self.states[s], t) for s, t in zip(after.tolist(), total.tolist())]
         if len(self.states) > TABLE_STATES:
             self.clear()
-        return out
+        return found
+
+    def run_stretch(self, data: np.ndarray, begin: int, end: int, size: int) -> int:
+        """Tokens of one long chunk, from the start state to its end, by state maps of its pieces.
+
+        Every piece gets a map from entry states to the state after it and the
+        count.  First it holds the state that some bytes before the piece lead
+        to, which mostly is the right one.  Maps compose by a prefix scan; where
+        a map leads to a state that the next map lacks, it is added and read.
+        What some rounds have not settled is read on from the last known state,
+        so the count does not depend on the guesses.
+        """
+        cuts = character_starts(data, np.arange(begin + size, end, size), end)
+        cuts = [begin, *np.unique(cuts[cuts < end]).tolist()]
+        pieces = list(zip(cuts, [*cuts[1:], end]))
+        ahead = character_starts(data, np.maximum(begin, np.array(cuts[1:], dtype=np.int64) - WARM), end).tolist()
+        guesses = self.maps(data, list(zip(ahead, cuts[1:])), [START] * len(ahead)) if ahead else []
+        held: list[dict] = [{} for _ in pieces]
+        wanted = {(0, START), *((i + 1, state) for i, (state, _) in enumerate(guesses))}
+        state, total, settled = START, 0, 0
+        for _ in range(ROUNDS):
+            asked = list(wanted)
+            for (i, entry), leads in zip(asked, self.maps(data, [pieces[i] for i, _ in asked], [e for _, e in asked])):
+                held[i][entry] = leads
+            reached = prefix_maps(held)
+            settled = sum(1 for m in reached if START in m)
+            state, total = reached[settled - 1][START]
+            if settled == len(pieces):
+                break
+            wanted = {
+                (i, after) for i in range(settled, len(pieces)) for after, _ in held[i - 1].values() if after not in held[i]
+            }
+        for i in range(settled, len(pieces)):
+            if state not in held[i]:
+                (held[i][state],) = self.maps(data, [pieces[i]], [state])
+            state, more = held[i][state]
+            total += more
+        return total + self.end(state)
+
+
+def character_starts(data: np.ndarray, places: np.ndarray, end: int) -> np.ndarray:
+    """Each place, or the first after it where a character begins."""
+    places = places.copy()
+    while len(inside := np.flatnonzero(places < end)):
+        within = inside[(data[places[inside]] & 0xC0) == 0x80]
+        if not len(within):
+            break
+        places[within] += 1
+    return places
+
+
+def prefix_maps(maps: list[dict]) -> list[dict]:
+    """The maps of all pieces up to each, by doubling; an entry that a later map lacks is left out."""
+    reached, reach = list(maps), 1
+    while reach < len(maps):
+        reached = reached[:reach] + [
+            {
+                entry: (later[state][0], total + later[state][1])
+                for entry, (state, total) in earlier.items()
+                if state in later
+            }
+            for earlier, later in zip(reached, reached[reach:])
+        ]
+        reach *= 2
+    return reached
 
 
 @lru_cache(maxsize=2)
