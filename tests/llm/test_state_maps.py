@@ -60,7 +60,7 @@ def test_maps_compose_and_leave_out_what_is_unknown():
 
 def test_long_texts_in_a_table(documents, library):
     texts = [*stretches().values(), "some words " * 900 + "b" * 6000 + " more words" * 50, "", None]
-    got = token_counts.count_tokens(documents(list(enumerate(texts))), PATH).collect()
+    got = token_counts.count_tokens(documents(list(enumerate(texts))), PATH, chunk=32).collect()
     assert {r["doc_id"]: (r["n_bytes"], r["n_tokens"]) for r in got} == {
         i: (len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts)
     }

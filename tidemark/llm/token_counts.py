@@ -11,8 +11,8 @@ from .transducer import CHUNK, transducer
 
 RESULT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
-#: Chunks' lengths from which a chunk is read by state maps of its pieces.
-LONG = 4
+#: Chunks' lengths from which a chunk is read by state maps of its pieces (fewer pieces are too few to read side by side).
+LONG = 64
 
 #: Last bytes of the white space characters outside ASCII.
 _WIDE_SPACE_ENDS = [*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]
