@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators import activity, history
+from tidemark.operators import history
+from tidemark.plans import serving
 from tidemark.session import durable, scratch_path
 from tidemark.streaming import liveness, runtime, telemetry
 
@@ -162,25 +163,8 @@ def score_buckets(spark, folder):
 
 
 def _profiles(spark, folder):
-    """Customer attributes that accompany a scoring request."""
-    moves = activity.serving_profile(raw_transactions(spark, folder))
-    asked = raw_applications(spark, folder).groupBy("id").agg(
-        F.count("*").alias("total_loans"),
-        F.count_if(F.col("outcome") == "Declined").alias("num_declined"),
-        F.max("amount").alias("max_loan_amount"),
-        F.avg("amount").alias("mean_loan_amount"),
-    )
-    people = raw_customers(spark, folder).withColumns(
-        {"gender": C.normalize_category(F.col("gender")), "age": C.null_outside(F.col("age"))}
-    )
-    zero = ["txn_count", "inflow_count", "outflow_count", "total_loans", "num_declined"]
-    nought = [
-        "total_inflow", "total_outflow", "net_cashflow", "avg_balance", "min_balance", "std_balance",
-        "txn_per_month", "max_loan_amount", "mean_loan_amount",
-    ]
-    filled = people.join(moves, "id", "left").join(asked, "id", "left").fillna(0, zero).fillna(0.0, nought)
-    return filled.withColumn(
-        "balance_to_income_ratio", C.guarded_ratio(F.col("avg_balance"), F.col("income") / 12)
+    return serving.serving_view(
+        raw_customers(spark, folder), raw_applications(spark, folder), raw_transactions(spark, folder)
     )
 
 
