@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import clean_customers, clean_transactions, impute_median, parse_dates, winsorize
 from tidemark.operators.prefix import grouped_quantiles, running_sums
-from tidemark.operators.quantiles import approx_quantile_table, exact_quantiles, quantile_table
+from tidemark.operators.quantiles import approx_quantile_table, exact_quantiles, quantile_table, quantiles_by_group
 
 LEVELS = [0.0, 0.01, 0.1, 0.33, 0.5, 0.9, 0.99, 1.0]
 
@@ -153,3 +153,30 @@ def test_many_narrow_clusters_are_cut_to_size(spark):
 
     sizes = [bisect_left(values, b) - bisect_left(values, a) for a, b in zip(edges, edges[1:])]
     assert sum(sizes) == 10_000 and max(sizes) <= 25
+
+
+@pytest.mark.parametrize(("few_rows", "cells"), [(1, 4), (20, 16), (10**6, 4096)])
+def test_quantiles_by_group(frame, few_rows, cells):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.gauss(0, 1e3), 7.0, -7.0, 0.0, rng.gauss(0, 1e-3)])) for _ in range(600)]
+    rows += [("hot", 5.0)] * 50 + [("hot", 5.0 + 1e-9)] * 50 + [("one", -3.0), ("two", 1e300), ("two", -1e300)]
+    df = frame(rows + [("void", None), ("void", math.nan), ("a", None)], "g string, x double")
+    disc = quantiles_by_group(df, ["g"], "x", {"lo": 0.1, "mid": 0.5, "top": 1.0, "least": 0.0}, few_rows=few_rows, cells=cells).collect()
+    assert {r["g"] for r in disc} == {"a", "b", None, "hot", "one", "two"}
+    for r in disc:
+        own = [x for g, x in rows if g == r["g"]]
+        assert (r["lo"], r["mid"], r["top"], r["least"]) == (by_rank(own, 0.1), by_rank(own, 0.5), max(own), min(own))
+        assert (r["n"], r["min_value"], r["max_value"]) == (len(own), min(own), max(own))
+        assert r["mean"] == pytest.approx(sum(own) / len(own), abs=1e-6)
+    for r in quantiles_by_group(df, ["g"], "x", {"q": 0.25}, interpolate=True, few_rows=few_rows, cells=cells).collect():
+        own = sorted(x for g, x in rows if g == r["g"])
+        at = (len(own) - 1) * 0.25
+        low = int(at)
+        assert r["q"] == pytest.approx(own[low] + (own[min(low + 1, len(own) - 1)] - own[low]) * (at - low))
+
+
+def test_quantiles_by_group_of_several_columns_and_of_no_rows(frame):
+    df = frame([("a", 1, math.inf), ("a", 1, 2.0), ("a", 2, -math.inf), (None, None, 4.0)], "g string, x int, n double")
+    got = {(r["g"], r["x"]): r["half"] for r in quantiles_by_group(df, ["g", "x"], "n", {"half": 0.5}).collect()}
+    assert got == {("a", 1): 2.0, ("a", 2): -math.inf, (None, None): 4.0}
+    assert quantiles_by_group(df.limit(0), ["g"], "n", {"half": 0.5}).count() == 0

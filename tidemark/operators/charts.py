@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from .prefix import grouped_quantiles
+from .quantiles import quantiles_by_group
 
 
 def _range(df: DataFrame, value: str):
@@ -102,20 +102,8 @@ def grouped_histogram(
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     """Row count, range, quartiles and mean per group; quartiles are interpolated."""
-    x, n = F.col(value), F.col("n")
-    return grouped_quantiles(
-        df,
-        [by],
-        value,
-        {"q1": 0.25, "median": 0.5, "q3": 0.75},
-        interpolate=True,
-        extra={
-            "rows": F.sum(n),
-            "min_value": F.min(x),
-            "max_value": F.max(x),
-            "mean": F.sum(n * x) / F.sum(n),
-        },
-    ).select(by, F.col("rows").alias("n"), "min_value", "q1", "median", "q3", "max_value", "mean")
+    found = quantiles_by_group(df, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, interpolate=True)
+    return found.select(by, "n", "min_value", "q1", "median", "q3", "max_value", "mean")
 
 
 def top_n(df: DataFrame, measure: str, key: str, n: int = fixed.TOP_ROWS) -> DataFrame:

@@ -18,10 +18,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import literal_frame
+from ..session import durable, literal_frame
 
 CELLS = 4096
 #: Most cell counts one pass may return.
@@ -206,6 +206,121 @@ def quantile_table(df: DataFrame, levels: Mapping[str, Sequence[float]], **optio
     return literal_frame(df.sparkSession, {"column_name": "string", "level": "double", "value": "double"}, rows)
 
 
+def _same_group(names: Sequence[str], other: str = "o") -> Column:
+    """Equal groups, null being a group too."""
+    on = F.lit(True)
+    for name in names:
+        on = on & F.col(f"r.{name}").eqNullSafe(F.col(f"{other}.{name}"))
+    return on
+
+
+def quantiles_by_group(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    levels: Mapping[str, float],
+    interpolate: bool = False,
+    few_rows: int = FEW_ROWS,
+    cells: int = CELLS,
+) -> DataFrame:
+    """Exact quantiles of many groups, with their row count, range and mean.
+
+    Returns ``by``, a column per named level, ``n``, ``min_value``, ``max_value``
+    and ``mean``.  Only counts per (group, cell) are shuffled: cells of a
+    logarithmic scale first, then even cuts of those cells that hold a wanted
+    rank, whose rows are the only ones counted again.  A cell with one value is
+    finished, and a cell of at most ``few_rows`` rows is counted by value, so a
+    group of any size and a value of any frequency are spread over all tasks.
+
+    Without ``interpolate`` a level gives the smallest value whose share reaches
+    it, with it the mix of both neighbouring order statistics.  Null and NaN
+    take no part; a group of such values only is left out.  Null is a group.
+    """
+    names = [f"g{i}" for i in range(len(by))]
+    x = F.col(value).cast("double")
+    rows = durable(
+        df.select(*[F.col(b).alias(g) for b, g in zip(by, names)], x.alias("x")).where(x.isNotNull() & ~F.isnan(x))
+    )
+    measured = [F.count("*").alias("c"), F.min("x").alias("low"), F.max("x").alias("high")]
+    counted = durable(rows.groupBy(*names, _log_cell(F.col("x")).alias("cell")).agg(*measured, F.sum("x").alias("total")))
+    groups = counted.groupBy(*names).agg(
+        F.sum("c").alias("n"),
+        F.min("low").alias("min_value"),
+        F.max("high").alias("max_value"),
+        (F.sum("total") / F.sum("c")).alias("mean"),
+    )
+
+    wanted = []
+    for name, level in levels.items():
+        exact = F.lit(str(level)).cast("decimal(10,8)")
+        if interpolate:
+            place = (F.col("n") - 1) * exact
+            wanted += [(f"{name} low", F.floor(place) + 1), (f"{name} high", F.ceil(place) + 1)]
+        else:
+            wanted.append((name, F.greatest(F.ceil(F.col("n") * exact), F.lit(1))))
+    asked = groups.select(
+        *names, F.explode(F.array(*[F.struct(F.lit(n).alias("name"), r.cast("long").alias("rank")) for n, r in wanted])).alias("a")
+    ).select(*names, "a.name", "a.rank")
+
+    def holding(counts: DataFrame, order: str, near: Sequence[str]) -> DataFrame:
+        """Of every (group, name) the cell with its rank, and the rank inside it."""
+        upto = F.sum("c").over(Window.partitionBy(*near).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+        below = F.col("upto") - F.col("c")
+        return (
+            counts.withColumn("upto", upto)
+            .where((F.col("upto") >= F.col("rank")) & (below < F.col("rank")))
+            .select(*names, "name", (F.col("rank") - below).alias("rank"), "c", "low", "high")
+        )
+
+    placed = counted.alias("r").join(asked.alias("o"), _same_group(names)).select(
+        *[f"r.{g}" for g in names], "name", "rank", "cell", "c", "low", "high"
+    )
+    found = durable(holding(placed, "cell", [*names, "name"]))
+    finished = []
+    while True:
+        finished.append(found.where("low = high").select(*names, "name", F.col("low").alias("x")))
+        most = found.where("low < high").agg(F.max("c")).first()[0]
+        if most is None:
+            break
+        # bounds of the open cells: a few per group, whatever the number of rows
+        spans = found.where("low < high").alias("o")
+        inside = (F.col("r.x") >= F.col("o.low")) & (F.col("r.x") <= F.col("o.high"))
+        low, high, value_of = F.col("o.low"), F.col("o.high"), F.col("r.x")
+        if most <= few_rows:
+            part = value_of
+        else:
+            # halves keep differences finite; the largest value has a cell of its own
+            width = F.greatest(high / 2 - low / 2, F.lit(5e-324))
+            even = F.least(F.floor((value_of / 2 - low / 2) / width * cells), F.lit(cells - 1))
+            part = F.when(value_of >= high, F.lit(cells)).otherwise(even).cast("double")
+        again = (
+            rows.alias("r")
+            .join(spans, _same_group(names) & inside)
+            .groupBy(*[F.col(f"r.{g}").alias(g) for g in names], "name", "rank", part.alias("cell"))
+            .agg(F.count("*").alias("c"), F.min("r.x").alias("low"), F.max("r.x").alias("high"))
+        )
+        found = durable(holding(again, "cell", [*names, "name"]))
+
+    values = finished[0]
+    for more in finished[1:]:
+        values = values.unionByName(more)
+    at = {n: F.max(F.when(F.col("name") == n, F.col("x"))) for n, _ in wanted}
+    ends = values.groupBy(*names).agg(*[e.alias(n) for n, e in at.items()])
+    picked = []
+    for name, level in levels.items():
+        if interpolate:
+            place = (F.col("n") - 1) * F.lit(str(level)).cast("decimal(10,8)")
+            share = (place - F.floor(place)).cast("double")
+            low, high = F.col(f"`{name} low`"), F.col(f"`{name} high`")
+            # equal neighbours need no mixing, which keeps infinite values
+            picked.append(F.when(low == high, low).otherwise(low + (high - low) * share).alias(name))
+        else:
+            picked.append(F.col(f"`{name}`"))
+    return groups.alias("r").join(ends.alias("o"), _same_group(names)).select(
+        *[F.col(f"r.{g}").alias(b) for b, g in zip(by, names)], *picked, "n", "min_value", "max_value", "mean"
+    )
+
+
 def approx_quantile_table(df: DataFrame, levels: Mapping[str, Sequence[float]]) -> DataFrame:
     """Sketch-based quantiles, rank error a tenth of the distance to the nearer end.
 
