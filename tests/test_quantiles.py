@@ -4,9 +4,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import clean_customers, clean_transactions, impute_median, parse_dates, winsorize
+from tidemark.operators.cleaning import clean_customers, clean_transactions, clean_with_thresholds, impute_median, parse_dates, winsorize
 from tidemark.operators.prefix import grouped_quantiles, running_sums
-from tidemark.operators.quantiles import approx_quantile_table, exact_quantiles, quantile_table, quantiles_by_group
+from tidemark.operators.quality import empirical_thresholds
+from tidemark.operators.quantiles import approx_quantile_table, exact_quantiles, filled_quantiles, quantile_table, quantiles_by_group
 
 LEVELS = [0.0, 0.01, 0.1, 0.33, 0.5, 0.9, 0.99, 1.0]
 
@@ -180,3 +181,39 @@ def test_quantiles_by_group_of_several_columns_and_of_no_rows(frame):
     got = {(r["g"], r["x"]): r["half"] for r in quantiles_by_group(df, ["g", "x"], "n", {"half": 0.5}).collect()}
     assert got == {("a", 1): 2.0, ("a", 2): -math.inf, (None, None): 4.0}
     assert quantiles_by_group(df.limit(0), ["g"], "n", {"half": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quantiles_of_filled_columns(frame, seed):
+    rng = random.Random(seed)
+    share = [0.0, 0.2, 0.9, 0.5][seed]
+    rows = [
+        tuple(None if rng.random() < share else rng.choice([rng.gauss([5, -5][seed % 2], 9), 2.0, 0.0, -1.0]) for _ in "ab") + (None,)
+        for _ in range(150)
+    ]
+    levels = {"a": [0.0, 0.1, 0.33, 0.5, 0.66, 1.0], "b": [0.1, 0.3, 0.9], "void": [0.5]}
+    medians, found = filled_quantiles(frame(rows, "a double, b double, void double"), levels, {"b": 0.0})
+    for i, c in enumerate(("a", "b")):
+        middle = by_rank([r[i] for r in rows], 0.5)
+        filled = [middle if r[i] is None else r[i] for r in rows]
+        kept = [v for v in filled if c == "a" or v > 0]
+        assert medians[c] == middle
+        assert found[c] == [by_rank(kept, p) for p in levels[c]]
+    assert (medians["void"], found["void"]) == (None, [None])
+
+
+def test_cleaning_with_thresholds_is_cleaning_and_then_thresholds(frame):
+    rng = random.Random(9)
+    people = frame(
+        [(str(i), rng.choice(["male ", None, "FEMALE"]), rng.choice([None, 200.0, 18.5, rng.uniform(18, 90)]), rng.choice([None, rng.uniform(0, 9e4)])) for i in range(80)],
+        "id string, gender string, age double, income double",
+    )
+    moves = frame(
+        [(str(i % 9), rng.choice(["2024-01-05", "x", None]), "1.5", rng.choice([None, rng.gauss(10, 30)])) for i in range(200)],
+        "id string, dt string, amount string, balance double",
+    )
+    for known in (moves, moves.limit(0), moves.withColumn("balance", -F.abs("balance"))):
+        got_people, got_moves, thresholds = clean_with_thresholds(people, known)
+        assert sorted(map(str, got_people.collect())) == sorted(map(str, clean_customers(people).collect()))
+        assert sorted(map(str, got_moves.collect())) == sorted(map(str, clean_transactions(known).collect()))
+        assert thresholds == empirical_thresholds(clean_transactions(known), clean_customers(people))

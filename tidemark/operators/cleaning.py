@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed_values as fixed
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, filled_quantiles
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], flags: Mapping[str, str] | None = None) -> DataFrame:
@@ -19,10 +19,13 @@ def impute_median(df: DataFrame, columns: Sequence[str], flags: Mapping[str, str
     no value at all stays null.
     """
     medians = exact_quantiles(df, {c: [0.5] for c in columns})
+    return fill(df, {c: medians[c][0] for c in columns}, flags)
+
+
+def fill(df: DataFrame, values: Mapping[str, float | None], flags: Mapping[str, str] | None = None) -> DataFrame:
+    """Replace nulls by known values; flags are taken before that."""
     marked = df.withColumns({flag: C.missing_flag(F.col(c)) for c, flag in (flags or {}).items()})
-    return marked.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(m)) for c in columns if (m := medians[c][0]) is not None}
-    )
+    return marked.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items() if v is not None})
 
 
 def winsorize(
@@ -43,10 +46,12 @@ def clean_customers(df: DataFrame, gender="gender", age="age", income="income")
 
     Large incomes are kept: capping is a separate, explicit step.
     """
-    valid = df.withColumns(
-        {gender: C.normalize_category(F.col(gender)), age: C.null_outside(F.col(age))}
-    )
-    return impute_median(valid, [age, income]).withColumn(age, F.col(age).cast("int"))
+    return impute_median(valid_customers(df, gender, age), [age, income]).withColumn(age, F.col(age).cast("int"))
+
+
+def valid_customers(df: DataFrame, gender="gender", age="age") -> DataFrame:
+    """Canonical gender, implausible ages removed, nothing filled."""
+    return df.withColumns({gender: C.normalize_category(F.col(gender)), age: C.null_outside(F.col(age))})
 
 
 def clean_applications(df: DataFrame, date="dt", amount="amount") -> DataFrame:
@@ -61,5 +66,29 @@ def clean_transactions(
 
     Negative balances are kept: whether they are overdrafts is for the report.
     """
-    typed = df.withColumns({date: F.col(date).try_cast("date"), amount: F.col(amount).try_cast("double")})
-    return impute_median(typed, [balance], {balance: flag})
+    return impute_median(typed_transactions(df, date, amount), [balance], {balance: flag})
+
+
+def typed_transactions(df: DataFrame, date="dt", amount="amount") -> DataFrame:
+    return df.withColumns({date: F.col(date).try_cast("date"), amount: F.col(amount).try_cast("double")})
+
+
+def clean_with_thresholds(
+    customers: DataFrame, transactions: DataFrame, balance="balance", age="age", income="income", flag="balance_missing"
+) -> tuple[DataFrame, DataFrame, dict[str, float | None]]:
+    """Cleaned customers and transactions, and the thresholds that the cleaned columns have.
+
+    The same as cleaning both tables and then asking for the low-balance limit
+    and the age tertiles, with one set of passes over each table: medians and
+    thresholds come from the same counts.
+    """
+    people, moves = valid_customers(customers, age=age), typed_transactions(transactions)
+    of_people, ages = filled_quantiles(people, {age: fixed.AGE_TERTILE_LEVELS, income: ()})
+    of_moves, balances = filled_quantiles(moves, {balance: [fixed.LOW_BALANCE_LEVEL]}, {balance: 0.0})
+    # whole years, as the cleaned column holds them
+    young, middle = (None if v is None else float(int(v)) for v in ages[age])
+    return (
+        fill(people, of_people).withColumn(age, F.col(age).cast("int")),
+        fill(moves, of_moves, {balance: flag}),
+        {"low_balance_threshold": balances[balance][0], "age_tertile_33": young, "age_tertile_66": middle},
+    )

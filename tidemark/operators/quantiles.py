@@ -14,7 +14,7 @@ The result is the smallest value whose cumulative share reaches the level, as
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -158,28 +158,26 @@ def _holding(spans: Sequence[Span], rank: int) -> Span:
     return next(s for s in spans if s.below + s.rows >= rank)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    levels: Mapping[str, Sequence[float]],
+def values_at_ranks(
+    data: DataFrame,
+    names: Sequence[str],
+    ranks_of: Callable[[dict[str, int]], Mapping[str, Iterable[int]]],
     few_rows: int = FEW_ROWS,
     cells: int = CELLS,
-) -> dict[str, list[float | None]]:
-    """Quantiles of several columns at once, as driver-side numbers.
+) -> dict[tuple[str, int], float]:
+    """Order statistics of several double columns from shared passes.
 
-    A column without any value yields ``None`` for each level.
+    ``ranks_of`` gets the number of values of each column, known after the first
+    pass, and names the ranks wanted (from 1); ranks beyond a column are left out.
     """
-    columns = list(levels)
-    names = [f"x{i}" for i in range(len(columns))]
-    data = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)])
-
-    ranks: dict[tuple[int, float], int] = {}
-    place: dict[tuple[int, int], Span] = {}
-    for i, found in enumerate(first_cells(data, names)):
-        total = found[-1].below + found[-1].rows if found else 0
-        for level in levels[columns[i]] if total else ():
-            rank = ranks[i, level] = _rank(level, total)
-            place[i, rank] = _holding(found, rank)
-
+    first = dict(zip(names, first_cells(data, names), strict=True))
+    totals = {n: found[-1].below + found[-1].rows if found else 0 for n, found in first.items()}
+    place = {
+        (n, rank): _holding(first[n], rank)
+        for n, ranks in ranks_of(totals).items()
+        for rank in ranks
+        if 1 <= rank <= totals[n]
+    }
     while spans := list(dict.fromkeys(s for s in place.values() if s.low < s.high)):
         if sum(s.rows for s in spans) <= few_rows:
             # at most ``few_rows`` distinct values are left
@@ -189,14 +187,75 @@ def exact_quantiles(
         else:
             split = count_cells(data, names, spans, cells)
         inner = {spans[number]: found for number, found in split.items()}
-        place.update(
-            {(i, rank): _holding(inner[s], rank) for (i, rank), s in place.items() if s.low < s.high}
-        )
+        place.update({at: _holding(inner[s], at[1]) for at, s in place.items() if s.low < s.high})
+    return {at: s.low for at, s in place.items()}
 
-    return {
-        c: [place[i, ranks[i, p]].low if (i, p) in ranks else None for p in levels[c]]
-        for i, c in enumerate(columns)
-    }
+
+def exact_quantiles(
+    df: DataFrame,
+    levels: Mapping[str, Sequence[float]],
+    few_rows: int = FEW_ROWS,
+    cells: int = CELLS,
+) -> dict[str, list[float | None]]:
+    """Quantiles of several columns at once, as driver-side numbers.
+
+    A column without any value yields ``None`` for each level.
+    """
+    names = {c: f"x{i}" for i, c in enumerate(levels)}
+    data = df.select(*[F.col(c).cast("double").alias(n) for c, n in names.items()])
+    ranks: dict[str, list[int]] = {}
+
+    def ranks_of(totals: dict[str, int]):
+        ranks.update({n: [_rank(p, totals[n]) for p in levels[c]] for c, n in names.items()})
+        return ranks
+
+    found = values_at_ranks(data, list(names.values()), ranks_of, few_rows, cells)
+    return {c: [found.get((n, rank)) for rank in ranks[n]] for c, n in names.items()}
+
+
+def filled_quantiles(
+    df: DataFrame, levels: Mapping[str, Sequence[float]], above: Mapping[str, float] | None = None
+) -> tuple[dict[str, float | None], dict[str, list[float | None]]]:
+    """Medians of columns, and quantiles that the columns have once nulls are filled by them.
+
+    ``above`` limits the quantiles of a column to values over a number.  Both come
+    from the same passes: filling adds copies of one known value, which moves a
+    rank by at most their number, so the value at a rank of the filled column is
+    the middle one of the median and two order statistics of the given values.
+    """
+    above = above or {}
+    data, kinds = [], {}
+    for i, c in enumerate(levels):
+        x = F.col(c).cast("double")
+        kept = x if c not in above else F.when(x > F.lit(above[c]), x)
+        kinds[c] = whole, part, missing = f"x{i}", f"kept{i}", f"missing{i}"
+        data += [x.alias(whole), kept.alias(part), F.when(x.isNull(), F.lit(0.0)).alias(missing)]
+    asked: dict[str, list[tuple[int, int, int]]] = {}
+
+    def ranks_of(totals: dict[str, int]):
+        wanted = {}
+        for c, (whole, part, missing) in kinds.items():
+            copies = totals[missing]
+            asked[c] = []
+            for p in levels[c]:
+                # the copies count or do not, which the median decides
+                rank = _rank(p, totals[part] + copies)
+                asked[c].append((_rank(p, totals[part]), rank, rank - copies))
+            wanted[whole] = [_rank(0.5, totals[whole])]
+            wanted[part] = [r for ranks in asked[c] for r in ranks]
+        return wanted
+
+    names = [n for kind in kinds.values() for n in kind]
+    found = values_at_ranks(df.select(*data), names, ranks_of)
+    medians = {c: next((v for (n, _), v in found.items() if n == kinds[c][0]), None) for c in levels}
+
+    def value(c: str, alone: int, rank: int, lower: int) -> float | None:
+        part, middle = kinds[c][1], medians[c]
+        if middle is None or (c in above and not middle > above[c]):
+            return found.get((part, alone))
+        return sorted([found.get((part, lower), -math.inf), middle, found.get((part, rank), math.inf)])[1]
+
+    return medians, {c: [value(c, *ranks) for ranks in asked[c]] for c in levels}
 
 
 def quantile_table(df: DataFrame, levels: Mapping[str, Sequence[float]], **options) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..operators import activity, charts, cleaning, evaluation, modeling, quality, selection
+from ..operators import activity, charts, cleaning, evaluation, modeling, selection
 from ..session import durable, literal_frame
 from ..sources import tables
 from .customer import application_features, customer_features, feature_columns
@@ -48,10 +48,8 @@ class Prepared:
 
 def prepare(customers: DataFrame, applications: DataFrame, transactions: DataFrame, settings: Settings) -> Prepared:
     """Clean tables, customer and application features, split."""
-    people = cleaning.clean_customers(customers)
+    people, moves, thresholds = cleaning.clean_with_thresholds(customers, transactions)
     asked = cleaning.clean_applications(applications)
-    moves = cleaning.clean_transactions(transactions)
-    thresholds = quality.empirical_thresholds(moves, people)
     table = customer_features(people, asked, moves, thresholds, settings.as_of, cap_kpis=settings.cap_kpis)
     known = {"transactions": moves, "low_balance_threshold": thresholds["low_balance_threshold"]} if settings.point_in_time else {}
     rows = durable(modeling.encode_gender(application_features(asked, table, settings.strict_history, **known)))

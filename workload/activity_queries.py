@@ -170,10 +170,8 @@ KPI_SQL = (
 
 def prepared_tables(spark, folder):
     """Cleaned customers, applications and transactions, thresholds, customer table."""
-    people = cleaning.clean_customers(raw_customers(spark, folder))
+    people, moves, thresholds = cleaning.clean_with_thresholds(raw_customers(spark, folder), staged_transactions(spark, folder))
     asked = cleaning.clean_applications(raw_applications(spark, folder))
-    moves = cleaning.clean_transactions(staged_transactions(spark, folder))
-    thresholds = quality.empirical_thresholds(moves, people)
     features = plans.customer_features(people, asked, moves, thresholds, AS_OF)
     return people, asked, moves, features
 
@@ -223,9 +221,8 @@ def _rounded_columns(columns, source):
 
 @query("asof_customer_kpis", using("asof_kpis", f"SELECT app_id, {_rounded_columns(_ASOF, 'k')} FROM asof_kpis k"))
 def asof_customer_kpis(spark, folder):
-    people = cleaning.clean_customers(raw_customers(spark, folder))
-    moves = cleaning.clean_transactions(staged_transactions(spark, folder))
-    low = quality.empirical_thresholds(moves, people)["low_balance_threshold"]
+    people, moves, thresholds = cleaning.clean_with_thresholds(raw_customers(spark, folder), staged_transactions(spark, folder))
+    low = thresholds["low_balance_threshold"]
     found = plans.asof_customer_kpis(raw_applications(spark, folder), people, moves, low)
     return rounded(found.select("app_id", *_ASOF), {c: d for c, d in _KPI_DIGITS.items() if c in _ASOF})
 
