@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from tidemark.llm import line_dedup, quality_rules
 
 
@@ -70,6 +72,31 @@ def test_base_counts_and_verdicts(documents, edges):
     assert quality_rules.apply_rules(documents([])).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("line", "fails"),
+    [
+        ("ALL RIGHTS RESERVED.", True),
+        ("Terms of Service apply.", True),
+        ("Licensed undertakings end.", False),
+        ("Alle Rechte vorbehalten.", True),
+        ("Unsere Datenschutzerklärungen gelten.", True),
+        ("Tous droits réservés.", True),
+        ("Les Conditions d'utilisation changent.", True),
+        ("Todos los derechos reservados.", True),
+        ("Haga clic aquí.", True),
+        ("Sie klicken nicht hier.", False),
+        ("La política no es privada.", False),
+    ],
+)
+def test_boilerplate_of_every_language(line, fails):
+    assert quality_rules.line_fails(line, len(line.split()), 0.25, 8, 3) is fails
+
+
+def test_phrases_are_lower_case_and_begin_with_a_letter():
+    for own in quality_rules.PHRASES.values():
+        assert all(p == p.lower() and p[0].isascii() and p[0].isalpha() for p in own)
+
+
 def test_a_very_long_text(documents):
     text = "\n".join(f"Sentence {i} has its own number {i * 7}, and some words." for i in range(40_000))
     r = quality_rules.apply_rules(documents([(1, text), (2, None)])).where("doc_id = 1").first()

@@ -30,10 +30,28 @@ RESULT = T.StructType(
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 #: A line that is a list of short links: parts between bars, arrows, bullets or slashes.
 SEPARATORS = re.compile(r"[ \t-\r](?:\||»|›|·|•|>|/)(?:[ \t-\r]|\Z)")
-BOILERPLATE = re.compile(
-    r"(?ai)\b(?:all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy"
-    r"|cookie policy|accept cookies|enable javascript|subscribe to our newsletter|click here to|sign up now)\b"
-)
+#: Notices and calls to action by language of the corpus; fixed wording in lower case.
+PHRASES = {
+    "en": (
+        "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy",
+        "cookie policy", "accept cookies", "enable javascript", "subscribe to our newsletter", "click here to", "sign up now",
+    ),
+    "de": (
+        "alle rechte vorbehalten", "lizenziert unter", "veröffentlicht unter der", "nutzungsbedingungen", "datenschutzerklärung",
+        "cookie-richtlinie", "cookies akzeptieren", "javascript aktivieren", "newsletter abonnieren", "klicken sie hier", "jetzt registrieren",
+    ),
+    "fr": (
+        "tous droits réservés", "distribué sous licence", "conditions d'utilisation", "politique de confidentialité",
+        "politique de cookies", "accepter les cookies", "activer javascript", "abonnez-vous à notre", "cliquez ici", "inscrivez-vous maintenant",
+    ),
+    "es": (
+        "todos los derechos reservados", "publicado bajo licencia", "términos de uso", "términos de servicio", "política de privacidad",
+        "política de cookies", "aceptar cookies", "activar javascript", "suscríbase a nuestro", "haga clic aquí", "regístrese ahora",
+    ),
+}
+#: A phrase begins a word; an English one ends a word too, the others may be inflected.
+PATTERN = r"\b(?:" + "|".join(p + r"\b" * (lang == "en") for lang, own in PHRASES.items() for p in own) + ")"
+BOILERPLATE = re.compile(PATTERN.encode())
 #: A word that ends in a mark.
 MARKED = re.compile(r"[.!?…:;\"'”’»)\]。！？](?:[ \t-\r]|\Z)")
 
@@ -42,15 +60,16 @@ def line_fails(line: str, words: int, symbol_share: float, min_words: int, min_p
     """Whether a line of so many words (at least one) is navigation, boilerplate or badly punctuated.
 
     * navigation: at least ``min_parts`` parts between separators;
-    * boilerplate: one of the fixed phrases;
+    * boilerplate: one of the fixed phrases (A-Z as a-z), whatever the line's language;
     * punctuation: more symbol characters than ``symbol_share`` of its words, or
       ``min_words`` words or more, none of which ends in a mark.
     """
     if len(SEPARATORS.findall(line)) + 1 >= min_parts:
         return True
-    if BOILERPLATE.search(line):
+    raw = line.encode()
+    if BOILERPLATE.search(raw.lower()):
         return True
-    if len(SYMBOLS.findall(line.encode())) > symbol_share * words:
+    if len(SYMBOLS.findall(raw)) > symbol_share * words:
         return True
     return words >= min_words and not MARKED.search(line)
 

@@ -119,7 +119,7 @@ with base as (
   select doc_id, count(*) filter (where nth > 1) as n_dup_lines,
          coalesce(sum(len(w)) filter (where
            len(regexp_extract_all(line, '[\\x20\\x09-\\x0D](\\||»|›|·|•|>|/)([\\x20\\x09-\\x0D]|$)')) + 1 >= 3
-           or regexp_matches(line, '(?i)\\b(all rights reserved|licensed under|released under the|terms of (use|service)|privacy policy|cookie policy|accept cookies|enable javascript|subscribe to our newsletter|click here to|sign up now)\\b')
+           or regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'PHRASES')
            or len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.25 * len(w)
            or (len(w) >= 8 and not regexp_matches(line, '[.!?…:;"''”’»)\\]。！？]([\\x20\\x09-\\x0D]|$)'))
          ), 0) as lost
@@ -140,7 +140,7 @@ with base as (
 select *, (n_words < 10 or 100 * n_repeat_words > 20 * n_words) as base_failed,
        not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words_lost <= 0.3 * n_words as kept
 from counted
-"""
+""".replace("PHRASES", quality_rules.PATTERN.replace("'", "''"))
 
 
 @query("op7_quality_rules", QUALITY_SQL)
