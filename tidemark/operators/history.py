@@ -69,13 +69,17 @@ def application_history(
     rows = df.withColumns(
         {"_day": day_number(F.col(date)), "_hit": hit, "_won": F.when(hit == 1, F.col(amount))}
     )
+    whole = rows.withColumn("_block", F.lit(0))
     if strict:
-        rows = rows.withColumn("_block", F.lit(0))
-        known = F.col(date).isNotNull()
+        rows = whole
+        blocks = history_blocks(rows.where(F.col(date).isNotNull()), key)
     else:
-        rows = cut_days(rows, key, tiebreak, block_rows)
-        known = F.lit(True)
-    offsets = earlier_totals(history_blocks(rows.where(known), key), key, strict)
+        # one combination tells both the totals of a day and whether a day must be cut
+        blocks = durable(history_blocks(whole, key))
+        heavy = (blocks.agg(F.max("n")).first()[0] or 0) > block_rows
+        rows = cut_days(rows, key, tiebreak, block_rows, blocks) if heavy else whole
+        blocks = history_blocks(rows, key) if heavy else blocks
+    offsets = earlier_totals(blocks, key, strict)
     carried = []
     if attributes is not None:
         carried = [c for c in attributes.columns if c != key]
@@ -111,12 +115,15 @@ def application_history(
     )
 
 
-def cut_days(rows: DataFrame, key: str, tiebreak: str, block_rows: int) -> DataFrame:
+def cut_days(rows: DataFrame, key: str, tiebreak: str, block_rows: int, days: DataFrame | None = None) -> DataFrame:
     """Add ``_block``: 0, or for a customer's day of more than ``block_rows`` rows a range of numbers.
 
-    The cuts are approximate quantiles of the numbers; only balance depends on them.
+    ``days`` holds the rows ``n`` per customer and day, if they are known.  The
+    cuts are approximate quantiles of the numbers; only balance depends on them.
     """
-    heavy = durable(rows.groupBy(key, "_day").agg(F.count("*").alias("_n")).where(F.col("_n") > block_rows))
+    if days is None:
+        days = rows.groupBy(key, "_day").agg(F.count("*").alias("n"))
+    heavy = durable(days.where(F.col("n") > block_rows).select(key, "_day", F.col("n").alias("_n")))
     most = heavy.agg(F.max("_n")).first()[0]
     if most is None:
         return rows.withColumn("_block", F.lit(0))
