@@ -14,7 +14,7 @@ from tidemark.session import scratch_path
 from tidemark.sources import tables
 
 from .registry import query, r, rounded
-from .views import AS_OF, raw_applications, raw_customers, staged_transactions, table, using
+from .views import AS_OF, raw_applications, raw_customers, raw_transactions, staged_transactions, table, using
 
 
 @query(
@@ -56,6 +56,38 @@ def sink_parquet(spark, folder):
     return spark.read.parquet(path)
 
 
+@query(
+    "load_tables",
+    using(
+        "raw_customers raw_applications raw_transactions",
+        f"""SELECT c.id, c.gender, c.age, c.income, coalesce(asked, 0) AS asked, taken, last_asked, coalesce(moves, 0) AS moves,
+                   {r("net", 4)} AS net, low_balance
+            FROM raw_customers c
+            LEFT JOIN (SELECT id, count(*) AS asked, count(*) FILTER (outcome = 'TakeUp') AS taken, max(dt) AS last_asked
+                       FROM raw_applications GROUP BY id) a ON a.id = c.id
+            LEFT JOIN (SELECT id, count(*) AS moves, sum(amount) AS net, min(balance) AS low_balance
+                       FROM raw_transactions GROUP BY id) t ON t.id = c.id""",
+    ),
+)
+def load_tables(spark, folder):
+    """The three tables from files of two kinds, each read with its declared types."""
+    root = scratch_path(spark, "mixed")
+    raw_customers(spark, folder).write.parquet(f"{root}/customers.parquet")
+    raw_applications(spark, folder).write.option("header", True).csv(f"{root}/applications")
+    raw_transactions(spark, folder).write.option("header", True).csv(f"{root}/transactions")
+    customers, applications, transactions = tables.load_tables(
+        spark, f"{root}/customers.parquet", f"{root}/applications", f"{root}/transactions"
+    )
+    asked = applications.groupBy("id").agg(
+        F.count("*").alias("asked"), F.count_if(F.col("outcome") == "TakeUp").alias("taken"), F.max(F.col("dt").try_cast("date")).alias("last_asked")
+    )
+    moves = transactions.groupBy("id").agg(
+        F.count("*").alias("moves"), F.sum("amount").alias("net"), F.min("balance").alias("low_balance")
+    )
+    known = customers.select("id", "gender", "age", "income").join(asked, "id", "left").join(moves, "id", "left")
+    return rounded(known.fillna(0, ["asked", "moves"]), {"net": 4})
+
+
 @query("normalize_category", using("valid_customers", "SELECT id, gender FROM valid_customers"))
 def normalize_category(spark, folder):
     return raw_customers(spark, folder).select("id", C.normalize_category(F.col("gender")).alias("gender"))
