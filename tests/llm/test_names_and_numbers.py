@@ -78,6 +78,17 @@ def test_large_numbers_beside_null_ones_in_the_classifier(spark):
     assert threshold in known  # a held-out document's own value: no approximation
 
 
+def test_texts_of_one_number_are_dealt_to_several_blocks(spark):
+    rows = [(7 if i % 3 else i, f"text {i} has its own words " + "and more of them " * (i % 5), "en") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = docs.where("doc_id % 2 = 1").select("doc_id")
+    one, many = (
+        sorted((r.doc_id, round(r.perplexity, 6), r.kept) for r in perplexity.classify(docs, trusted, block_bytes=size).collect())
+        for size in (1 << 20, 500)
+    )
+    assert one == many and len(one) == 120
+
+
 def passed_on(sizes, groups, capacity, fan_in, limit):
     """Sequences of the same rounds, every underfull bin passed on."""
     held = [np.sort(np.array(s, dtype=np.int64))[::-1] for s in groups]

@@ -144,7 +144,7 @@ def classify(
     Trusted documents are those whose number is in ``trusted`` (column
     ``doc_id``).  One in ``held_out`` of them, by a hash of the number, is kept
     back; the model is trained on the whole texts of all the others.  Texts are dealt to blocks of about
-    ``block_bytes`` by a hash; a block tells once of each gram that it holds how
+    ``block_bytes`` by a hash of number and text; a block tells once of each gram that it holds how
     often its training texts have it.  The sums of these counts are the model's
     tables; the distinct grams of all blocks are joined with them, shard by
     shard, and each block scores its texts with the answers.  A document is kept if its
@@ -164,11 +164,15 @@ def classify(
     )
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    dealt = rows.withColumn(
-        "block", F.pmod(F.when(F.col("id").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("id")), F.lit(blocks))
-    )
+    # by number and text, so that rows of one number do not fill a block
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(blocks)))
     filled = dealt.where(F.length("t") > 0)
-    training = ids.where(~is_out).withColumn("block", F.pmod(F.xxhash64("t_id"), F.lit(blocks)))
+    training = (
+        filled.select(F.col("block").alias("of"), F.col("id").alias("own"))
+        .join(ids.where(~is_out), F.col("own") == F.col("t_id"), "left_semi")
+        .distinct()
+        .select(F.col("of").alias("block"), F.col("own").alias("t_id"))
+    )
 
     def ask(key, texts: pd.DataFrame, taught: pd.DataFrame) -> pd.DataFrame:
         """The distinct grams of a block, and how often its training texts hold each."""
