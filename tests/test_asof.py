@@ -6,7 +6,8 @@ from datetime import date, timedelta
 
 import pytest
 
-from tidemark.operators.asof import ASOF_MEASURES, asof_activity_profile
+from tidemark.operators.asof import ASOF_MEASURES, asof_activity_profile, customer_days
+from tidemark.operators.history import DAY, application_history
 from tidemark.plans import customer as plans
 
 MOVES = "id string, dt date, amount double, balance double"
@@ -93,3 +94,59 @@ def test_features_need_a_threshold(frame):
     table = frame([], "id string")
     with pytest.raises(ValueError, match="threshold"):
         plans.application_features(frame([], ASKED), table, transactions=frame([], MOVES))
+
+
+def operators_of(df, name):
+    """How often an operator occurs in the plan that would run."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return sum(line.strip(" +-:").startswith(name) for line in text.splitlines())
+
+
+def test_days_are_placed_and_sorted_once(frame):
+    moves, asked = sample(4)
+    days = customer_days(frame(moves, MOVES), 5.0, frame(asked, ASKED))
+    # to (customer, day), then to customer, where every window takes the same order
+    assert operators_of(days, "Exchange") == 2
+    assert operators_of(days, "Sort ") == 1
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_one_walk_serves_applications_and_customers(frame, seed):
+    from tidemark.operators.activity import activity_profile
+
+    moves, asked = sample(seed)
+    moves += [("undated", None, 3.0, 4.0), ("unpaid", date(2024, 1, 2), None, 4.0), ("unpaid", date(2024, 2, 2), 6.0, 1.0)]
+    asked.append(("never moved", 500, date(2024, 3, 1), "r", 1, "n", "x"))
+    held, rows = frame(moves, MOVES), frame(asked, ASKED)
+    days = customer_days(held, 5.0, rows).localCheckpoint()
+    nothing = frame([], MOVES)
+    assert sorted(map(str, asof_activity_profile(rows, nothing, 0.0, days=days).collect())) == sorted(
+        map(str, asof_activity_profile(rows, held, 5.0).collect())
+    )
+    found = {r["id"]: r for r in activity_profile(nothing, 0.0, days=days).collect()}
+    assert set(found) == {m[0] for m in moves}
+    for who, r in found.items():
+        mine = [m for m in moves if m[0] == who]
+        balances = [m[3] for m in mine if m[3] is not None]
+        months = {}
+        for m in mine:
+            months.setdefault(m[1] and (m[1].year, m[1].month), []).append(m[2])
+        nets = [sum(a for a in got if a is not None) for got in months.values() if any(a is not None for a in got)]
+        falls = brute([(*m[:2], m[2] or 0.0, m[3]) for m in moves], who, date(2030, 1, 1), 5.0)[5]
+        assert (r.total_transactions_count, r.low_balance_frequency) == (len(mine), sum(b < 5.0 for b in balances))
+        assert r.avg_balance == pytest.approx(statistics.fmean(balances))
+        assert r.net_cash_flow == pytest.approx(statistics.fmean(nets))
+        if len(balances) > 1:
+            assert r.balance_std == pytest.approx(statistics.stdev(balances))
+        if who is not None:
+            assert r.drawdown_per_day == (None if falls is None else pytest.approx(falls))
+
+
+def test_application_rows_are_placed_once(frame):
+    asked = frame([("a", 1, date(2024, 1, 5), 5.0, "TakeUp"), ("a", 2, None, 6.0, None)], "id string, app_id long, dt date, amount double, outcome string")
+    held = frame([("a", date(2024, 1, 1), 1.0, 1.0, 0)], MOVES + ", balance_missing int")
+    days = customer_days(held, 5.0, asked).localCheckpoint()
+    history = application_history(asked, strict=True, keep_day=True)
+    found = asof_activity_profile(history, held, 5.0, days=days, day_column=DAY)
+    assert operators_of(found, "Exchange") == operators_of(history, "Exchange") + 1
+    assert sorted(r.total_transactions_count for r in found.collect()) == [0, 1]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_number, month_of, year_month
+from .asof import ASOF_MEASURES, customer_days
 
 
 def daily_balance_range(df: DataFrame, key="id", date="dt", balance="balance") -> DataFrame:
@@ -156,65 +157,23 @@ def activity_profile(
     amount="amount",
     balance="balance",
     peak_balance: Column | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """All per-customer activity measures from one scan.
 
-    Two shuffles: one to (customer, day), one to customer.  The windows and the
-    monthly and customer aggregates all reuse the second.  The deviation is
-    merged from daily counts, means and squared deviations, measured against the
-    customer's mean so that no large squares are subtracted.  ``peak_balance``
-    is the balance drawdown looks at (default: ``balance``).
+    Two shuffles: one to (customer, day), one to customer, where one sort serves
+    all windows (``customer_days``).  The deviation is merged from daily counts,
+    means and squared deviations, measured around the first day's mean so that
+    no large squares are subtracted.  ``peak_balance`` is the balance drawdown
+    looks at (default: ``balance``).  ``days`` is the result of ``customer_days``
+    for the same arguments, where a caller has it; applications make no difference.
     """
-    held = F.col(balance) if peak_balance is None else peak_balance
-    daily = (
-        df.select(key, date, amount, F.col(balance).alias("_balance"), held.alias("_held"))
-        .groupBy(key, date)
-        .agg(
-            F.count("*").alias("rows"),
-            F.sum(amount).alias("net"),
-            F.count("_balance").alias("known"),
-            F.avg("_balance").alias("mean"),
-            F.var_pop("_balance").alias("spread"),
-            F.count_if(F.col("_balance") < F.lit(low_balance_threshold)).alias("low_rows"),
-            F.max("_held").alias("high"),
-            F.min("_held").alias("low"),
-        )
-        .withColumn("month", month_of(F.col(date)))
-    )
-    # one placement and one sort serve both windows and the monthly aggregate
-    customer = Window.partitionBy(key)
-    centre = F.sum(F.col("known") * F.col("mean")).over(customer) / F.nullif(
-        F.sum("known").over(customer), F.lit(0)
-    )
-    placed = _with_peak(daily.repartition(key), key, date).withColumn("centre", centre)
-
-    after_peak = F.col("low").isNotNull() & (F.col(date) >= F.col("peak_date"))
-    lowest = F.min(F.when(after_peak, F.struct(F.col("low").alias("balance"), F.col(date).alias("at"))))
-    monthly = placed.groupBy(key, "month").agg(
-        F.sum("rows").alias("rows"),
-        F.sum("net").alias("net"),
-        F.sum("low_rows").alias("low_rows"),
-        F.sum("known").alias("known"),
-        F.first("centre").alias("centre"),
-        F.sum(F.col("known") * (F.col("spread") + F.pow(F.col("mean") - F.col("centre"), 2))).alias("squares"),
-        F.first("peak_balance").alias("peak_balance"),
-        F.first("peak_date").alias("peak_date"),
-        lowest.alias("trough"),
-    )
-    days = F.datediff(F.col("trough.at"), F.col("peak_date"))
-    fall = F.when(days > 0, (F.col("peak_balance") - F.col("trough.balance")) / days)
-    known = F.sum("known")
-    return (
-        monthly.withColumn("fall", fall)
-        .groupBy(key)
-        .agg(
-            F.first("centre").alias("avg_balance"),
-            F.when(known > 1, F.sqrt(F.sum("squares") / (known - 1))).alias("balance_std"),
-            F.sum("rows").alias("total_transactions_count"),
-            F.avg("net").alias("net_cash_flow"),
-            F.sum("low_rows").alias("low_balance_frequency"),
-            F.avg("fall").alias("drawdown_per_day"),
+    if days is None:
+        days = customer_days(
+            df, low_balance_threshold, None, key, date, date, amount, balance, peak_balance
         )
+    return days.where(F.col("whole").isNotNull()).select(
+        F.col("owner").alias(key), *[f"whole.{n}" for n in ASOF_MEASURES]
     )
 
 

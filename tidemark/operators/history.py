@@ -18,6 +18,8 @@ from ..functions.columns import day_number, rate_or_marker
 from ..session import durable
 
 BLOCK = 1_000_000
+#: Column with the number of an application's day.
+DAY = "_day"
 
 
 def accepted_flag(outcome="outcome", accepted=fixed.ACCEPTED):
@@ -50,6 +52,7 @@ def application_history(
     strict: bool = False,
     attributes: DataFrame | None = None,
     block_rows: int = BLOCK,
+    keep_day: bool = False,
 ) -> DataFrame:
     """Each application with the counts and amounts of the same customer's earlier ones.
 
@@ -63,7 +66,9 @@ def application_history(
 
     ``attributes`` holds one row per key.  Its columns reach the applications
     together with the offsets: they are joined to the few blocks of a customer,
-    which are keyed by customer already, and not to the application rows.
+    which are keyed by customer already, and not to the application rows.  ``keep_day`` adds
+    the number of the day, :data:`DAY`, by which and the customer a strict history
+    places its rows, so that a next join by them moves nothing.
     """
     hit = F.coalesce(accepted_flag(outcome, accepted), F.lit(0))
     rows = df.withColumns(
@@ -72,7 +77,9 @@ def application_history(
     whole = rows.withColumn("_block", F.lit(0))
     if strict:
         rows = whole
-        blocks = history_blocks(rows.where(F.col(date).isNotNull()), key)
+        # undated rows have no place in a strict history, and see none, but do have attributes
+        dated = F.col("_day") > day_number(F.lit(None).cast("date"))
+        blocks = history_blocks(rows, key).withColumns({c: F.when(dated, F.col(c)) for c in ("n", "hits", "won")})
     else:
         # one combination tells both the totals of a day and whether a day must be cut
         blocks = durable(history_blocks(whole, key))
@@ -83,10 +90,10 @@ def application_history(
     carried = []
     if attributes is not None:
         carried = [c for c in attributes.columns if c != key]
-        # undated rows have no place in a strict history but do have attributes
-        offsets = rows.select(key, "_day", "_block").distinct().join(offsets, [key, "_day", "_block"], "left") if strict else offsets
         offsets = offsets.join(attributes, key, "left")
-    placed = rows.join(offsets, [key, "_day", "_block"], "left")
+    placed = rows.drop("_block").join(offsets.drop("_block"), [key, "_day"], "left") if strict else rows.join(
+        offsets, [key, "_day", "_block"], "left"
+    )
     n = F.coalesce("_before_n", F.lit(0))
     hits = F.coalesce("_before_hits", F.lit(0))
     won = F.col("_before_won")
@@ -102,6 +109,7 @@ def application_history(
         won = F.greatest(won, F.max(owned * F.col("_won")).over(inside))
     history = placed.select(
         *df.columns,
+        *([DAY] if keep_day else []),
         n.alias("prior_applications"),
         hits.alias("prior_successes"),
         F.coalesce(won, F.lit(0.0)).alias("prior_max_amount"),

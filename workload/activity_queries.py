@@ -237,10 +237,13 @@ def asof_customer_kpis(spark, folder):
     ),
 )
 def application_features_asof(spark, folder):
-    people, asked, moves, features = prepared_tables(spark, folder)
+    people, moves, thresholds = cleaning.clean_with_thresholds(raw_customers(spark, folder), staged_transactions(spark, folder))
+    asked = cleaning.clean_applications(raw_applications(spark, folder))
     low = quality.empirical_thresholds(moves, people)["low_balance_threshold"]
+    days = plans.known_days(asked, moves, low)
+    features = plans.customer_features(people, asked, moves, thresholds, AS_OF, days=days)
     digits = {c: d for c, d in _KPI_DIGITS.items() if c in _STATIC} | {"prior_success_rate": 6}
-    return rounded(plans.application_features(asked, features, transactions=moves, low_balance_threshold=low), digits)
+    return rounded(plans.application_features(asked, features, transactions=moves, low_balance_threshold=low, days=days), digits)
 
 
 _LEVELS = {"l_extendedprice": [0.01, 0.1, 0.5, 0.9, 0.99], "l_quantity": [0.25, 0.5, 0.75]}
