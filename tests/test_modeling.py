@@ -197,3 +197,17 @@ def test_prospects_are_ranked(frame):
     people = frame([(i, n, x, "Male", "s", "q") for i, n, x in rows], "id string, total_applications int, x double, gender string, customer_segment string, action_quadrant string")
     got = {r.id: (r.score_rank, r.is_complete) for r in modeling.score_prospects(model, people).collect()}
     assert got == {"b": (1, True), "c": (1, True), "a": (3, True), "f": (4, True), "d": (None, False)}
+
+
+def test_sides_are_marked_once(frame):
+    """What reads training or test rows reads a mark, and does not hash every key again."""
+    asked = [("a", i, "2024-03-01", 5.0, "TakeUp" if i % 2 else "Declined") for i in range(40)]
+    prepared = training.prepare(
+        frame([("a", "F", 30.0, 10.0)], "id string, gender string, age double, income double"),
+        frame(asked, "id string, app_id long, dt string, amount double, outcome string"),
+        frame([("a", "2024-01-01", 1.0, 1.0)], "id string, dt string, amount double, balance double"),
+        training.Settings(as_of="2024-12-31"),
+    )
+    assert prepared.train.count() + prepared.test.count() == 40
+    for side in (prepared.train, prepared.test):
+        assert "md5" not in side._jdf.queryExecution().optimizedPlan().toString()

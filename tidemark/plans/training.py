@@ -13,7 +13,7 @@ from ..functions import fixed_values as fixed
 from ..operators import activity, charts, cleaning, evaluation, modeling, selection
 from ..session import durable, literal_frame
 from ..sources import tables
-from .customer import application_features, customer_features, feature_columns
+from .customer import application_features, customer_features, feature_columns, known_days
 from .report import long_rows, quality_report
 
 LABEL = "target"
@@ -50,10 +50,15 @@ def prepare(customers: DataFrame, applications: DataFrame, transactions: DataFra
     """Clean tables, customer and application features, split."""
     people, moves, thresholds = cleaning.clean_with_thresholds(customers, transactions)
     asked = cleaning.clean_applications(applications)
-    table = customer_features(people, asked, moves, thresholds, settings.as_of, cap_kpis=settings.cap_kpis)
-    known = {"transactions": moves, "low_balance_threshold": thresholds["low_balance_threshold"]} if settings.point_in_time else {}
-    rows = durable(modeling.encode_gender(application_features(asked, table, settings.strict_history, **known)))
-    train, test = modeling.train_test(rows, LABEL, "app_id", settings.test_share, settings.seed)
+    low, days, known = thresholds["low_balance_threshold"], None, {}
+    if settings.point_in_time:
+        days = known_days(asked, moves, low)
+        known = {"transactions": moves, "low_balance_threshold": low, "days": days}
+    table = customer_features(people, asked, moves, thresholds, settings.as_of, cap_kpis=settings.cap_kpis, days=days)
+    rows = modeling.encode_gender(application_features(asked, table, settings.strict_history, **known))
+    # marked as they are written: every screen, fit and score reads one of the sides again
+    marked = durable(modeling.stratified_split(rows, LABEL, "app_id", settings.test_share, settings.seed))
+    train, test = modeling.split_sides(marked)
     return Prepared(people, asked, moves, thresholds, table, train, test, feature_columns(table))
 
 
