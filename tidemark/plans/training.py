@@ -90,7 +90,8 @@ def training_metrics(
 ) -> DataFrame:
     """Metrics of a fit as report rows: AUC, sizes, features, confusion, fairness, ablation."""
     spark = prepared.train.sparkSession
-    scored = scored_test(prepared, model, features)
+    # scored once for the area, the confusion counts and the fairness report
+    scored = durable(scored_test(prepared, model, features).select(LABEL, "score", "prediction", "gender", "age"))
     kept = F.count_if(selection.is_complete(features))
     n_train, n_train_complete = prepared.train.agg(F.count("*"), kept).first()
     n_test, n_test_complete = prepared.test.agg(F.count("*"), kept).first()
