@@ -109,3 +109,56 @@ def test_p_values_follow_the_statistics(tables):
     got = found(*tables(seed=4))
     d, n_a, n_b = (got["income_distribution_shift", m, None] for m in ("ks_statistic", "n_a", "n_b"))
     assert got["income_distribution_shift", "p_value", None] == pytest.approx(pvalues.ks_two_sample(d, int(n_a), int(n_b)))
+
+
+def test_many_open_cells_cost_a_row_one_lookup(frame, tables, monkeypatch):
+    """Two samples that are nearly alike: the distance may be largest in hundreds of cells."""
+    monkeypatch.setattr(Q, "FEW_ROWS", 30)
+    counted, plans, opened = Q._counted, [], []
+
+    def watched(tagged):
+        plans.append(tagged._jdf.queryExecution().optimizedPlan().toString())
+        found = counted(tagged)
+        opened.append(len(found))
+        return found
+
+    monkeypatch.setattr(Q, "_counted", watched)
+    customers, applications, transactions, _ = tables(50)
+    rng = random.Random(3)
+    incomes = sorted(rng.uniform(1.0, 10_000.0) for _ in range(3000))
+    sides = [(x, (fixed.BORROWER, fixed.PROSPECT)[i % 2]) for i, x in enumerate(incomes)]
+    wide = frame(
+        [(str(i), x, 3, "Male", s) for i, (x, s) in enumerate(sides)],
+        "id string, income double, total_transactions_count long, gender string, customer_segment string",
+    )
+    got = found(customers, applications, transactions, wide)
+    assert got["income_distribution_shift", "ks_statistic", None] == pytest.approx(1 / 1500)
+    assert max(opened) > 300
+    assert max(p.count("CASE WHEN") for p in plans) < 20
+
+
+def test_values_find_their_spans(frame):
+    rng = random.Random(5)
+    values = sorted({*(rng.lognormvariate(0, 4) * rng.choice([-1, 1]) for _ in range(400)), 0.0, -1e-300, 1e308, float("inf"), float("-inf")})
+    data = frame([*[(x, -x) for x in values], (None, None), (float("nan"), None)], "a double, b double")
+    cells = Q.first_cells(data, ["a", "b"])
+    spans = [s for column in cells for s in column[::2]]
+    rows = Q.placed_values(Q.long_values(data, {0: data["a"], 1: data["b"]}), spans, 16).collect()
+    expected = {
+        (k, x) for k, s in enumerate(spans) for v in values for x in ((v, -v)[s.column],) if s.low <= x <= s.high
+    }
+    assert sorted((r["span"], r["x"]) for r in rows) == sorted(expected)
+    assert {r["cell"] for r in rows} <= set(range(17))
+
+
+def test_facts_of_keys(frame):
+    people = frame([("a", 20.0, 1.0), ("a", 20.0, 1.0), ("b", 30.0, None), (None, 40.0, 2.0)], "id string, age double, income double")
+    asked = frame([("a", None, 5.0, None), ("x", None, 6.0, "TakeUp"), ("x", None, 7.0, None), (None, None, 8.0, None)], "id string, dt date, amount double, outcome string")
+    moves = frame([("a", -1.0), ("a", -3.0), ("y", -2.0), ("b", None), (None, 4.0)], "id string, balance double")
+    wide = frame([], "id string, income double, total_transactions_count long, gender string, customer_segment string")
+    got = found(people, asked, moves, wide)
+    assert [got["referential_integrity", "orphan_keys", t] for t in ("applications", "transactions")] == [2.0, 2.0]
+    assert got["negative_balance", "n_keys_ever_negative", None] == 2.0
+    assert got["negative_balance", "pct_keys_ever_negative", None] == 50.0
+    assert got["negative_balance", "avg_negative", None] == -2.0
+    assert got["negative_balance", "min_value", None] == -3.0

@@ -65,12 +65,16 @@ def column_facts(data: DataFrame, names: Sequence[str], extra: Mapping[str, Colu
     return data.agg(*aggs).first()
 
 
-def _cell(x: Column, span: Span, cells: int) -> Column:
+def _even_cell(x: Column, low: Column, high: Column, cells: int) -> Column:
     # halves keep the differences finite for any pair of doubles
-    width = max(span.high / 2 - span.low / 2, 5e-324)
-    place = F.floor((x / 2 - F.lit(span.low / 2)) / F.lit(width) * cells)
+    width = F.greatest(high / 2 - low / 2, F.lit(5e-324))
+    place = F.floor((x / 2 - low / 2) / width * cells)
     # the largest value has a cell of its own, so every pass gets further
-    return F.when(x >= F.lit(span.high), F.lit(cells)).otherwise(F.least(place, F.lit(cells - 1))).cast("int")
+    return F.when(x >= high, F.lit(cells)).otherwise(F.least(place, F.lit(cells - 1))).cast("int")
+
+
+def _cell(x: Column, span: Span, cells: int) -> Column:
+    return _even_cell(x, F.lit(span.low), F.lit(span.high), cells)
 
 
 def _log_cell(x: Column) -> Column:
@@ -104,6 +108,31 @@ def _tagged(data: DataFrame, names: Sequence[str], spans: Sequence[Span], cells:
     return _stacked(data, per_column)
 
 
+def long_values(df: DataFrame, columns: Mapping[int, Column]) -> DataFrame:
+    """Rows (column, x) of the values of numbered double columns, without null and NaN."""
+    tags = [F.struct(F.lit(i).alias("column"), x.alias("x")) for i, x in columns.items()]
+    rows = df.select(tags[0].alias("t")).select("t.*") if len(tags) == 1 else df.select(F.inline(F.array(*tags)))
+    return rows.where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def placed_values(values: DataFrame, spans: Sequence[Span], cells: int) -> DataFrame:
+    """Rows (span, cell, x) for every one of ``long_values`` that lies in one of the spans.
+
+    A span lies in one logarithmic cell, by which values look it up, so a row
+    costs the same for a thousand spans as for one.
+    """
+    held = ", ".join(f"({number}, {s.column}, double('{s.low!r}'), double('{s.high!r}'))" for number, s in enumerate(spans))
+    bounds = values.sparkSession.sql(f"SELECT * FROM VALUES {held} AS t (span, column, low, high)")
+    near = F.broadcast(bounds.withColumn("at", _log_cell(F.col("low"))))
+    x, low, high = F.col("x"), F.col("low"), F.col("high")
+    return (
+        values.withColumn("at", _log_cell(x))
+        .join(near, ["column", "at"])
+        .where((x >= low) & (x <= high))
+        .select("span", _even_cell(x, low, high, cells).alias("cell"), "x")
+    )
+
+
 def _counted(tagged: DataFrame) -> dict[int, list]:
     rows = (
         tagged.groupBy("span", "cell")

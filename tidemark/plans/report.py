@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
@@ -47,15 +47,17 @@ def _percent(part: int, whole: int) -> float:
 class _Profile:
     """Quantiles of several columns and the distance of two samples, from shared passes.
 
-    ``data`` has a double column per entry of ``levels`` and two for the samples.
-    Every pass counts rows in cells; the next one looks only into cells that hold
-    a wanted rank, or in which the distance could be larger than the largest one
-    found at the end of a cell.
+    ``parts`` are tables with a double column ``x{i}`` for some of the entries of
+    ``levels``, of which there is one per column, or for the two samples, which
+    come after them.  Every pass counts rows in cells; the next one looks only
+    into cells that hold a wanted rank, or in which the distance could be larger
+    than the largest one found at the end of a cell.  There may be hundreds of
+    these, so a value finds its own by a lookup and a pass reads only the columns
+    that have any.
     """
 
-    def __init__(self, data: DataFrame, levels: Sequence[Sequence[float]], labels: DataFrame):
-        self.names = [f"x{i}" for i in range(len(levels) + 2)]
-        self.data, self.levels = data, levels
+    def __init__(self, parts: Sequence[DataFrame], levels: Sequence[Sequence[float]], labels: DataFrame):
+        self.parts, self.levels = parts, levels
         self.a, self.b = len(levels), len(levels) + 1
         self.label_counts: dict[int, dict[tuple, int]] = {}
         first = self._first_pass(labels)
@@ -72,15 +74,19 @@ class _Profile:
         while self._narrow():
             pass
 
+    def _values(self, columns: Iterable[int]) -> DataFrame:
+        """Rows (column, x) of the given columns, each table taken by itself."""
+        chosen, parts = set(columns), []
+        for part in self.parts:
+            held = [i for i in sorted(chosen) if f"x{i}" in part.columns]
+            if held:
+                parts.append(Q.long_values(part, {i: F.col(f"x{i}") for i in held}))
+        return reduce(DataFrame.unionByName, parts)
+
     def _first_pass(self, labels: DataFrame) -> dict[int, dict[int, Row]]:
-        tags = [
-            F.when(
-                F.col(n).isNotNull() & ~F.isnan(n),
-                F.struct(F.lit(i).alias("span"), Q._log_cell(F.col(n)).alias("cell"), F.col(n).alias("x")),
-            )
-            for i, n in enumerate(self.names)
-        ]
-        cells = Q._stacked(self.data, tags)
+        cells = self._values(range(len(self.levels) + 2)).select(
+            F.col("column").alias("span"), Q._log_cell(F.col("x")).alias("cell"), "x"
+        )
         counted = (
             cells.unionByName(labels, allowMissingColumns=True)
             .groupBy("span", "cell", "a", "b")
@@ -129,7 +135,8 @@ class _Profile:
         if not spans:
             return False
         few = sum(s.rows for s in spans) <= Q.FEW_ROWS
-        tagged = Q._tagged(self.data, self.names, spans, 1 if few else max(16, min(Q.CELLS, Q.CELL_ROWS // len(spans))))
+        cells = 1 if few else max(16, min(Q.CELLS, Q.CELL_ROWS // len(spans)))
+        tagged = Q.placed_values(self._values(s.column for s in spans), spans, cells)
         counted = Q._counted(tagged.withColumn("cell", F.col("x")) if few else tagged)
         inner = {s: Q._chained(s.column, s.below, counted[k]) for k, s in enumerate(spans[:n])}
         self.place.update({(i, r): Q._holding(inner[s], r) for (i, r), s in self.place.items() if s.low < s.high})
@@ -195,7 +202,6 @@ def quality_report(
     for table, values in columns:
         parts.append(table.select(*[v.cast("double").alias(f"x{place + i}") for i, v in enumerate(values)]))
         place += len(values)
-    data = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
     def labelled(table: DataFrame, kind: int, a: Column, b: Column) -> DataFrame:
         return table.select(F.lit(kind).alias("span"), a.cast("string").alias("a"), b.cast("string").alias("b"))
@@ -206,7 +212,7 @@ def quality_report(
     labels = labelled(applications, -1, F.col("outcome"), F.lit(None)).unionByName(
         labelled(customer_table, -2, named("gender"), named("customer_segment"))
     )
-    known = _Profile(data, levels, labels)
+    known = _Profile(parts, levels, labels)
 
     fences = []
     for i in (0, 2):
@@ -214,7 +220,7 @@ def quality_report(
         width = None if q1 is None else fixed.FENCE_WIDTH * (q3 - q1)
         fences.append((None, None) if q1 is None else (q1 - width, q3 + width))
     thin = known.quantile(4, fixed.THIN_HISTORY_LEVEL)
-    facts = _facts(customers, applications, transactions, customer_table.select("id", count), fences, thin, count)
+    facts = _facts(customers, applications, transactions, customer_table.select(count), fences, thin, count)
 
     rows: list[tuple] = []
 
@@ -260,10 +266,15 @@ def quality_report(
 def _facts(
     customers: DataFrame, applications: DataFrame, transactions: DataFrame, histories: DataFrame, fences, thin: float | None, count: str
 ) -> Row:
-    """One row of counts over all tables, which are combined per customer before they meet."""
+    """One row of counts over all tables: totals of the rows, and what the customers' marks tell.
+
+    Totals need no key, so a customer is combined from one number per row only:
+    the tables it occurs in, and whether a balance was negative.
+    """
+    below = F.col("balance") < 0
 
     def side(table: DataFrame, name: str, **values: Column) -> DataFrame:
-        return table.select("id", F.lit(1).alias(f"in_{name}"), *[v.cast("double").alias(n) for n, v in values.items()])
+        return table.select(F.lit(1).alias(f"in_{name}"), *[v.cast("double").alias(n) for n, v in values.items()])
 
     everything = reduce(
         lambda x, y: x.unionByName(y, allowMissingColumns=True),
@@ -274,7 +285,6 @@ def _facts(
             side(histories, "histories", seen=F.col(count)),
         ],
     )
-    below = F.col("balance") < 0
     sums = {f"n_{t}": F.count(f"in_{t}") for t in ("customers", "applications", "transactions", "histories")}
     for name, (low, high) in zip(("income", "amount"), fences, strict=True):
         x = F.col(name)
@@ -283,26 +293,40 @@ def _facts(
     sums |= {
         "negative": F.count_if(below),
         "negative_total": F.sum(F.when(below, F.col("balance"))),
+        "min_value": F.min(F.when(below, F.col("balance"))),
         "n_flagged": F.count_if(F.col("seen") <= F.lit(thin).cast("double")),
     }
     ends = {f"{n}_{f.__name__}": f(n) for n in ("income", "amount") for f in (F.min, F.max)}
-    per_key = everything.groupBy("id").agg(
-        *[e.alias(n) for n, e in (sums | ends).items()], F.min(F.when(below, F.col("balance"))).alias("deepest")
+    known, asked, moved, sank = 1, 2, 4, 8
+    marks = [
+        (customers, F.lit(known)),
+        (applications, F.lit(asked)),
+        (transactions, F.when(F.col("balance").cast("double") < 0, F.lit(moved | sank)).otherwise(F.lit(moved))),
+    ]
+    per_key = (
+        reduce(DataFrame.unionByName, [table.select("id", mark.alias("mark")) for table, mark in marks])
+        .groupBy("id")
+        .agg(F.bit_or("mark").alias("marks"))
+    )
+
+    def has(mark: int) -> Column:
+        return F.col("marks").bitwiseAND(F.lit(mark)) > 0
+
+    # both kinds of rows meet in one row of counts, to which the other kind adds nothing
+    parentless = F.col("id").isNull() | ~has(known)
+    of_keys = {
+        f"orphans_{t}": F.count_if(parentless & has(m)) for t, m in (("applications", asked), ("transactions", moved))
+    } | {"n_keys_ever_negative": F.count_if(has(sank)), "keys_moved": F.count_if(has(moved))}
+    totals = everything.unionByName(per_key, allowMissingColumns=True).agg(
+        *[e.alias(n) for n, e in (sums | ends | of_keys).items()]
     )
-    parentless = F.col("id").isNull() | (F.col("n_customers") == 0)
-    negative = F.count_if(F.col("negative") > 0)
-    return per_key.agg(
-        *[F.count_if(parentless & (F.col(f"n_{t}") > 0)).alias(f"orphans_{t}") for t in ("applications", "transactions")],
-        *[F.sum(f"{n}_{what}").alias(f"{n}_{what}") for n in ("income", "amount") for what in ("outside", "sentinel")],
-        *[getattr(F, end)(f"{n}_{end}").alias(f"{n}_{end}") for n in ("income", "amount") for end in ("min", "max")],
-        percent(F.sum("income_outside"), F.sum("n_customers")).alias("income_pct"),
-        percent(F.sum("amount_outside"), F.sum("n_applications")).alias("amount_pct"),
-        F.coalesce(F.sum("negative"), F.lit(0)).alias("n_negative_rows"),
-        percent(F.sum("negative"), F.sum("n_transactions")).alias("pct_negative_rows"),
-        negative.alias("n_keys_ever_negative"),
-        percent(negative, F.count_if(F.col("n_transactions") > 0)).alias("pct_keys_ever_negative"),
-        F.min("deepest").alias("min_value"),
-        F.try_divide(F.sum("negative_total"), F.sum("negative")).alias("avg_negative"),
-        F.sum("n_flagged").alias("n_flagged"),
-        percent(F.sum("n_flagged"), F.sum("n_histories")).alias("pct_flagged"),
+    shares = {"income": ("outside", "customers"), "amount": ("outside", "applications")}
+    return totals.select(
+        "*",
+        *[percent(F.col(f"{n}_{part}"), F.col(f"n_{whole}")).alias(f"{n}_pct") for n, (part, whole) in shares.items()],
+        F.col("negative").alias("n_negative_rows"),
+        percent(F.col("negative"), F.col("n_transactions")).alias("pct_negative_rows"),
+        percent(F.col("n_keys_ever_negative"), F.col("keys_moved")).alias("pct_keys_ever_negative"),
+        F.try_divide(F.col("negative_total"), F.col("negative")).alias("avg_negative"),
+        percent(F.col("n_flagged"), F.col("n_histories")).alias("pct_flagged"),
     ).first()
